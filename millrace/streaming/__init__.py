@@ -1,0 +1 @@
+"""No streaming job is planned: none of the tasks this library serves names a stream."""
