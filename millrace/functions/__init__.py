@@ -3,8 +3,9 @@ from millrace.functions.columns import (
     micros,
     money,
     rounded,
+    rounded_all,
     seconds_between,
     unit_interval,
 )
 
-__all__ = ["key_hash", "micros", "money", "rounded", "seconds_between", "unit_interval"]
+__all__ = ["key_hash", "micros", "money", "rounded", "rounded_all", "seconds_between", "unit_interval"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HASH_FACTOR = 2654435761
@@ -46,3 +46,8 @@ def micros(ts: Column) -> Column:
     """Microseconds since 1970 of a zone-less timestamp, free of the session time zone."""
     gap = (ts - F.expr("timestamp_ntz'1970-01-01'")).cast("interval second")
     return (gap.cast("decimal(20,6)") * F.lit(1000000)).cast("bigint")
+
+
+def rounded_all(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    """The same rows with some columns rounded."""
+    return df.withColumns({c: rounded(F.col(c), digits) for c in columns})

@@ -71,6 +71,9 @@ def position(df: DataFrame, name: str) -> Column:
         return micros(F.col(name)).cast("double")
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(name).cast("double")
+    if isinstance(kind, T.StringType):
+        # The first seven bytes as a number: strings compare by their bytes.
+        return F.conv(F.rpad(F.left(F.hex(name), F.lit(14)), 14, "0"), 16, 10).cast("double")
     return F.col(name).cast("double")
 
 
@@ -172,6 +175,23 @@ def running(
     )
 
 
+def global_position(
+    df: DataFrame, first: str, second: str, name: str, total: str, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """0-based place of each row in ascending (first, second) order, and the number of rows.
+
+    Counted over the distinct values of ``first``, then inside each value, so a
+    value that many rows share is cut like any hot key.
+    """
+    counts = df.groupBy(first).agg(F.count("*").alias("_n"))
+    above = running(
+        counts, [], [first], {"_above": F.col("_n")}, {total: F.col("_n")}, False, rows_per_task
+    ).select(F.col(first).alias("_first"), "_above", total)
+    rows = df.join(above, df[first].eqNullSafe(F.col("_first"))).drop("_first")
+    placed = running(rows, [first], [second], {"_in": F.lit(1)}, None, False, rows_per_task)
+    return placed.withColumn(name, F.col("_above") + F.col("_in")).drop("_above", "_in")
+
+
 def carried(
     df: DataFrame,
     by: Sequence[str],
