@@ -1,4 +1,5 @@
 from millrace.functions.columns import (
+    held_out,
     key_hash,
     micros,
     money,
@@ -8,4 +9,4 @@ from millrace.functions.columns import (
     unit_interval,
 )
 
-__all__ = ["key_hash", "micros", "money", "rounded", "rounded_all", "seconds_between", "unit_interval"]
+__all__ = ["held_out", "key_hash", "micros", "money", "rounded", "rounded_all", "seconds_between", "unit_interval"]

@@ -24,6 +24,12 @@ def unit_interval(key: Column | str) -> Column:
     return (key_hash(key) + F.lit(0.5)) / F.lit(float(HASH_RANGE))
 
 
+def held_out(key: Column | str, share: float) -> Column:
+    """True for a fixed share of the keys, independent of ``unit_interval`` of the same key."""
+    key = F.col(key) if isinstance(key, str) else key
+    return key_hash(F.pmod(key, F.lit(2**31)) * F.lit(48271) + F.lit(11)) < F.lit(share * HASH_RANGE)
+
+
 def rounded(x: Column, digits: int) -> Column:
     """Round half up by ``floor``, which engines agree on, unlike ``round`` of a double."""
     scale = float(10**digits)

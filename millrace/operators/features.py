@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ordered import global_position, quantiles, running, same
+from millrace.operators.ordered import global_position, join_by, quantiles, running
 
 
 def _one(df: DataFrame, aggs: Mapping[str, Column]) -> Column:
@@ -54,12 +54,8 @@ def impute(df: DataFrame, spec: Mapping[str, str | tuple]) -> DataFrame:
 def impute_by(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """fill with the mean of the row's group. Group means combine per task, then join."""
     means = df.groupBy(*keys).agg(F.avg(col).alias("_mean"))
-    joined = df.join(means, same(df, means, keys), "left")
-    return joined.select(
-        *[df[c] for c in df.columns if c != col],
-        F.coalesce(df[col], means["_mean"]).alias(col),
-        df[col].isNull().alias(f"{col}_missing"),
-    )
+    joined = join_by(df, means, keys, "left").withColumn(f"{col}_missing", F.col(col).isNull())
+    return joined.withColumn(col, F.coalesce(col, "_mean")).drop("_mean")
 
 
 def category_index(df: DataFrame, col: str) -> DataFrame:
@@ -71,8 +67,8 @@ def category_index(df: DataFrame, col: str) -> DataFrame:
 
 def index_category(df: DataFrame, col: str) -> DataFrame:
     """rows with ``<col>_index``; NULL categories get NULL."""
-    table = category_index(df, col).select(F.col(col).alias("_c"), F.col("index").alias(f"{col}_index"))
-    return df.join(table, df[col] == table["_c"], "left").drop("_c")
+    table = category_index(df, col).select(col, F.col("index").alias(f"{col}_index"))
+    return join_by(df, table, [col], "left")
 
 
 def one_hot(df: DataFrame, col: str, values: Mapping[str, str]) -> DataFrame:
@@ -106,32 +102,28 @@ def quantile_edges(df: DataFrame, col: str, n: int) -> list[float]:
 def target_encode(df: DataFrame, col: str, y: str, m: float, fold: str, out: str = "encoded") -> DataFrame:
     """mean target of the category over the other folds, shrunk to their overall mean."""
     parts = df.groupBy(col, fold).agg(F.sum(y).alias("_s"), F.count(y).alias("_n"))
-    per_fold = parts.groupBy(F.col(fold).alias("_f")).agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
+    per_fold = parts.groupBy(fold).agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
     whole = _one(parts, {"s": F.sum("_s"), "n": F.sum("_n")})
+    zero = F.lit(0.0)
     prior = per_fold.select(
-        "_f", F.try_divide(whole["s"] - F.coalesce("_fs", F.lit(0.0)), whole["n"] - F.col("_fn")).alias("_prior")
+        fold, F.try_divide(whole["s"] - F.coalesce("_fs", zero), whole["n"] - F.col("_fn")).alias("_prior")
     )
-    per_cat = parts.groupBy(F.col(col).alias("_c")).agg(F.sum("_s").alias("_cs"), F.sum("_n").alias("_cn"))
-    table = (
-        parts.join(per_cat, parts[col].eqNullSafe(per_cat["_c"]))
-        .join(prior, parts[fold].eqNullSafe(prior["_f"]))
-        .select(
-            F.col(col).alias("_k"),
-            F.col(fold).alias("_g"),
-            F.try_divide(
-                F.coalesce(F.col("_cs"), F.lit(0.0)) - F.coalesce(F.col("_s"), F.lit(0.0)) + m * F.col("_prior"),
-                F.col("_cn") - F.col("_n") + m,
-            ).alias(out),
-        )
+    per_cat = parts.groupBy(col).agg(F.sum("_s").alias("_cs"), F.sum("_n").alias("_cn"))
+    table = join_by(join_by(parts, per_cat, [col]), prior, [fold]).select(
+        col,
+        fold,
+        F.try_divide(
+            F.coalesce("_cs", zero) - F.coalesce("_s", zero) + m * F.col("_prior"), F.col("_cn") - F.col("_n") + m
+        ).alias(out),
     )
-    return df.join(table, df[col].eqNullSafe(table["_k"]) & df[fold].eqNullSafe(table["_g"])).drop("_k", "_g")
+    return join_by(df, table, [col, fold])
 
 
 def history_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], y: str, out: str = "history", **kw) -> DataFrame:
     """mean of ``y`` over earlier rows of the same entity; NULL for the first."""
     sums = {"_hs": F.col(y), "_hn": F.col(y).isNotNull().cast("int")}
     rows = running(df, by, order, sums, include_current=False, **kw)
-    return rows.withColumn(out, F.try_divide(F.col("_hs"), F.col("_hn"))).drop("_hs", "_hn")
+    return rows.withColumn(out, F.try_divide(F.col("_hs").cast("double"), F.col("_hn"))).drop("_hs", "_hn")
 
 
 def scale(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:

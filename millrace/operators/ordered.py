@@ -57,11 +57,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], above: int) -> list:
     return counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
 
 
-def same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match, keeping the left keys.
+
+    The right keys get other names first: both sides often come from one table.
+    """
+    renamed = right.select(
+        *[F.col(k).alias(f"_right_{k}") for k in keys], *[F.col(c) for c in right.columns if c not in keys]
+    )
+    cond = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, cond, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def position(df: DataFrame, name: str) -> Column:
@@ -95,9 +100,7 @@ def lay_out(
         schema = T.StructType([df.schema[k] for k in keys])
         small = F.broadcast(spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema))
         small = small.withColumn("_hot", F.lit(True))
-        flagged = df.join(small, same(df, small, keys), "left").select(
-            *[df[c] for c in df.columns], F.coalesce("_hot", F.lit(False)).alias("_hot")
-        )
+        flagged = join_by(df, small, keys, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
         wanted = math.ceil(rows / rows_per_task)
     else:
         flagged = df.withColumn("_hot", F.lit(True))
@@ -167,11 +170,10 @@ def running(
         *[F.sum(f"_s_{n}").over(before).alias(f"_s_{n}") for n in sums],
         *[F.sum(f"_t_{n}").over(key).alias(f"_t_{n}") for n in totals],
     )
-    joined = out.join(shift, same(out, shift, lay.parts), "left")
-    return joined.select(
-        *[out[c] for c in df.columns],
-        *[(out[n] + F.coalesce(shift[f"_s_{n}"], zero)).alias(n) for n in sums],
-        *[F.coalesce(shift[f"_t_{n}"], zero).alias(n) for n in totals],
+    return join_by(out, shift, lay.parts, "left").select(
+        *df.columns,
+        *[(F.col(n) + F.coalesce(f"_s_{n}", zero)).alias(n) for n in sums],
+        *[F.coalesce(f"_t_{n}", zero).alias(n) for n in totals],
     )
 
 
@@ -184,10 +186,8 @@ def global_position(
     value that many rows share is cut like any hot key.
     """
     counts = df.groupBy(first).agg(F.count("*").alias("_n"))
-    above = running(
-        counts, [], [first], {"_above": F.col("_n")}, {total: F.col("_n")}, False, rows_per_task
-    ).select(F.col(first).alias("_first"), "_above", total)
-    rows = df.join(above, df[first].eqNullSafe(F.col("_first"))).drop("_first")
+    above = running(counts, [], [first], {"_above": F.col("_n")}, {total: F.col("_n")}, False, rows_per_task)
+    rows = join_by(df, above.drop("_n"), [first])
     placed = running(rows, [first], [second], {"_in": F.lit(1)}, None, False, rows_per_task)
     return placed.withColumn(name, F.col("_above") + F.col("_in")).drop("_above", "_in")
 
@@ -196,18 +196,20 @@ def carried(
     df: DataFrame,
     by: Sequence[str],
     order: Sequence[str],
-    values: dict[str, Column],
-    backward: bool = False,
+    last: dict[str, Column] | None = None,
+    coming: dict[str, Column] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Last non-null value at or before each row, or the next one at or after it."""
+    """``last``: the last non-null value at or before each row; ``coming``: the first at or after it."""
     lay = lay_out(df, by, order[0], rows_per_task)
+    last, coming = last or {}, coming or {}
     w = W.partitionBy(*lay.parts).orderBy(*order)
-    if backward:
-        near, frame, best = F.first, w.rowsBetween(0, W.unboundedFollowing), F.min_by
-    else:
-        near, frame, best = F.last, w.rowsBetween(W.unboundedPreceding, 0), F.max_by
-    out = lay.df.select("*", *[near(e, ignorenulls=True).over(frame).alias(n) for n, e in values.items()])
+    past, future = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)
+    out = lay.df.select(
+        "*",
+        *[F.last(e, ignorenulls=True).over(past).alias(n) for n, e in last.items()],
+        *[F.first(e, ignorenulls=True).over(future).alias(n) for n, e in coming.items()],
+    )
     if not lay.split:
         return out
     place = F.struct(*order)
@@ -216,17 +218,18 @@ def carried(
         per_chunk = per_chunk.filter(F.col(CHUNK) >= 0)
     per_chunk = per_chunk.groupBy(*lay.parts).agg(
         F.lit(0).alias("_none"),
-        *[best(e, F.when(e.isNotNull(), place)).alias(f"_v_{n}") for n, e in values.items()],
+        *[F.max_by(e, F.when(e.isNotNull(), place)).alias(f"_v_{n}") for n, e in last.items()],
+        *[F.min_by(e, F.when(e.isNotNull(), place)).alias(f"_v_{n}") for n, e in coming.items()],
     )
     key = W.partitionBy(*(lay.keys or ["_none"])).orderBy(CHUNK)
-    outside = key.rowsBetween(1, W.unboundedFollowing) if backward else key.rowsBetween(W.unboundedPreceding, -1)
+    before, after = key.rowsBetween(W.unboundedPreceding, -1), key.rowsBetween(1, W.unboundedFollowing)
     shift = per_chunk.select(
-        *lay.parts, *[near(f"_v_{n}", ignorenulls=True).over(outside).alias(f"_v_{n}") for n in values]
+        *lay.parts,
+        *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_v_{n}") for n in last],
+        *[F.first(f"_v_{n}", ignorenulls=True).over(after).alias(f"_v_{n}") for n in coming],
     )
-    joined = out.join(shift, same(out, shift, lay.parts), "left")
-    return joined.select(
-        *[out[c] for c in df.columns],
-        *[F.coalesce(out[n], shift[f"_v_{n}"]).alias(n) for n in values],
+    return join_by(out, shift, lay.parts, "left").select(
+        *df.columns, *[F.coalesce(n, f"_v_{n}").alias(n) for n in [*last, *coming]]
     )
 
 
@@ -256,7 +259,8 @@ def with_halo(lay: Layout, order: Sequence[str], before: int = 0, after: int = 0
         outside = F.flatten(F.collect_list("_rows").over(near))
         nearest = F.slice(F.sort_array(outside, asc=not earlier), 1, n)
         return (
-            ends.select(*lay.parts, F.explode(nearest).alias("_row"))
+            ends.select(*lay.parts, nearest.alias("_near"))
+            .select(*lay.parts, F.explode("_near").alias("_row"))
             .select(*lay.parts, "_row.*")
             .withColumn(HALO, F.lit(True))
         )

@@ -14,9 +14,9 @@ from millrace.functions import key_hash
 from millrace.operators.ordered import (
     CHUNK,
     ROWS_PER_TASK,
+    join_by,
     lay_out,
     quantiles,
-    same,
 )
 
 
@@ -155,14 +155,12 @@ def ranked(
             F.sum("_c").over(key).alias("_n"),
             F.sum("_s").over(key).alias("_sum"),
         )
-        local = local.join(per, same(local, per, lay.parts)).select(
-            *[local[c] for c in df.columns],
-            (local["_rn"] + per["_c0"]).alias("_rn"),
-            (local["_rank"] + per["_c0"]).alias("_rank"),
-            (local["_dense"] + per["_d0"]).alias("_dense"),
-            (local["_upto"] + per["_c0"]).alias("_upto"),
-            per["_n"],
-            per["_sum"],
+        local = join_by(local, per, lay.parts).select(
+            *df.columns,
+            *[(F.col(n) + F.col("_c0")).alias(n) for n in ("_rn", "_rank", "_upto")],
+            (F.col("_dense") + F.col("_d0")).alias("_dense"),
+            "_n",
+            "_sum",
         )
     else:
         local = local.select(*keep, F.count("*").over(part).alias("_n"), F.sum(share).over(part).alias("_sum"))

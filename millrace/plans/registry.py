@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources import load
 
-FAMILIES = ("tables", "recommend", "vectors", "binary")
+FAMILIES = ("tables", "recommend", "vectors", "binary", "features", "predict", "series", "lifetime")
 
 
 @dataclass

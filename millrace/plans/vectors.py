@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.functions import key_hash, rounded
+from millrace.functions import held_out, rounded
 from millrace.operators import vectors as op
 from millrace.plans.registry import Tables, query
 
@@ -82,8 +82,8 @@ def planted_vectors(t: Tables):
     """The embeddings moved towards a corner of their class, so that there is a signal to learn."""
     moved = F.transform("embedding", lambda x, i: x + F.when(i == F.col("label"), 1.0).otherwise(0.0).cast("float"))
     rows = t("embeddings").select(F.col("vec_id").alias("id"), moved.alias("vec"), "label")
-    held_out = key_hash("id") / 1000003 < 0.25
-    return rows.filter(~held_out), rows.filter(held_out)
+    mark = held_out("id", 0.25)
+    return rows.filter(~mark), rows.filter(mark)
 
 
 def _fit(kind, **params):
