@@ -14,17 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from millrace.functions import key_hash
-from millrace.operators.features import assemble, bin
+from millrace.operators.features import assemble, balanced, bin
 from millrace.operators.ordered import ROWS_PER_TASK, global_position, running
+from millrace.sources import stage
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows per class, share, and the weight that balances the classes."""
     counts = df.groupBy(label).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*")).scalar()
-    classes = counts.agg(F.count("*")).scalar()
+    whole = counts.agg(F.struct(F.sum("n").alias("rows"), F.count("*").alias("classes"))).scalar()
     return counts.select(
-        label, "n", (F.col("n") / total).alias("share"), (total / (classes * F.col("n"))).alias("weight")
+        label, "n",
+        (F.col("n") / whole["rows"]).alias("share"),
+        (whole["rows"] / (whole["classes"] * F.col("n"))).alias("weight"),
     )
 
 
@@ -75,7 +77,7 @@ def sweep(df: DataFrame, thresholds: Sequence[float]) -> DataFrame:
 def curve(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Per distinct score: its positives and negatives, those at or above it, and all of them."""
     points = df.groupBy("score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    points = points.withColumn("_down", -F.col("score"))
+    points = stage(points.withColumn("_down", -F.col("score")))
     out = running(
         points, [], ["_down"],
         {"tp": F.col("pos"), "fp": F.col("neg")},
@@ -190,4 +192,4 @@ def fit_binary(train: DataFrame, cols: Sequence[str], weight: str | None = None,
     lr = LogisticRegression(featuresCol="features", labelCol=label, **params)
     if weight:
         lr = lr.setWeightCol(weight)
-    return lr.fit(assemble(train, cols))
+    return lr.fit(balanced(assemble(train, cols)))

@@ -192,6 +192,16 @@ def correlations(df: DataFrame, cols: Sequence[str], y: str | None = None) -> Da
     return long.withColumn("rank", F.expr("row_number() OVER (PARTITION BY b ORDER BY abs(corr) DESC NULLS LAST, a)"))
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Training rows spread evenly over the cores.
+
+    A fit reads its input many times, each pass as slow as its largest partition, so
+    one shuffle up front is repaid.
+    """
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """a model vector; rows with a missing feature are left out."""
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from millrace.functions import micros, seconds_between
-from millrace.operators.features import assemble
-from millrace.operators.ordered import ROWS_PER_TASK, carried, join_by, neighbours_window, running
+from millrace.operators.features import assemble, balanced
+from millrace.operators.ordered import ROWS_PER_TASK, carried, neighbours_window, running
+
+from millrace.sources import stage
 
 
 def unit_features(df: DataFrame, by: Sequence[str], ts: str, state: str, states: Sequence[str], value: str) -> DataFrame:
@@ -60,9 +62,8 @@ def remaining_life(df: DataFrame, by: Sequence[str], order: Sequence[str], end:
     """Seconds from each row to the next end event at or after it. Rows with no such event
     are censored: the time to the unit's last row, with ``observed`` = 0."""
     ts = order[0]
-    rows = carried(df, by, order, coming={"_end": F.when(end, F.col(ts))}, **kw)
-    last = df.groupBy(*by).agg(F.max(ts).alias("_last"))
-    return join_by(rows, last, by).select(
+    rows = carried(df, by, order, coming={"_end": F.when(end, F.col(ts))}, final={"_last": F.col(ts)}, **kw)
+    return rows.select(
         *df.columns,
         seconds_between(F.coalesce("_end", "_last"), F.col(ts)).alias("remaining"),
         F.col("_end").isNotNull().cast("int").alias("observed"),
@@ -81,10 +82,12 @@ def survival(df: DataFrame, t: str, died: str, rows_per_task: int = ROWS_PER_TAS
 
     Rows are counted per time first; the running sums over times are spread.
     """
-    counts = df.groupBy(F.col(t).alias("t")).agg(F.sum(died).alias("died"), F.sum(1 - F.col(died)).alias("censored"))
+    counts = stage(
+        df.groupBy(F.col(t).alias("t")).agg(F.sum(died).alias("died"), F.sum(1 - F.col(died)).alias("censored"))
+    )
     gone = F.col("died") + F.col("censored")
     table = running(counts, [], ["t"], {"_gone": gone}, {"_all": gone}, include_current=False, rows_per_task=rows_per_task)
-    table = table.select("t", "died", "censored", (F.col("_all") - F.col("_gone")).alias("at_risk"))
+    table = stage(table.select("t", "died", "censored", (F.col("_all") - F.col("_gone")).alias("at_risk")))
     stay = 1 - F.col("died") / F.col("at_risk")
     out = running(
         table, [], ["t"],
@@ -100,4 +103,4 @@ def survival(df: DataFrame, t: str, died: str, rows_per_task: int = ROWS_PER_TAS
 def fit_lifetime(train: DataFrame, cols: Sequence[str], t: str, died: str) -> AFTSurvivalRegressionModel:
     """Weibull accelerated-failure-time model; ``died`` is 1 for an observed end, 0 if censored."""
     rows = assemble(train.withColumn("_seen", F.col(died).cast("double")), cols)
-    return AFTSurvivalRegression(labelCol=t, censorCol="_seen").fit(rows)
+    return AFTSurvivalRegression(labelCol=t, censorCol="_seen").fit(balanced(rows))

@@ -28,9 +28,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from millrace.functions import micros
+from millrace.sources import stage
 
 ROWS_PER_TASK = 5_000_000
-MAX_CHUNKS = 4096
+MIN_CHUNKS, MAX_CHUNKS = 8, 4096
 MAX_HOT_KEYS = 1000
 CHUNK = "_chunk"
 HALO = "_halo"
@@ -82,39 +83,52 @@ def position(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
+def _chunks(rows: int, rows_per_task: int) -> int:
+    return max(MIN_CHUNKS, min(MAX_CHUNKS, math.ceil(rows / rows_per_task)))
+
+
 def lay_out(
     df: DataFrame,
     by: Sequence[str],
     order: str,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
     min_width: float = 0.0,
 ) -> Layout:
-    """Add a chunk column if some key holds more rows than one task should."""
+    """Add a chunk column if some key holds more rows than one task should.
+
+    ``rows_per_task=None`` says that keys are known to be small, for example on a
+    time grid, and saves the counting job.
+    """
     keys = list(by)
-    spark = df.sparkSession
+    if rows_per_task is None:
+        return Layout(df, keys, split=False)
+    wanted = MAX_CHUNKS
     if keys:
         hot = hot_keys(df, keys, rows_per_task)
         if not hot:
             return Layout(df, keys, split=False)
-        rows = sum(r["_n"] for r in hot)
         schema = T.StructType([df.schema[k] for k in keys])
-        small = F.broadcast(spark.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema))
-        small = small.withColumn("_hot", F.lit(True))
-        flagged = join_by(df, small, keys, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-        wanted = math.ceil(rows / rows_per_task)
+        small = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema))
+        flagged = join_by(df, small.withColumn("_hot", F.lit(True)), keys, "left")
+        flagged = flagged.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+        wanted = _chunks(sum(r["_n"] for r in hot), rows_per_task)
     else:
         flagged = df.withColumn("_hot", F.lit(True))
-        rows = df.count()
-        wanted = max(spark.sparkContext.defaultParallelism, math.ceil(rows / rows_per_task))
-    wanted = max(2, min(MAX_CHUNKS, wanted))
-    cuts = (
+    found = (
         flagged.filter("_hot")
         .select(position(df, order).alias(_POS))
-        .agg(F.percentile_approx(_POS, [i / wanted for i in range(1, wanted)], 20 * wanted).alias("c"))
-        .first()["c"]
+        .agg(
+            F.count("*").alias("n"),
+            F.percentile_approx(_POS, [i / wanted for i in range(1, wanted)], 10 * wanted).alias("cuts"),
+        )
+        .first()
     )
+    cuts = found["cuts"] or []
+    if not keys:
+        step = wanted // _chunks(found["n"], rows_per_task)
+        cuts = cuts[step - 1 :: step]
     edges: list[float] = []
-    for c in sorted(set(cuts or [])):
+    for c in sorted(set(cuts)):
         if not edges or c - edges[-1] >= min_width:
             edges.append(c)
     edges = edges or [0.0]
@@ -137,7 +151,7 @@ def running(
     sums: dict[str, Column] | None = None,
     totals: dict[str, Column] | None = None,
     include_current: bool = True,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """H1: sums over the rows so far of each key in ascending ``order``, and sums per key.
 
@@ -178,14 +192,14 @@ def running(
 
 
 def global_position(
-    df: DataFrame, first: str, second: str, name: str, total: str, rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, first: str, second: str, name: str, total: str, rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:
     """0-based place of each row in ascending (first, second) order, and the number of rows.
 
     Counted over the distinct values of ``first``, then inside each value, so a
     value that many rows share is cut like any hot key.
     """
-    counts = df.groupBy(first).agg(F.count("*").alias("_n"))
+    counts = stage(df.groupBy(first).agg(F.count("*").alias("_n")))
     above = running(counts, [], [first], {"_above": F.col("_n")}, {total: F.col("_n")}, False, rows_per_task)
     rows = join_by(df, above.drop("_n"), [first])
     placed = running(rows, [first], [second], {"_in": F.lit(1)}, None, False, rows_per_task)
@@ -198,27 +212,31 @@ def carried(
     order: Sequence[str],
     last: dict[str, Column] | None = None,
     coming: dict[str, Column] | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    final: dict[str, Column] | None = None,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
-    """``last``: the last non-null value at or before each row; ``coming``: the first at or after it."""
+    """``last``: the last non-null value at or before each row; ``coming``: the first at or after
+    it; ``final``: the last non-null value of the key."""
     lay = lay_out(df, by, order[0], rows_per_task)
-    last, coming = last or {}, coming or {}
+    last, coming, final = last or {}, coming or {}, final or {}
     w = W.partitionBy(*lay.parts).orderBy(*order)
     past, future = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)
+    whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     out = lay.df.select(
         "*",
         *[F.last(e, ignorenulls=True).over(past).alias(n) for n, e in last.items()],
         *[F.first(e, ignorenulls=True).over(future).alias(n) for n, e in coming.items()],
+        *[] if lay.split else [F.last(e, ignorenulls=True).over(whole).alias(n) for n, e in final.items()],
     )
     if not lay.split:
         return out
     place = F.struct(*order)
     per_chunk = lay.df
-    if lay.keys:
+    if lay.keys and not final:
         per_chunk = per_chunk.filter(F.col(CHUNK) >= 0)
     per_chunk = per_chunk.groupBy(*lay.parts).agg(
         F.lit(0).alias("_none"),
-        *[F.max_by(e, F.when(e.isNotNull(), place)).alias(f"_v_{n}") for n, e in last.items()],
+        *[F.max_by(e, F.when(e.isNotNull(), place)).alias(f"_v_{n}") for n, e in (last | final).items()],
         *[F.min_by(e, F.when(e.isNotNull(), place)).alias(f"_v_{n}") for n, e in coming.items()],
     )
     key = W.partitionBy(*(lay.keys or ["_none"])).orderBy(CHUNK)
@@ -227,9 +245,13 @@ def carried(
         *lay.parts,
         *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_v_{n}") for n in last],
         *[F.first(f"_v_{n}", ignorenulls=True).over(after).alias(f"_v_{n}") for n in coming],
+        *[
+            F.last(f"_v_{n}", ignorenulls=True).over(key.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias(n)
+            for n in final
+        ],
     )
     return join_by(out, shift, lay.parts, "left").select(
-        *df.columns, *[F.coalesce(n, f"_v_{n}").alias(n) for n in [*last, *coming]]
+        *df.columns, *[F.coalesce(n, f"_v_{n}").alias(n) for n in [*last, *coming]], *final
     )
 
 
@@ -279,7 +301,7 @@ def neighbours_window(
     columns: Callable[[W], dict[str, Column]],
     before: int = 0,
     after: int = 0,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` rows ahead."""
     lay = lay_out(df, by, order[0], rows_per_task)
@@ -302,7 +324,7 @@ def spread_time(lay: Layout, order: str, reach: float) -> DataFrame:
 
 
 def quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:
     """Exact interpolated quantiles per key, plus ``rows`` and ``distinct``.
 
@@ -310,7 +332,7 @@ def quantiles(
     Here equal values are counted first, positions come from ``running``, and the
     final aggregate only picks the values next to each wanted position.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    counted = stage(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n")))
     placed = running(
         counted, by, [value], {"_cum": F.col("_n")}, {"_total": F.col("_n")}, rows_per_task=rows_per_task
     )

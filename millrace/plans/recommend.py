@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions import money, rounded
 from millrace.operators import recommend as op
 from millrace.plans.registry import Tables, query
+from millrace.sources import stage
 
 CUT = "2000-07-01"
 MIN_SHARED, MIN_JACCARD, MIN_ITEM_COSINE, MIN_USER_COSINE = 4, 0.08, 0.12, 0.12
@@ -19,6 +20,10 @@ def bought(t: Tables, when: str | None = None):
     return op.interactions(joined, "o_custkey", "l_partkey", F.sum(money("l_quantity")))
 
 
+def staged(t: Tables, when: str | None = None):
+    return stage(bought(t, when))
+
+
 def ix_sql(name="ix", where="TRUE"):
     return f"""{name} AS (SELECT o_custkey AS "user", l_partkey AS item,
         CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS w
@@ -77,7 +82,7 @@ def _(t: Tables):
     edges_sql("item", False, "CAST(shared AS DOUBLE)", MIN_SHARED, "CAST(n AS DOUBLE)", f"n >= {MIN_SHARED}"),
 )
 def _(t: Tables):
-    return edges(op.cooccur(bought(t), MIN_SHARED))
+    return edges(op.cooccur(staged(t), MIN_SHARED))
 
 
 @query(
@@ -85,17 +90,17 @@ def _(t: Tables):
     edges_sql("item", False, "CAST(shared AS DOUBLE) / (na + nb - shared)", MIN_JACCARD, "1.0"),
 )
 def _(t: Tables):
-    return edges(op.jaccard(bought(t), MIN_JACCARD))
+    return edges(op.jaccard(staged(t), MIN_JACCARD))
 
 
 @query("r05_item_cosine", edges_sql("item", True, COSINE, MIN_ITEM_COSINE, "1.0"))
 def _(t: Tables):
-    return edges(op.cosine(bought(t), MIN_ITEM_COSINE))
+    return edges(op.cosine(staged(t), MIN_ITEM_COSINE))
 
 
 @query("r06_user_cosine", edges_sql("user", True, COSINE, MIN_USER_COSINE, "1.0"))
 def _(t: Tables):
-    return edges(op.cosine(bought(t), MIN_USER_COSINE, entity="user"))
+    return edges(op.cosine(staged(t), MIN_USER_COSINE, entity="user"))
 
 
 def near_sql(k, ix="ix"):
@@ -118,7 +123,7 @@ def near(ix, k):
     f"WITH {ix_sql()}, {near_sql(5)} SELECT item, other, floor(score * 1e6 + 0.5) / 1e6 AS score, rank FROM near",
 )
 def _(t: Tables):
-    return edges(near(bought(t), 5))
+    return edges(near(staged(t), 5))
 
 
 def recs_sql(k, ix="ix"):
@@ -130,7 +135,7 @@ def recs_sql(k, ix="ix"):
 
 @query("r08_recommend", f"WITH {ix_sql()}, {near_sql(10)}, {recs_sql(5)} SELECT * FROM recs")
 def _(t: Tables):
-    ix = bought(t)
+    ix = staged(t)
     return op.recommend(ix, near(ix, 10), 5)
 
 
@@ -148,7 +153,7 @@ def _(t: Tables):
         FROM per_rec JOIN per_truth USING ("user")""",
 )
 def _(t: Tables):
-    ix = bought(t, "<")
+    ix = staged(t, "<")
     later = bought(t, ">=").select("user", "item").join(ix, ["user", "item"], "left_anti")
     out = op.rank_eval(op.recommend(ix, near(ix, 10), 10), later, 10)
     return out.select("n_users", *[rounded(F.col(c), 9).alias(c) for c in out.columns if c != "n_users"])

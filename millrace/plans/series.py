@@ -6,6 +6,7 @@ from millrace.functions import money, rounded_all
 from millrace.operators import series as op
 from millrace.operators.predict import apply, regression_report
 from millrace.plans.registry import Tables, query
+from millrace.sources import stage
 
 DAILY_SQL = """daily AS (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS day,
         CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS y FROM events GROUP BY 1, 2),
@@ -22,7 +23,11 @@ def daily(t: Tables):
 
 
 def grid(t: Tables):
-    return op.regularise(daily(t), ["user_id"], "day", "1 day")
+    """User by day; the daily sums are read three times, so they are written once.
+
+    A user has as many rows as there are days, so windows over it need no splitting.
+    """
+    return op.regularise(stage(daily(t)), ["user_id"], "day", "1 day")
 
 
 def r(x, d=7):
@@ -73,7 +78,7 @@ def _(t: Tables):
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM grid""",
 )
 def _(t: Tables):
-    return op.fill(grid(t), ["user_id"], "day", "y", "forward")
+    return op.fill(grid(t), ["user_id"], "day", "y", "forward", rows_per_task=None)
 
 
 @query(
@@ -87,7 +92,7 @@ def _(t: Tables):
             AS filled FROM z""",
 )
 def _(t: Tables):
-    return rounded_all(op.fill(grid(t), ["user_id"], "day", "y", "linear"), 7, "filled")
+    return rounded_all(op.fill(grid(t), ["user_id"], "day", "y", "linear", rows_per_task=None), 7, "filled")
 
 
 @query(
@@ -97,7 +102,7 @@ def _(t: Tables):
         FROM grid WINDOW w AS (PARTITION BY user_id ORDER BY day)""",
 )
 def _(t: Tables):
-    return op.lags(grid(t), ["user_id"], "day", "y", [1, 7], [1])
+    return op.lags(grid(t), ["user_id"], "day", "y", [1, 7], [1], rows_per_task=None)
 
 
 @query(
@@ -132,7 +137,7 @@ EWM_LOW = " + ".join(f"CASE WHEN lag(y, {i}) OVER w IS NOT NULL THEN {(1 - ALPHA
         FROM grid WINDOW w AS (PARTITION BY user_id ORDER BY day)""",
 )
 def _(t: Tables):
-    return rounded_all(op.ewm(grid(t), ["user_id"], "day", "y", ALPHA, SPAN), 7, "ewm")
+    return rounded_all(op.ewm(grid(t), ["user_id"], "day", "y", ALPHA, SPAN, rows_per_task=None), 7, "ewm")
 
 
 @query(
@@ -159,7 +164,7 @@ ACF_LAGS = [1, 2, 7]
     ),
 )
 def _(t: Tables):
-    return rounded_all(op.acf(grid(t), ["user_id"], "day", "y", ACF_LAGS), 7, "acf")
+    return rounded_all(op.acf(grid(t), ["user_id"], "day", "y", ACF_LAGS, rows_per_task=None), 7, "acf")
 
 
 LIMIT = 60.0
@@ -176,7 +181,7 @@ LIMIT = 60.0
 )
 def _(t: Tables):
     hourly = op.bucket(t("events", "ts", "event_type", "value"), "ts", "1 hour", {"v": F.max("value")}, ["event_type"])
-    return op.episodes(hourly, ["event_type"], "bucket", "v", LIMIT, 3600)
+    return op.episodes(hourly, ["event_type"], "bucket", "v", LIMIT, 3600, rows_per_task=None)
 
 
 @query(
@@ -189,7 +194,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     hourly = op.bucket(t("events", "ts", "value"), "ts", "1 hour", {"v": F.max("value")})
-    return op.episodes(hourly, [], "bucket", "v", 150.0, 3600)
+    return op.episodes(hourly, [], "bucket", "v", 150.0, 3600, rows_per_task=None)
 
 
 @query(
@@ -227,7 +232,7 @@ def _(t: Tables):
         WINDOW w AS (PARTITION BY user_id ORDER BY day)""",
 )
 def _(t: Tables):
-    return op.naive(grid(t), ["user_id"], "day", "y", 7)
+    return op.naive(grid(t), ["user_id"], "day", "y", 7, rows_per_task=None)
 
 
 def planted_cycle(t: Tables):
@@ -236,12 +241,12 @@ def planted_cycle(t: Tables):
     y = 50 + 20 * F.sin(F.hour("ts") * (3.141592653589793 / 12)) + day + 0.02 * F.col("value")
     rows = t("events", "ts", "event_type", "value").withColumn("y", y)
     made = op.bucket(rows, "ts", "1 hour", {"y": F.avg("y")}, ["event_type"])
-    return op.regularise(made, ["event_type"], "bucket", "1 hour")
+    return op.regularise(stage(made), ["event_type"], "bucket", "1 hour")
 
 
 @query("s14_forecast")
 def _(t: Tables):
-    rows = op.forecast_features(planted_cycle(t), ["event_type"], "bucket", "y", 24)
+    rows = op.forecast_features(planted_cycle(t), ["event_type"], "bucket", "y", 24, rows_per_task=None)
     split = op.time_split(rows, "bucket", ["2024-01-22"])
     model = op.fit_forecast(split.filter("role = 'train'"), "y")
     test = split.filter("role = 'test' AND y IS NOT NULL AND lag_season IS NOT NULL")

@@ -34,3 +34,15 @@ def save(df: DataFrame, path: str, by: Sequence[str]) -> None:
     a value that holds a large part of the table into several files.
     """
     df.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared folder and read back.
+
+    For a result that several later steps read: it is computed once, its size is
+    known to the planner, and a lost executor costs no recomputation. The files stay
+    in the folder named by ``spark.checkpoint.dir`` until its owner clears it.
+    """
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
