@@ -195,8 +195,8 @@ def correlations(df: DataFrame, cols: Sequence[str], y: str | None = None) -> Da
 def balanced(df: DataFrame) -> DataFrame:
     """Training rows spread evenly over the cores.
 
-    A fit reads its input many times, each pass as slow as its largest partition, so
-    one shuffle up front is repaid.
+    Trees read their input once per level, each pass as slow as the largest partition,
+    so one shuffle up front is repaid.
     """
     spark = df.sparkSession
     return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))

@@ -12,7 +12,8 @@ cross a chunk border travels in a table with a few rows per chunk:
 * ``spread_time`` a time range: rows copied into the later chunks they can reach
 
 When no key is hot the plan is the ordinary window. A key-less order (``by=[]``)
-is always cut.
+is always cut. Counting the keys reads the input once more, so callers write an
+input that is costly to compute to the shared folder first (``sources.stage``).
 """
 
 from __future__ import annotations
@@ -83,10 +84,6 @@ def position(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def _chunks(rows: int, rows_per_task: int) -> int:
-    return max(MIN_CHUNKS, min(MAX_CHUNKS, math.ceil(rows / rows_per_task)))
-
-
 def lay_out(
     df: DataFrame,
     by: Sequence[str],
@@ -102,7 +99,6 @@ def lay_out(
     keys = list(by)
     if rows_per_task is None:
         return Layout(df, keys, split=False)
-    wanted = MAX_CHUNKS
     if keys:
         hot = hot_keys(df, keys, rows_per_task)
         if not hot:
@@ -111,22 +107,17 @@ def lay_out(
         small = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema))
         flagged = join_by(df, small.withColumn("_hot", F.lit(True)), keys, "left")
         flagged = flagged.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-        wanted = _chunks(sum(r["_n"] for r in hot), rows_per_task)
+        rows = sum(r["_n"] for r in hot)
     else:
         flagged = df.withColumn("_hot", F.lit(True))
-    found = (
+        rows = df.count()
+    wanted = max(MIN_CHUNKS, min(MAX_CHUNKS, math.ceil(rows / rows_per_task)))
+    cuts = (
         flagged.filter("_hot")
         .select(position(df, order).alias(_POS))
-        .agg(
-            F.count("*").alias("n"),
-            F.percentile_approx(_POS, [i / wanted for i in range(1, wanted)], 10 * wanted).alias("cuts"),
-        )
-        .first()
-    )
-    cuts = found["cuts"] or []
-    if not keys:
-        step = wanted // _chunks(found["n"], rows_per_task)
-        cuts = cuts[step - 1 :: step]
+        .agg(F.percentile_approx(_POS, [i / wanted for i in range(1, wanted)], 20 * wanted).alias("cuts"))
+        .first()["cuts"]
+    ) or []
     edges: list[float] = []
     for c in sorted(set(cuts)):
         if not edges or c - edges[-1] >= min_width:

@@ -38,7 +38,7 @@ def simple_ols(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
 
 def fit_linear(train: DataFrame, cols: Sequence[str], y: str, reg: float = 0.0, l1: float = 0.0) -> LinearRegressionModel:
     """Linear, ridge (``reg``) or elastic-net (``l1`` is the share of L1) regression."""
-    return LinearRegression(labelCol=y, regParam=reg, elasticNetParam=l1).fit(balanced(assemble(train, cols)))
+    return LinearRegression(labelCol=y, regParam=reg, elasticNetParam=l1).fit(assemble(train, cols))
 
 
 def coefficients(model: LinearRegressionModel, cols: Sequence[str], df: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def fit_trees(train: DataFrame, cols: Sequence[str], y: str, kind: str = "forest
         "forest": lambda: RandomForestRegressor(**{"numTrees": 20, "maxDepth": 6, "seed": 7, **params}),
         "boosted": lambda: GBTRegressor(**{"maxIter": 20, "maxDepth": 4, "seed": 7, **params}),
     }
-    return kinds[kind]().setLabelCol(y).fit(balanced(assemble(train, cols)))
+    return kinds[kind]().setLabelCol(y).fit(balanced(assemble(train, cols).select(y, "features")))
 
 
 def fit_classifier(train: DataFrame, cols: Sequence[str], label: str = "label", kind: str = "logistic", **params) -> Model:
@@ -63,7 +63,8 @@ def fit_classifier(train: DataFrame, cols: Sequence[str], label: str = "label",
         "forest": lambda: RandomForestClassifier(**{"numTrees": 20, "maxDepth": 5, "seed": 7, **params}),
         "boosted": lambda: GBTClassifier(**{"maxIter": 15, "maxDepth": 3, "seed": 7, **params}),
     }
-    return kinds[kind]().setLabelCol(label).fit(balanced(assemble(train, cols)))
+    rows = assemble(train, cols).select(label, "features")
+    return kinds[kind]().setLabelCol(label).fit(rows if kind == "logistic" else balanced(rows))
 
 
 def apply(model: Model, df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -104,4 +105,4 @@ def tune(
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=k, foldCol=fold, seed=7
     )
-    return cv.fit(stage(balanced(assemble(train, cols))))
+    return cv.fit(stage(balanced(assemble(train, cols).select(estimator.getLabelCol(), fold, "features"))))
