@@ -49,16 +49,13 @@ def centroid_labels(t: Tables):
 query("v03_nearest_centroid", f"WITH {NEAREST_SQL} SELECT * FROM pred")(centroid_labels)
 
 
-def split(t: Tables):
-    """One vector in five is a question; the others answer it."""
-    rows = t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label")
-    asked = F.col("id") % 5 == 0
-    return rows.filter(~asked), rows.filter(asked).select("id", "vec")
+def vectors(t: Tables):
+    return t("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "label")
 
 
 KNN_SQL = """near AS (SELECT a.vec_id AS id, b.vec_id AS other, b.label,
         round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS distance
-        FROM embeddings a, embeddings b WHERE a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0
+        FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id
         QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY distance, b.vec_id) <= 5)"""
 
 
@@ -68,28 +65,27 @@ KNN_SQL = """near AS (SELECT a.vec_id AS id, b.vec_id AS other, b.label,
         QUALIFY row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) = 1""",
 )
 def _(t: Tables):
-    train, test = split(t)
-    return op.knn_vote(train, test, 5)
+    return op.knn_vote(vectors(t), None, 5)
 
 
 @query("v05_knn_lsh")
 def _(t: Tables):
-    train, test = split(t)
-    return op.knn_lsh(train, test, 5)
+    return op.knn_lsh(vectors(t), None, 5)
 
 
 def planted_vectors(t: Tables):
     """The embeddings moved towards a corner of their class, so that there is a signal to learn."""
     moved = F.transform("embedding", lambda x, i: x + F.when(i == F.col("label"), 1.0).otherwise(0.0).cast("float"))
-    rows = t("embeddings").select(F.col("vec_id").alias("id"), moved.alias("vec"), "label")
-    mark = held_out("id", 0.25)
-    return rows.filter(~mark), rows.filter(mark)
+    return t("embeddings").select(
+        F.col("vec_id").alias("id"), moved.alias("vec"), "label", held_out("vec_id", 0.25).alias("held_out")
+    )
 
 
 def _fit(kind, **params):
     def build(t: Tables):
-        train, test = planted_vectors(t)
-        return op.predict(op.fit_multiclass(train, kind, **params), test).select("id", "label", "prediction")
+        rows = planted_vectors(t)
+        model = op.fit_multiclass(rows.filter(~F.col("held_out")), kind, **params)
+        return op.predict(model, rows).select("id", "label", "held_out", "prediction")
 
     return build
 
