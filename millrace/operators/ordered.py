@@ -9,7 +9,6 @@ cross a chunk border travels in a table with a few rows per chunk:
 * ``running``     sums so far: totals of the earlier chunks are added
 * ``carried``     last (or next) non-null value: taken from the nearest chunk that has one
 * ``with_halo``   a fixed number of neighbouring rows: copied from the next chunks
-* ``spread_time`` a time range: rows copied into the later chunks they can reach
 
 When no key is hot the plan is the ordinary window. A key-less order (``by=[]``)
 is always cut. Counting the keys reads the input once more, so callers write an
@@ -46,7 +45,6 @@ class Layout:
     df: DataFrame
     keys: list[str]
     split: bool
-    chunk_of: Callable[[DataFrame, Column, str], DataFrame] | None = None
 
     @property
     def parts(self) -> list[str]:
@@ -89,7 +87,6 @@ def lay_out(
     by: Sequence[str],
     order: str,
     rows_per_task: int | None = ROWS_PER_TASK,
-    min_width: float = 0.0,
 ) -> Layout:
     """Add a chunk column if some key holds more rows than one task should.
 
@@ -118,21 +115,11 @@ def lay_out(
         .agg(F.percentile_approx(_POS, [i / wanted for i in range(1, wanted)], 20 * wanted).alias("cuts"))
         .first()["cuts"]
     ) or []
-    edges: list[float] = []
-    for c in sorted(set(cuts)):
-        if not edges or c - edges[-1] >= min_width:
-            edges.append(c)
-    edges = edges or [0.0]
-
-    def chunk_of(rows_: DataFrame, pos: Column, name: str) -> DataFrame:
-        tmp = rows_.withColumn(_POS, F.coalesce(pos, F.lit(float("-inf"))))
-        ends = [-float("inf"), *edges, float("inf")]
-        tmp = Bucketizer(splits=ends, inputCol=_POS, outputCol=name, handleInvalid="keep").transform(tmp)
-        return tmp.withColumn(name, F.col(name).cast("int")).drop(_POS)
-
-    laid = chunk_of(flagged, position(df, order), CHUNK)
-    laid = laid.withColumn(CHUNK, F.when(F.col("_hot"), F.col(CHUNK)).otherwise(F.lit(-1))).drop("_hot")
-    return Layout(laid, keys, True, chunk_of)
+    ends = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
+    placed = flagged.withColumn(_POS, F.coalesce(position(df, order), F.lit(float("-inf"))))
+    placed = Bucketizer(splits=ends, inputCol=_POS, outputCol=CHUNK, handleInvalid="keep").transform(placed)
+    chunk = F.when(F.col("_hot"), F.col(CHUNK).cast("int")).otherwise(F.lit(-1))
+    return Layout(placed.withColumn(CHUNK, chunk).drop(_POS, "_hot"), keys, True)
 
 
 def running(
@@ -143,19 +130,28 @@ def running(
     totals: dict[str, Column] | None = None,
     include_current: bool = True,
     rows_per_task: int | None = ROWS_PER_TASK,
+    tops: dict[str, Column] | None = None,
+    peers: bool = False,
 ) -> DataFrame:
-    """H1: sums over the rows so far of each key in ascending ``order``, and sums per key.
+    """H1: sums (and ``tops``: largest values) over the rows so far of each key in ascending
+    ``order``, and sums per key (``totals``).
 
-    Empty sums are 0. ``order`` must be total within a key.
+    Empty sums are 0. ``order`` must be total within a key, unless ``peers`` asks for all
+    rows up to and including those with an equal value of a single order column.
     """
     lay = lay_out(df, by, order[0], rows_per_task)
-    sums, totals = sums or {}, totals or {}
+    sums, totals, tops = sums or {}, totals or {}, tops or {}
     local = W.partitionBy(*lay.parts)
-    frame = local.orderBy(*order).rowsBetween(W.unboundedPreceding, 0 if include_current else -1)
+    frame = local.orderBy(*order)
+    if peers:
+        frame = frame.rangeBetween(W.unboundedPreceding, W.currentRow)
+    else:
+        frame = frame.rowsBetween(W.unboundedPreceding, 0 if include_current else -1)
     zero = F.lit(0)
     out = lay.df.select(
         "*",
         *[F.coalesce(F.sum(e).over(frame), zero).alias(n) for n, e in sums.items()],
+        *[F.max(e).over(frame).alias(n) for n, e in tops.items()],
         *([] if lay.split else [F.coalesce(F.sum(e).over(local), zero).alias(n) for n, e in totals.items()]),
     )
     if not lay.split:
@@ -166,6 +162,7 @@ def running(
     per_chunk = per_chunk.groupBy(*lay.parts).agg(
         F.lit(0).alias("_none"),
         *[F.sum(e).alias(f"_s_{n}") for n, e in sums.items()],
+        *[F.max(e).alias(f"_m_{n}") for n, e in tops.items()],
         *[F.sum(e).alias(f"_t_{n}") for n, e in totals.items()],
     )
     key = W.partitionBy(*lay.keys) if lay.keys else W.partitionBy("_none")
@@ -173,11 +170,13 @@ def running(
     shift = per_chunk.select(
         *lay.parts,
         *[F.sum(f"_s_{n}").over(before).alias(f"_s_{n}") for n in sums],
+        *[F.max(f"_m_{n}").over(before).alias(f"_m_{n}") for n in tops],
         *[F.sum(f"_t_{n}").over(key).alias(f"_t_{n}") for n in totals],
     )
     return join_by(out, shift, lay.parts, "left").select(
         *df.columns,
         *[(F.col(n) + F.coalesce(f"_s_{n}", zero)).alias(n) for n in sums],
+        *[F.greatest(n, f"_m_{n}").alias(n) for n in tops],
         *[F.coalesce(f"_t_{n}", zero).alias(n) for n in totals],
     )
 
@@ -211,12 +210,16 @@ def carried(
     lay = lay_out(df, by, order[0], rows_per_task)
     last, coming, final = last or {}, coming or {}, final or {}
     w = W.partitionBy(*lay.parts).orderBy(*order)
-    past, future = w.rowsBetween(W.unboundedPreceding, 0), w.rowsBetween(0, W.unboundedFollowing)
+    past = w.rowsBetween(W.unboundedPreceding, 0)
+    # A frame from the current row to the end costs the square of the rows; a reversed
+    # order with a frame from the start does not.
+    back = W.partitionBy(*lay.parts).orderBy(*[F.desc(c) for c in order])
+    future = back.rowsBetween(W.unboundedPreceding, 0)
     whole = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     out = lay.df.select(
         "*",
         *[F.last(e, ignorenulls=True).over(past).alias(n) for n, e in last.items()],
-        *[F.first(e, ignorenulls=True).over(future).alias(n) for n, e in coming.items()],
+        *[F.last(e, ignorenulls=True).over(future).alias(n) for n, e in coming.items()],
         *[] if lay.split else [F.last(e, ignorenulls=True).over(whole).alias(n) for n, e in final.items()],
     )
     if not lay.split:
@@ -231,11 +234,12 @@ def carried(
         *[F.min_by(e, F.when(e.isNotNull(), place)).alias(f"_v_{n}") for n, e in coming.items()],
     )
     key = W.partitionBy(*(lay.keys or ["_none"])).orderBy(CHUNK)
-    before, after = key.rowsBetween(W.unboundedPreceding, -1), key.rowsBetween(1, W.unboundedFollowing)
+    before = key.rowsBetween(W.unboundedPreceding, -1)
+    after = W.partitionBy(*(lay.keys or ["_none"])).orderBy(F.desc(CHUNK)).rowsBetween(W.unboundedPreceding, -1)
     shift = per_chunk.select(
         *lay.parts,
         *[F.last(f"_v_{n}", ignorenulls=True).over(before).alias(f"_v_{n}") for n in last],
-        *[F.first(f"_v_{n}", ignorenulls=True).over(after).alias(f"_v_{n}") for n in coming],
+        *[F.last(f"_v_{n}", ignorenulls=True).over(after).alias(f"_v_{n}") for n in coming],
         *[
             F.last(f"_v_{n}", ignorenulls=True).over(key.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias(n)
             for n in final
@@ -302,18 +306,6 @@ def neighbours_window(
     return out.filter(~F.col(HALO)).select(*df.columns, *made)
 
 
-def spread_time(lay: Layout, order: str, reach: float) -> DataFrame:
-    """Rows plus copies in every later chunk of their key that starts within ``reach``."""
-    if not lay.split:
-        return lay.df.withColumn(HALO, F.lit(False))
-    cold = lay.df.filter(F.col(CHUNK) < 0).withColumn(HALO, F.lit(False))
-    hot = lay.df.filter(F.col(CHUNK) >= 0)
-    far = lay.chunk_of(hot, position(lay.df, order) + F.lit(reach), "_far")
-    far = far.withColumn("_own", F.col(CHUNK)).withColumn(CHUNK, F.explode(F.sequence("_own", "_far")))
-    far = far.withColumn(HALO, F.col(CHUNK) != F.col("_own")).drop("_own", "_far")
-    return cold.unionByName(far)
-
-
 def quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float], rows_per_task: int | None = ROWS_PER_TASK
 ) -> DataFrame:

@@ -9,16 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from millrace.functions import seconds_between
+from millrace.functions import micros, seconds_between
 from millrace.operators.ordered import (
-    HALO,
-    ROWS_PER_TASK,
     carried,
     join_by,
-    lay_out,
     neighbours_window,
     running,
-    spread_time,
 )
 from millrace.operators.predict import fit_linear
 
@@ -95,29 +91,39 @@ def rolling(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
     return neighbours_window(df, by, order, made, before=rows - 1, **kw)
 
 
-def rolling_time(
-    df: DataFrame, by: Sequence[str], ts: str, value: str, seconds: int, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
-    """Count, mean and largest over the last ``seconds``, the row's own time included.
+def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str, seconds: int, **kw) -> DataFrame:
+    """Count, mean and largest over the last ``seconds``, both ends included.
 
-    A hot key is cut into chunks no narrower than the range, so rows are copied to
-    few chunks.
+    A RANGE frame visits every row of every window. Here time is cut into blocks of
+    ``seconds``: a window is the start of its own block up to the row, and the rest of
+    the block before. Rows of the block before join the block shifted by ``seconds``,
+    where "still in the window" means "at or after the row", so both parts are running
+    aggregates, and a key is spread over its blocks.
     """
     reach = seconds * 1_000_000
-    lay = lay_out(df, by, ts, rows_per_task, min_width=reach)
-    rows = spread_time(lay, ts, reach)
-    part = ", ".join(f"`{c}`" for c in lay.parts)
-    over = (
-        f"OVER ({f'PARTITION BY {part} ' if part else ''}ORDER BY `{ts}` "
-        f"RANGE BETWEEN INTERVAL {seconds} SECOND PRECEDING AND CURRENT ROW)"
+    at = F.when(F.col(ts).isNotNull(), micros(F.col(ts)))
+    block = F.floor(at / reach)
+    places = F.array(
+        F.struct(F.lit(1).alias("own"), block.alias("block"), at.alias("pos")),
+        F.struct(F.lit(0).alias("own"), (block + 1).alias("block"), (at + reach).alias("pos")),
     )
-    out = rows.selectExpr(
-        "*",
-        f"count(`{value}`) {over} AS roll_n",
-        f"avg(`{value}`) {over} AS roll_mean",
-        f"max(`{value}`) {over} AS roll_max",
+    rows = df.withColumn("_p", F.explode(places)).select(
+        *df.columns, F.col("_p.own").alias("_own"), F.col("_p.block").alias("_block"), F.col("_p.pos").alias("_at")
+    )
+    rows = rows.filter("_own = 1 OR _at IS NOT NULL").withColumn("_back", -F.col("_at"))
+    for own, order, mark in ((1, "_at", "a"), (0, "_back", "b")):
+        x = F.when(F.col("_own") == own, F.col(value))
+        rows = running(
+            rows, [*by, "_block"], [order], {f"_n{mark}": x.isNotNull().cast("int"), f"_s{mark}": x},
+            tops={f"_m{mark}": x}, peers=True, **kw,
+        )
+    n, total = F.col("_na") + F.col("_nb"), F.col("_sa") + F.col("_sb")
+    return rows.filter("_own = 1").select(
+        *df.columns,
+        n.alias("roll_n"),
+        F.try_divide(total, n).alias("roll_mean"),
+        F.greatest("_ma", "_mb").alias("roll_max"),
     )
-    return out.filter(~F.col(HALO)).select(*df.columns, "roll_n", "roll_mean", "roll_max")
 
 
 def ewm(df: DataFrame, by: Sequence[str], ts: str, value: str, alpha: float, span: int, **kw) -> DataFrame:
