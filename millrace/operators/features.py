@@ -8,7 +8,6 @@ from itertools import combinations
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from millrace.operators.ordered import global_position, join_by, quantiles, running
 

@@ -7,7 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from millrace.functions import micros, seconds_between
 from millrace.operators.ordered import (
