@@ -112,6 +112,15 @@ def test_string_positions_keep_the_order(spark):
     assert all(r["lo"] == want[r["w"]] and r["hi"] == want[r["w"]] + 19 for r in at)
 
 
+@pytest.mark.parametrize("task", [HOT, 5_000_000])
+def test_rolling_time_equals_a_range_frame(log, task):
+    rows = log.unionByName(log.limit(1).selectExpr("990L AS id", "0L AS unit", "CAST(NULL AS timestamp_ntz) AS ts", "2D AS value", "state"))
+    for seconds in (60, 7200, 900_000):
+        over = f"(PARTITION BY unit ORDER BY ts RANGE BETWEEN INTERVAL {seconds} SECOND PRECEDING AND CURRENT ROW)"
+        want = rows.selectExpr("*", f"count(value) OVER {over} n", f"avg(value) OVER {over} a", f"max(value) OVER {over} m")
+        assert rows_of(series.rolling_time(rows, ["unit"], "ts", "value", seconds, rows_per_task=task)) == rows_of(want)
+
+
 def test_quantiles_against_numpy(spark):
     import numpy as np
 
