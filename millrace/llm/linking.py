@@ -1,11 +1,11 @@
 """Links between sets that share keys, and the components the links make.
 
 A key shared by few sets gives all their pairs. A key shared by more gives no pairs
-among them: each set is paired with a few hubs, which already joins a group of near
-copies into one component; afterwards only sets that share such a key and still lie in
-different components are paired, and never the largest component's sets among
-themselves. Every pair that could join two components is verified, so components are
-those of all links.
+among them: in a few rounds each set is paired with some hubs, the sets that share most,
+which joins a group of near copies into one component; afterwards only sets that share
+such a key and still lie in different components are paired, and never the largest
+component's sets among themselves. Every pair that could join two components is
+verified, so components are those of all links.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from millrace.sources import stage
 
 #: A key of at most so many sets gives all pairs: at most half as many pairs for each row.
 SMALL_RUN = 12
-HUBS = 4
+ROUNDS = 2
 _SCHEMA = "kind int, token bigint, a bigint, b bigint, n int, pos int"
 _ARROW = pa.schema([("kind", pa.int32()), ("token", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int32()), ("pos", pa.int32())])
 
@@ -32,7 +32,8 @@ def _batch(kind, token, a, b, n, pos) -> pa.RecordBatch:
 
 
 def _meet(percent: int):
-    """Rows sorted by (token, node) in; pairs of short runs (kind 0) and the rows of long runs (kind 1) out."""
+    """Rows sorted by (token, node) in; out: pairs of short runs (kind 0), the
+    rows of long runs (kind 1), and how many tokens a node shares with any other (kind 2, n)."""
 
     def possible(na, nb, pa_, pb):
         least, most = np.minimum(na, nb), np.maximum(na, nb)
@@ -56,6 +57,10 @@ def _meet(percent: int):
             pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1)
             empty = np.zeros(pairs.shape[1], np.int64)
             yield _batch(0, empty, pairs[0], pairs[1], empty, empty)
+        shared = (size > 1)[run] if len(t) else big
+        if shared.any():
+            nodes, counts = np.unique(v[shared], return_counts=True)
+            yield _batch(2, nodes, nodes, nodes, counts, np.zeros(len(nodes), np.int64))
         if big.any():
             yield _batch(1, t[big], v[big], v[big], n[big], p[big])
 
@@ -75,6 +80,7 @@ def _meet(percent: int):
                 k = int(np.searchsorted(t, hot, "right"))
                 if k:
                     yield _batch(1, t[:k], v[:k], v[:k], n[:k], p[:k])
+                    yield _batch(2, v[:k], v[:k], v[:k], np.ones(k, np.int64), p[:k])
                 t, v, n, p = t[k:], v[k:], n[k:], p[k:]
             if not len(t):
                 continue
@@ -91,59 +97,127 @@ def _meet(percent: int):
     return run
 
 
-def _may_reach(percent: int, na: Column, nb: Column, pa_: Column, pb: Column) -> Column:
-    overlap = F.least(pa_, pb) + F.least(na - pa_, nb - pb)
+def _pairs(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _may_reach(percent: int, x: str, y: str) -> Column:
+    """Whether two nodes' sizes, places of a common token and counts of tokens that only they have allow a link.
+
+    What is common lies before both places or after them, and outside each node's own tokens.
+    """
+    c = lambda side, name: F.col(f"{side}.{name}")
+    na, nb = c(x, "n"), c(y, "n")
+    around = F.least(c(x, "pos"), c(y, "pos")) + F.least(na - c(x, "pos"), nb - c(y, "pos"))
+    overlap = F.least(around, na - c(x, "own"), nb - c(y, "own"))
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * overlap >= percent * (na + nb))
 
 
-def _pairs(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def marked_overlap(na: Column, nb: Column, a: Column, b: Column) -> Column:
+    """The most that two sets can have in common, by the cells each marks: a cell marked by one alone holds a member of one alone."""
+    alone = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda s, k: s + k)
+    return F.least(na - alone(a, b), nb - alone(b, a))
 
 
-def linked(rows: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def linked(
+    rows: DataFrame,
+    percent: int,
+    verify: Callable[[DataFrame], DataFrame],
+    prefix: Callable[[Column], Column] | None = None,
+    marks: Callable[[DataFrame], DataFrame] | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) and the components (node, component) of the nodes that have any.
 
     ``rows``: token, node, n (size of the node's set), pos (place of the token in the
-    node's own order of tokens; 0 where there is none). Two nodes are compared if they share a token
-    and size and places allow ``percent``. ``verify`` gets distinct pairs (a < b) and
-    returns those that link. A component is named by its smallest node.
+    node's own order of tokens; 0 where there is none). Two nodes are compared if they
+    share a token and their sizes and places allow ``percent``. ``prefix`` gives from n the
+    number of tokens each node has in ``rows``, where tokens are members of the set. ``verify``
+    gets distinct pairs (a < b) with columns shared_a and shared_b, the number of
+    tokens each shares with any other node, and returns those that link. ``marks`` gives
+    (node, marks) for nodes, for :func:`marked_overlap`. A component is named by its smallest node.
     """
     met = stage(rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_meet(percent), _SCHEMA))
-    few = met.where("kind = 0").select(*_pairs(F.col("a"), F.col("b")))
+    shared = stage(met.where("kind = 2").groupBy(F.col("a").alias("node")).agg(F.sum("n").cast("int").alias("shared")))
+
+    def with_own(pairs: DataFrame) -> DataFrame:
+        for x in "ab":
+            pairs = pairs.join(shared.select(F.col("node").alias(x), F.col("shared").alias(f"shared_{x}")), x)
+        return pairs
+
+    few = met.where("kind = 0").select(*_pairs(F.col("a"), F.col("b"))).distinct()
+    links = stage(verify(with_own(few)))
     long = met.where("kind = 1").select("token", F.col("a").alias("node"), "n", "pos")
     if long.isEmpty():
-        links = stage(verify(few.distinct()))
         return links, components(links)
-    place = F.struct(F.col("node"), F.col("n"), F.col("pos"))
-    hubs = long.groupBy("token").agg(*[F.min_by(place, F.xxhash64("node", F.pmod("token", F.lit(2)), F.lit(i))).alias(f"h{i}") for i in range(HUBS)])
-    hub = F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(HUBS)]))).alias("hub")
-    to_hubs = (
-        long.join(hubs.select("token", hub), "token")
-        .where("node != hub.node")
-        .where(_may_reach(percent, F.col("n"), F.col("hub.n"), F.col("pos"), F.col("hub.pos")))
-        .select(*_pairs(F.col("node"), F.col("hub.node")))
-    )
-    tried = stage(few.union(to_hubs).distinct())
-    links = stage(verify(tried))
+    own = F.greatest(F.lit(0), prefix(F.col("n")) - F.col("shared")).cast("int") if prefix else F.lit(0)
+    long = stage(long.join(shared, "node").withColumn("own", own).withColumn("weight", F.col("shared") / F.col("n") - F.col("own")))
     found = components(links)
-    # tokens whose nodes are not all joined yet
-    placed = long.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    for turn in range(ROUNDS):
+        long = _unsettled(long, found)
+        if long.isEmpty():
+            return links, found
+        more = stage(verify(with_own(_to_hubs(long, percent, turn))))
+        links = stage(links.union(more).distinct())
+        found = components(links)
+    long = _unsettled(long, found)
+    if not long.isEmpty():
+        links = stage(links.union(verify(with_own(_across(long, percent, marks)))).distinct())
+        found = components(links)
+    return links, found
+
+
+def _unsettled(long: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of tokens whose nodes lie in more than one component, with their component."""
+    placed = long.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parted = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    left = stage(placed.join(parted.select("token"), "token", "left_semi"))
-    if left.isEmpty():
-        return links, found
-    main = left.groupBy("token", "component").count().groupBy("token").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    rest = left.join(main, "token").where("component != main").select("token", *[F.col(c).alias(f"{c}_r") for c in ("node", "n", "pos", "component")])
-    more = (
-        left.join(rest, "token")
-        .where("component != component_r")
-        .where(_may_reach(percent, F.col("n"), F.col("n_r"), F.col("pos"), F.col("pos_r")))
-        .select(*_pairs(F.col("node"), F.col("node_r")))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
+    return stage(placed.join(parted.select("token"), "token", "left_semi"))
+
+
+_PLACE = ("node", "n", "pos", "own", "component")
+
+
+def _to_hubs(long: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Each node with a few of the nodes that share most, at most four pairs for a node."""
+    place = F.struct(*_PLACE)
+    coarse = F.round(F.col("weight"), 1)
+    chance = [F.xxhash64("node", F.lit(turn * 10 + i)) for i in range(3)]
+    hubs = long.groupBy("token").agg(
+        F.max_by(place, F.struct("weight", chance[0])).alias("h0"),
+        F.max_by(place, F.struct(coarse, chance[1])).alias("h1"),
+        F.max_by(place, chance[2]).alias("h2"),
     )
-    links = stage(links.union(verify(more)))
-    return links, components(links)
+    mine = long.alias("x").join(hubs, "token").select(*[F.col(f"x.{c}") for c in _PLACE], "h0", "h1", "h2")
+    best = []
+    for i in range(3):
+        fits = (F.col(f"h{i}.component") != F.col("component")) & _may_reach(percent, "self", f"h{i}")
+        best.append(F.min_by(F.when(fits, F.col(f"h{i}.node")), F.when(fits, F.xxhash64(f"h{i}.node", F.lit(turn)))).alias(f"b{i}"))
+    per_node = mine.withColumn("self", F.struct(*_PLACE)).groupBy("node").agg(*best)
+    one = per_node.select("node", F.explode(F.array_compact(F.array_distinct(F.array("b0", "b1", "b2")))).alias("hub"))
+    return one.select(*_pairs(F.col("node"), F.col("hub"))).distinct()
+
+
+def _across(long: DataFrame, percent: int, marks: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+    """All pairs that share a token, lie in different components, and may link."""
+    if marks:
+        long = stage(long.join(marks(long.select("node").distinct()), "node"))
+    main = long.groupBy("token", "component").count().groupBy("token").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    rest = long.join(main, "token").where("component != main").drop("main")
+    x, y = rest.alias("x"), long.alias("y")
+    meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may_reach(percent, "x", "y")
+    if marks:
+        most = marked_overlap(F.col("x.n"), F.col("y.n"), F.col("x.marks"), F.col("y.marks"))
+        meets &= F.when(_may_reach(percent, "x", "y"), (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n")))
+    return x.join(y, meets).select(*_pairs(F.col("x.node"), F.col("y.node"))).distinct()
+
+
+#: Rows of one or two numbers that every executor may hold: a few tens of MB.
+SMALL_ROWS = 500_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, written; with a broadcast hint if it is counted to have at most ``SMALL_ROWS`` rows."""
+    kept = stage(df)
+    return F.broadcast(kept) if kept.count() <= SMALL_ROWS else kept
 
 
 def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:

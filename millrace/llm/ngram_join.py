@@ -10,18 +10,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import arrowtext as at
-from millrace.llm.linking import linked, verified
+from millrace.llm.linking import linked, marked_overlap, small, verified
 from millrace.sources import stage
 
 PERCENT = 75
 SKETCH_BITS = 20
 BLOCKS = 16
-#: Ranges of shingle hashes that the suffix filter counts.
-RANGES = 32
+#: Hash cells of the suffix filter; each set marks the cells that its shingles fall into.
+CELLS = 2048
 
 
 def _sets(texts: at.Texts):
@@ -32,8 +32,8 @@ def _sets(texts: at.Texts):
 def _profile(batches):
     """A row for each document (block NULL), and this task's share of the sketch in blocks (doc_id NULL)."""
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int32(), pa.binary()]
-    names = ["doc_id", "n_shingles", "key", "ranges", "block", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    names = ["doc_id", "n_shingles", "key", "marks", "block", "counts"]
 
     def out(arrays):
         return pa.RecordBatch.from_arrays([pa.array(x, k) if not isinstance(x, pa.Array) else x for x, k in zip(arrays, kinds, strict=True)], names)
@@ -42,11 +42,12 @@ def _profile(batches):
         for texts in at.slices(batch.column("text"), lower=True):
             off, rows, found = _sets(texts)
             sketch += np.bincount(found >> np.uint64(64 - SKETCH_BITS), minlength=1 << SKETCH_BITS).astype(np.uint32)
-            cell = rows * RANGES + (found & np.uint64(RANGES - 1)).astype(np.int64)
-            ranges = np.bincount(cell, minlength=texts.rows * RANGES).astype(np.int32)
+            marks = np.zeros(texts.rows * CELLS, bool)
+            marks[rows * CELLS + (found & np.uint64(CELLS - 1)).astype(np.int64)] = True
+            marks = np.packbits(marks).view(np.int64)
             key, _ = at.set_keys(off, found)
             none = [None] * texts.rows
-            yield out([batch.column("doc_id").slice(texts.low, texts.rows).cast(pa.int64()), np.diff(off).astype(np.int64), at.signed(key), at.lists(np.arange(texts.rows + 1) * RANGES, ranges), none, none])
+            yield out([batch.column("doc_id").slice(texts.low, texts.rows).cast(pa.int64()), np.diff(off).astype(np.int64), at.signed(key), at.lists(np.arange(texts.rows + 1) * (CELLS // 64), marks), none, none])
     none = [None] * BLOCKS
     yield out([none, none, none, none, np.arange(BLOCKS, dtype=np.int32), [x.tobytes() for x in np.split(sketch, BLOCKS)]])
 
@@ -65,8 +66,8 @@ def _added(batches):
 
 
 def profiles(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, key, ranges) of every row, and each sketch cell's logarithmic rarity."""
-    both = stage(docs.select("doc_id", "text").mapInArrow(_profile, "doc_id bigint, n_shingles bigint, key bigint, ranges array<int>, block int, counts binary"))
+    """(doc_id, n_shingles, key, marks) of every row, and each sketch cell's logarithmic rarity."""
+    both = stage(docs.select("doc_id", "text").mapInArrow(_profile, "doc_id bigint, n_shingles bigint, key bigint, marks array<bigint>, block int, counts binary"))
     parts = both.where("block is not null").select("block", "counts").mapInArrow(_added, "block int, counts binary")
     blocks = parts.repartition(BLOCKS, "block").mapInArrow(_added, "block int, counts binary").collect()  # 8 MB at any input
     counts = np.concatenate([np.frombuffer(x.counts, np.uint64) for x in sorted(blocks)]) if blocks else np.zeros(1 << SKETCH_BITS, np.uint64)
@@ -74,6 +75,13 @@ def profiles(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return both.where("block is null").drop("block", "counts"), rank
 
 
+def _prefix(n, percent: int):
+    """How many of a set's n tokens have one in common with any set that links with it. For arrays and columns."""
+    if isinstance(n, Column):
+        return n - F.floor((percent * n + 99) / 100) + 1
+    return n - (percent * n + 99) // 100 + 1
+
+
 def prefixes(docs: DataFrame, rank: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """token, node (key of the set), n, pos: the first tokens of each set in rare-first order."""
     shared = docs.sparkSession.sparkContext.broadcast(rank)  # one byte for each sketch cell
@@ -84,7 +92,7 @@ def prefixes(docs: DataFrame, rank: np.ndarray, percent: int = PERCENT) -> DataF
         rarity = shared.value[(found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
         found = found[np.argsort(rows * 64 + rarity, kind="stable")]
         pos = np.arange(len(rows)) - off[rows]
-        first = pos < (n - (percent * n + 99) // 100 + 1)[rows]
+        first = pos < _prefix(n, percent)[rows]
         rows, found, pos = rows[first], found[first], pos[first]
         arrays = [at.signed(found), at.signed(key[rows]), pa.array(n[rows], pa.int32()), pa.array(pos, pa.int32())]
         return pa.RecordBatch.from_arrays(arrays, ["token", "node", "n", "pos"])
@@ -111,33 +119,35 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     rows, rank = profiles(docs)
 
+    by_key = rows.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "doc_id", "marks")
+
+    def known_of(nodes: DataFrame) -> DataFrame:
+        some = by_key.join(nodes, "node", "left_semi").groupBy("node")
+        return some.agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.max("marks").alias("marks"))
+
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = stage(pairs)
-        nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        known = stage(
-            rows.join(nodes, rows.key == nodes.node, "left_semi")
-            .groupBy(F.col("key").alias("node"))
-            .agg(F.min("n_shingles").alias("n"), F.min("doc_id").alias("doc_id"), F.max("ranges").alias("ranges"))
-        )
-        side = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "ranges")])
-        # the suffix filter: shingles in common, range by range, are at most the smaller count
-        most = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+        known = stage(known_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
+        side = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "marks")])
+        free = lambda x: F.least(F.col(f"n_{x}"), F.col(f"n_{x}") - _prefix(F.col(f"n_{x}"), percent) + F.col(f"shared_{x}"))
+        room = F.least(free("a"), free("b"), marked_overlap(F.col("n_a"), F.col("n_b"), F.col("marks_a"), F.col("marks_b")))
         likely = stage(
             pairs.join(side("a"), F.col("a") == F.col("node_a"))
             .join(side("b"), F.col("b") == F.col("node_b"))
-            .where((100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b")))
+            .where((100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b")))
             .select("a", "b")
         )
 
         def sets(wanted: DataFrame) -> DataFrame:
             ids = known.join(wanted, "node", "left_semi").select("doc_id")
-            some = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").select("text")
+            some = docs.select("doc_id", "text").join(small(ids), "doc_id", "left_semi").select("text")
             full = some.mapInArrow(at.per_slice("text", _full_sets, lower=True), "node bigint, s array<bigint>")
             return full.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("s").alias("s"))
 
         return verified(likely, sets, percent)
 
-    _, found = linked(prefixes(docs, rank, percent), percent, verify)
+    marks = lambda nodes: known_of(nodes).select("node", "marks")
+    _, found = linked(prefixes(docs, rank, percent), percent, verify, lambda n: _prefix(n, percent), marks)
     return _named(rows, found)
 
 

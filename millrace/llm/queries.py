@@ -4,16 +4,118 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import ngram_join
+from millrace.llm import chat, decontaminate, host_rules, ngram_join
+
+QUERIES = {}
+SQL: dict[str, str] = {}
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _query(sql: str | None = None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"'[^\x20\x09-\x0D]+'"
+
+
+@_query(
+    f"""
+    WITH t AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), {_WORD}) AS w FROM documents),
+    lines AS (SELECT doc_id, i, l FROM (SELECT doc_id, unnest(str_split(text, chr(10))) AS l,
+                 generate_subscripts(str_split(text, chr(10)), 1) AS i FROM t) WHERE regexp_matches(l, {_WORD})),
+    line_counts AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines FROM lines GROUP BY doc_id),
+    grams AS (SELECT doc_id, i, w[i : i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t)),
+    twice AS (SELECT doc_id, i FROM grams QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+    repeats AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM
+                 (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+    m AS (SELECT doc_id, host, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+            length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+            coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+          FROM t LEFT JOIN line_counts USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+    long AS (SELECT doc_id, host, 'symbols' AS rule, 2 * n_symbols > n_words AS bad FROM m
+             UNION ALL SELECT doc_id, host, 'dup_lines', 10 * n_dup_lines > 3 * n_lines FROM m
+             UNION ALL SELECT doc_id, host, 'word_length', word_chars < 2 * n_words OR word_chars > 20 * n_words FROM m),
+    hosts AS (SELECT rule, host, count(*) AS n, sum(bad::INT) AS bad FROM long GROUP BY ALL),
+    totals AS (SELECT rule, sum(n) AS n, count(*) AS hosts, sum(n * n) AS nn, sum(bad) / sum(n) AS mean, sum(bad * bad / n) AS sq FROM hosts GROUP BY rule),
+    apart AS (SELECT *, mean * (1 - mean) AS chance, (sq - n * mean * mean - (hosts - 1) * mean * (1 - mean)) / nullif(n - nn / n, 0) AS apart FROM totals),
+    prior AS (SELECT rule, mean, CASE WHEN apart > 0 THEN least(1e6, greatest(1, chance / apart - 1)) ELSE 1e6 END AS weight FROM apart),
+    rates AS (SELECT rule, host, (bad + weight * mean) / (n + weight) AS rate FROM hosts JOIN prior USING (rule)),
+    verdict AS (SELECT doc_id, bool_or(bad AND rate > 0.02) AS bad FROM long JOIN rates USING (rule, host) GROUP BY doc_id)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+      n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+      NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT bad AS kept
+    FROM m JOIN verdict USING (doc_id)"""
+)
+def op4_quality_rules(spark, folder):
+    return host_rules.verdicts(_table(spark, folder, "documents"))
+
+
+def _esc(column: str) -> str:
+    return f"length(replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'))"
+
+
+@_query(
+    f"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+    o AS (SELECT *, row_number() OVER w AS i, lag(role) OVER w IS DISTINCT FROM role AS begins
+          FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+      coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      (sum({_esc("text")}) + sum(CASE WHEN begins THEN 12 + 2 * {_esc("role")} ELSE 3 END))::BIGINT AS formatted_chars,
+      sum(begins::INT)::BIGINT AS n_blocks
+    FROM o GROUP BY conv_id"""
+)
+def op6_chat_formatting(spark, folder):
+    text = "</s>[INST] ok [/INST]"
+    more = spark.sql("SELECT -7L AS conv_id, t AS turn, r AS role, x AS text FROM VALUES (0L, 'user', :x), (1L, 'assistant', :x) AS v(t, r, x)", {"x": text})
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.digests(chat.formatted(rows))
+
+
+@_query(
+    f"""
+    WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+            ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS g FROM t)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    links AS (SELECT p.x, p.y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2) p
+              JOIN n a ON a.doc_id = p.x JOIN n b ON b.doc_id = p.y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+    reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+    SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(r.y, doc_id)) AS component_id
+    FROM t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x) r USING (doc_id)"""
+)
 def op9_ngram_jaccard_join(spark, folder):
     return ngram_join.similarity_classes(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op9_ngram_jaccard_join,)}
-SQL: dict[str, str] = {}
+@_query(
+    rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+    win AS (SELECT DISTINCT item_id, least(len(w), 13) AS k, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS g
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+    pos AS (SELECT doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') AS g
+            FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k)),
+    occ AS (SELECT doc_id, i, k, item_id FROM pos JOIN win USING (k, g)),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM occ) GROUP BY doc_id),
+    ids AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+            FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+)
+def op10_benchmark_decontamination(spark, folder):
+    return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
