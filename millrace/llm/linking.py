@@ -125,6 +125,7 @@ def linked(
     verify: Callable[[DataFrame], DataFrame],
     prefix: Callable[[Column], Column] | None = None,
     marks: Callable[[DataFrame], DataFrame] | None = None,
+    weights: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) and the components (node, component) of the nodes that have any.
 
@@ -134,7 +135,8 @@ def linked(
     number of tokens each node has in ``rows``, where tokens are members of the set. ``verify``
     gets distinct pairs (a < b) with columns shared_a and shared_b, the number of
     tokens each shares with any other node, and returns those that link. ``marks`` gives
-    (node, marks) for nodes, for :func:`marked_overlap`. A component is named by its smallest node.
+    (node, marks) for nodes, for :func:`marked_overlap`; ``weights`` gives (node, weight): the
+    heaviest nodes become hubs, by default those with the largest shared part. A component is named by its smallest node.
     """
     met = stage(rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_meet(percent), _SCHEMA))
     shared = stage(met.where("kind = 2").groupBy(F.col("a").alias("node")).agg(F.sum("n").cast("int").alias("shared")))
@@ -150,7 +152,9 @@ def linked(
     if long.isEmpty():
         return links, components(links)
     own = F.greatest(F.lit(0), prefix(F.col("n")) - F.col("shared")).cast("int") if prefix else F.lit(0)
-    long = stage(long.join(shared, "node").withColumn("own", own).withColumn("weight", F.col("shared") / F.col("n") - F.col("own")))
+    long = stage(long.join(shared, "node").withColumn("own", own).withColumn("weight", -F.col("own") / F.col("n")))
+    if weights:
+        long = stage(long.drop("weight").join(weights(long.select("node").distinct()), "node"))
     found = components(links)
     for turn in range(ROUNDS):
         long = _unsettled(long, found)
@@ -179,7 +183,7 @@ _PLACE = ("node", "n", "pos", "own", "component")
 def _to_hubs(long: DataFrame, percent: int, turn: int) -> DataFrame:
     """Each node with a few of the nodes that share most, at most four pairs for a node."""
     place = F.struct(*_PLACE)
-    coarse = F.round(F.col("weight"), 1)
+    coarse = F.round(F.col("weight"), 1)  # so that ties are broken by chance
     chance = [F.xxhash64("node", F.lit(turn * 10 + i)) for i in range(3)]
     hubs = long.groupBy("token").agg(
         F.max_by(place, F.struct("weight", chance[0])).alias("h0"),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, host_rules, ngram_join
+from millrace.llm import chat, decontaminate, host_rules, nbsvm, ngram_join, paragraphs, pieces_scan, prefix_tokens, toxicity, wrappers
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -24,6 +25,21 @@ def _query(sql: str | None = None):
     return put
 
 
+@_query()
+def op1_substring_dedup(spark, folder):
+    return paragraphs.deduplicated(_table(spark, folder, "documents"))
+
+
+@_query()
+def op2_html_extraction(spark, folder):
+    return wrappers.main_text(_table(spark, folder, "pages"))
+
+
+@_query()
+def op3_token_counts(spark, folder):
+    return prefix_tokens.token_counts(_table(spark, folder, "documents"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORD = r"'[^\x20\x09-\x0D]+'"
 
@@ -61,6 +77,17 @@ def op4_quality_rules(spark, folder):
     return host_rules.verdicts(_table(spark, folder, "documents"))
 
 
+@_query()
+def op5_quality_classifier(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = nbsvm.fitted(docs, _table(spark, folder, "labels"), "quality", nbsvm.fold("doc_id", 5) != 0)
+    return _judged(nbsvm.scores(docs, model), nbsvm.fold("doc_id", 5) == 0)
+
+
+def _judged(scored: DataFrame, held_out, *more: str) -> DataFrame:
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), *more)
+
+
 def _esc(column: str) -> str:
     return f"length(replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'))"
 
@@ -85,6 +112,19 @@ def op6_chat_formatting(spark, folder):
     return chat.digests(chat.formatted(rows))
 
 
+@_query()
+def op7_sentencepiece(spark, folder):
+    rows = pieces_scan.encoded(_table(spark, folder, "documents"))
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "round_trip", "ids")
+
+
+@_query()
+def op8_toxicity(spark, folder):
+    docs = _table(spark, folder, "documents")
+    model = toxicity.fitted(docs, _table(spark, folder, "labels"), "toxic", nbsvm.fold("doc_id", 4) != 2)
+    return _judged(toxicity.scores(docs, model), nbsvm.fold("doc_id", 4) == 2, "sentences")
+
+
 @_query(
     f"""
     WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORD}) AS w FROM documents),
