@@ -69,8 +69,8 @@ def base_failed() -> Column:
 
 #: Rules whose failures are judged by host.
 RULES = {
-    "symbols": lambda: 2 * F.col("n_symbols") > F.col("n_words"),
-    "dup_lines": lambda: 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
+    "symbols": lambda: 5 * F.col("n_symbols") > F.col("n_words"),
+    "dup_lines": lambda: (F.col("n_dup_lines") > 3) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
     "word_length": lambda: (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words")),
 }
 

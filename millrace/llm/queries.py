@@ -59,8 +59,8 @@ _WORD = r"'[^\x20\x09-\x0D]+'"
             length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
             coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
           FROM t LEFT JOIN line_counts USING (doc_id) LEFT JOIN repeats USING (doc_id)),
-    long AS (SELECT doc_id, host, 'symbols' AS rule, 2 * n_symbols > n_words AS bad FROM m
-             UNION ALL SELECT doc_id, host, 'dup_lines', 10 * n_dup_lines > 3 * n_lines FROM m
+    long AS (SELECT doc_id, host, 'symbols' AS rule, 5 * n_symbols > n_words AS bad FROM m
+             UNION ALL SELECT doc_id, host, 'dup_lines', n_dup_lines > 3 AND 10 * n_dup_lines > 3 * n_lines FROM m
              UNION ALL SELECT doc_id, host, 'word_length', word_chars < 2 * n_words OR word_chars > 20 * n_words FROM m),
     hosts AS (SELECT rule, host, count(*) AS n, sum(bad::INT) AS bad FROM long GROUP BY ALL),
     totals AS (SELECT rule, sum(n) AS n, count(*) AS hosts, sum(n * n) AS nn, sum(bad) / sum(n) AS mean, sum(bad * bad / n) AS sq FROM hosts GROUP BY rule),

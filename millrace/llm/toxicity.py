@@ -16,21 +16,25 @@ from pyspark.sql import functions as F
 from millrace.llm import arrowtext as at
 from millrace.llm.nbsvm import sample_of
 
-SAMPLE = 4000
+#: Labelled documents of each class that the model is fitted on, at most.
+SAMPLE = 2000
 SIZE = 1 << 18
+#: Besides whole words, their first so many bytes are features: words that share a stem share weights.
+STEMS = (4, 5, 6)
 THRESHOLD = 0.3
 _STOP = np.ones(256, bool)
 _STOP[np.frombuffer(b".!?\n", np.uint8)] = False
 
 
 def _sentences(texts: at.Texts):
-    """Word features, the sentence of each word, each sentence's row, and its bytes; sentences without words are left out."""
-    starts, ends, first = texts.words(at.LETTER_DIGIT)
-    feature = (texts.hashes(starts, ends) % np.uint64(SIZE)).astype(np.int64)
+    """Word features in the order of words, the sentence of each, each sentence's row, and its bytes; sentences without words are left out."""
+    starts, ends, _ = texts.words(at.LETTER_DIGIT)
+    spans = [texts.hashes(starts, ends), *[texts.hashes(starts, np.minimum(ends, starts + k)) for k in STEMS]]
+    feature = (np.stack(spans, axis=1).ravel() % np.uint64(SIZE)).astype(np.int64)
     low, high, _ = texts.spans(_STOP[texts.data])
     sentence = np.searchsorted(low, starts, "right") - 1
     used, sentence = np.unique(sentence, return_inverse=True)
-    low, high = low[used], high[used]
+    low, high, sentence = low[used], high[used], np.repeat(sentence, len(spans))
     return feature, sentence, np.searchsorted(texts.off, low, "right") - 1, low, high
 
 
@@ -38,6 +42,7 @@ def _rows(batches):
     for batch in batches:
         for texts in at.slices(batch.column("text"), lower=True):
             feature, sentence, row, _, _ = _sentences(texts)
+            feature, sentence = _distinct(feature, sentence)
             words = np.searchsorted(row[sentence], np.arange(texts.rows + 1)) if len(sentence) else np.zeros(texts.rows + 1, int)
             begin = np.searchsorted(row, np.arange(texts.rows))
             owner = row[sentence] if len(sentence) else sentence
@@ -51,7 +56,7 @@ def _distinct(feature: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np
     return key % SIZE, key // SIZE
 
 
-def _fit(share: float, rounds: int, least_docs: int, shrink: float):
+def _fit(share: float, rounds: int, least_errors: float, least_ratio: float, shrink: float):
     def run(batches):
         docs = []
         for batch in batches:
@@ -61,18 +66,24 @@ def _fit(share: float, rounds: int, least_docs: int, shrink: float):
         y = np.array([d[1] for d in docs], float)
         weights, bias = np.zeros(SIZE), float(np.log(max(share, 1e-3) / 50))
         if 0 < y.sum() < len(y):
-            in_docs = np.bincount(np.concatenate([np.unique(d[2]) for d in docs]), minlength=SIZE)
+            with_it = [np.bincount(np.concatenate([np.unique(d[2]) for d in docs if d[1] == k]), minlength=SIZE) for k in (1, 0)]
+            n1, n0 = y.sum(), (1 - y).sum()
+            rate = (with_it[0] + with_it[1]) / (n1 + n0)
+            chance = np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n1 + 1 / n0))
+            known_by = (with_it[0] / n1 - with_it[1] / n0) / chance  # in standard errors
             counts = [len(np.unique(d[3])) for d in docs]
             begin = np.concatenate([[0], np.cumsum(counts)])
             feature = np.concatenate([d[2] for d in docs])
             sentence = np.concatenate([begin[i] + np.unique(d[3], return_inverse=True)[1] for i, d in enumerate(docs)])
             feature, sentence = _distinct(feature, sentence)
-            use = in_docs[feature] >= least_docs
+            ratio = np.log((with_it[0] + 0.5) / n1 / ((with_it[1] + 0.5) / n0))
+            use = (known_by >= least_errors)[feature] & (ratio >= least_ratio)[feature]
             known, feature = np.unique(feature[use], return_inverse=True)
             sentence = sentence[use]
             owner = np.repeat(np.arange(len(docs)), counts)
             cost = np.where(y == 1, share / y.sum(), (1 - share) / (1 - y).sum())
-            w, b = np.zeros(len(known)), bias
+            # begin with the log-ratio of documents that have the feature, as naive Bayes would
+            w, b = ratio[known], bias
             m, v, mb, vb = np.zeros(len(known)), np.zeros(len(known)), 0.0, 0.0
             for t in range(1, rounds + 1):
                 z = np.bincount(sentence, w[feature], minlength=begin[-1]) + b
@@ -93,11 +104,16 @@ def _fit(share: float, rounds: int, least_docs: int, shrink: float):
     return run
 
 
-def fitted(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, sample: int = SAMPLE, rounds: int = 120, least_docs: int = 5, shrink: float = 0.5) -> dict:
-    """The model: a weight for each word feature and a bias, about 1 MB at any input."""
+def fitted(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, sample: int = SAMPLE, rounds: int = 120, least_errors: float = 4.0, least_ratio: float = 1.1, shrink: float = 0.5) -> dict:
+    """The model: a weight for each word feature and a bias, about 1 MB at any input.
+
+    Features enter if they are commoner in toxic documents by ``least_errors`` standard errors and by
+    the logarithm ``least_ratio``: a toxic document has what clean ones lack, and words of
+    clean sentences say nothing of the others.
+    """
     chosen, share = sample_of(labels, label, learn_from, sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(_rows, "doc_id bigint, label int, features array<int>, sentences array<int>")
-    out = rows.repartition(1).mapInArrow(_fit(share, rounds, least_docs, shrink), "weights binary, bias double").first()
+    out = rows.repartition(1).mapInArrow(_fit(share, rounds, least_errors, least_ratio, shrink), "weights binary, bias double").first()
     return {"weights": np.frombuffer(out.weights, np.float32), "bias": out.bias}
 
 
