@@ -104,7 +104,7 @@ def _fit(share: float, rounds: int, least_errors: float, least_ratio: float, shr
     return run
 
 
-def fitted(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, sample: int = SAMPLE, rounds: int = 120, least_errors: float = 4.0, least_ratio: float = 1.1, shrink: float = 0.5) -> dict:
+def fitted(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, sample: int = SAMPLE, rounds: int = 300, least_errors: float = 4.0, least_ratio: float = 1.1, shrink: float = 0.005) -> dict:
     """The model: a weight for each word feature and a bias, about 1 MB at any input.
 
     Features enter if they are commoner in toxic documents by ``least_errors`` standard errors and by
