@@ -146,22 +146,24 @@ def linked(
             pairs = pairs.join(shared.select(F.col("node").alias(x), F.col("shared").alias(f"shared_{x}")), x)
         return pairs
 
-    few = met.where("kind = 0").select(*_pairs(F.col("a"), F.col("b"))).distinct()
-    links = stage(verify(with_own(few)))
+    few = met.where("kind = 0").select(*_pairs(F.col("a"), F.col("b")))
     long = met.where("kind = 1").select("token", F.col("a").alias("node"), "n", "pos")
     if long.isEmpty():
+        links = stage(verify(with_own(few.distinct())))
         return links, components(links)
     own = F.greatest(F.lit(0), prefix(F.col("n")) - F.col("shared")).cast("int") if prefix else F.lit(0)
-    long = stage(long.join(shared, "node").withColumn("own", own).withColumn("weight", -F.col("own") / F.col("n")))
+    long = long.join(shared, "node").withColumn("own", own).withColumn("weight", -F.col("own") / F.col("n"))
     if weights:
-        long = stage(long.drop("weight").join(weights(long.select("node").distinct()), "node"))
+        long = stage(long)
+        long = long.drop("weight").join(weights(long.select("node").distinct()), "node")
+    long = stage(long.withColumn("component", F.col("node")))
+    links = stage(verify(with_own(few.union(_to_hubs(long, percent, 0)).distinct())))
     found = components(links)
-    for turn in range(ROUNDS):
+    for turn in range(1, ROUNDS):
         long = _unsettled(long, found)
         if long.isEmpty():
             return links, found
-        more = stage(verify(with_own(_to_hubs(long, percent, turn))))
-        links = stage(links.union(more).distinct())
+        links = stage(links.union(verify(with_own(_to_hubs(long, percent, turn)))).distinct())
         found = components(links)
     long = _unsettled(long, found)
     if not long.isEmpty():
@@ -226,8 +228,8 @@ def small(df: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """The pairs whose sets' exact Jaccard similarity is ``percent`` or more. ``sets``: nodes (node) to (node, s)."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    have = stage(sets(stage(nodes)))
+    pairs = stage(pairs)
+    have = stage(sets(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
     both = F.size(F.array_intersect("s_a", "s_b"))
     return (
         pairs.join(have.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a")
@@ -237,21 +239,50 @@ def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], percent:
     )
 
 
+#: Links that one task joins by itself.
+TASK_LINKS = 500_000
+
+
+def _forest(batches):
+    """The links of a partition, as links of every node to the smallest node of its component there."""
+    import pandas as pd
+
+    u, v = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for batch in batches:
+        u.append(batch.column("u").to_numpy()), v.append(batch.column("v").to_numpy())
+    ends, nodes = pd.factorize(np.concatenate(u + v), sort=True)
+    a, b = np.split(ends, 2)
+    root = np.arange(len(nodes))
+    while True:  # smallest numbers move along links, then paths are halved until they are flat
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low), np.minimum.at(new, root[b], low)
+        while (new != new[new]).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    other = np.flatnonzero(root != np.arange(len(root)))
+    yield pa.RecordBatch.from_arrays([pa.array(nodes[other], pa.int64()), pa.array(nodes[root[other]], pa.int64())], ["u", "v"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of ``links`` (a, b); a component's name is its smallest node.
 
-    Alternates two steps until nothing changes: every node's smaller neighbours move to
-    the smallest of them, then its larger neighbours move to its smallest neighbour.
-    Paths shorten by half each round; each round's links are written, and no node's
-    links are gathered.
+    Each task first replaces its links, ``TASK_LINKS`` or so, by a flat forest. If there are more tasks
+    than one, two steps alternate until nothing changes: every node's smaller neighbours
+    move to the smallest of them, then its larger neighbours move to its smallest
+    neighbour. Each round's links are written, and no node's links are gathered.
     """
-    edges = stage(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = stage(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
+    tasks = 1 + edges.count() // TASK_LINKS
+    edges = stage(edges.repartition(tasks).mapInArrow(_forest, "u bigint, v bigint"))
     before = None
-    while True:
+    while tasks > 1:
         low = edges.groupBy("u").agg(F.min("v").alias("m"))
         moved = edges.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = moved.union(low.select("u", F.col("m").alias("v"))).distinct()
-        around = small.union(small.select(F.col("v"), F.col("u")))
+        small_star = moved.union(low.select("u", F.col("m").alias("v"))).distinct()
+        around = small_star.union(small_star.select(F.col("v"), F.col("u")))
         least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         edges = stage(around.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

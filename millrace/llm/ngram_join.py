@@ -131,7 +131,7 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         side = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "marks")])
         free = lambda x: F.least(F.col(f"n_{x}"), F.col(f"n_{x}") - _prefix(F.col(f"n_{x}"), percent) + F.col(f"shared_{x}"))
         room = F.least(free("a"), free("b"), marked_overlap(F.col("n_a"), F.col("n_b"), F.col("marks_a"), F.col("marks_b")))
-        likely = stage(
+        likely = (
             pairs.join(side("a"), F.col("a") == F.col("node_a"))
             .join(side("b"), F.col("b") == F.col("node_b"))
             .where((100 + percent) * room >= percent * (F.col("n_a") + F.col("n_b")))
