@@ -45,7 +45,10 @@ class Pieces:
         stop = "" if "\n" in joined else "\n"
         #: parts that no piece crosses: spaces with what follows them, and line breaks
         self.parts = re.compile(f"{SPACE}*[^{SPACE}{stop}]+|{SPACE}+" + (f"|{stop}" if stop else ""))
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self.size = size
+        #: the number of no piece, after those of all characters
+        self.start = size + 0x110000
+        self._pairs: dict[int, bool] = {}
 
     def normal(self, text: str) -> str:
         return SPACE + text.replace(" ", SPACE) if text else ""
@@ -64,46 +67,64 @@ class Pieces:
             i = best[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def fits(self, left: str, right: str) -> bool:
-        """Whether the two pieces are the encoding of their text; ``left`` may be empty."""
-        known = self._pairs.get((left, right))
-        if known is None:
-            if len(self._pairs) > 500_000:  # memory stays bounded
-                self._pairs.clear()
-            known = self._pairs[left, right] = self.merged(left + right) == ([left, right] if left else [right])
-        return known
-
-    def last_lengths(self, part: str, last: list[int] | None = None) -> list[int]:
-        """For every prefix of ``part``, the length of the last piece of its encoding (0 for the empty prefix).
+    def _number(self, piece: str) -> int:
+        """The id of a piece; characters that the model lacks get numbers after all ids."""
+        known = self.ids.get(piece)
+        return self.size + ord(piece) if known is None else known
 
-        ``last`` may hold the answer for the first prefixes; it is continued in place.
-        """
-        last = [0] if last is None else last
-        ids, pairs, fits, endings = self.ids, self._pairs, self.fits, self.endings
+    def _extend(self, part: str, last: list[int], numbers: list[int]) -> None:
+        """Continues, in place, the lengths and numbers of the last pieces of all prefixes of ``part``."""
+        number, pairs, endings, many = self.ids.get, self._pairs, self.endings, self.start + 1
         for end in range(len(last), len(part) + 1):
             for length in endings.get(part[max(0, end - 2) : end], (1,)):
                 before = end - length
                 if before < 0:
                     raise AssertionError("a prefix has no encoding")
-                piece = part[before:end]
-                if length == 1 or piece in ids:
-                    left = part[before - last[before] : before]
-                    known = pairs.get((left, piece))
-                    if fits(left, piece) if known is None else known:
-                        last.append(length)
-                        break
+                own = number(part[before:end])
+                if own is None:
+                    if length > 1:
+                        continue
+                    own = self.size + ord(part[before])
+                key = numbers[before] * many + own
+                known = pairs.get(key)
+                if known is None:
+                    if len(pairs) > 1_000_000:  # memory stays bounded
+                        pairs.clear()
+                    known = pairs[key] = self._goes(part[before - last[before] : before], part[before:end])
+                if known:
+                    last.append(length)
+                    numbers.append(own)
+                    break
             else:
                 raise AssertionError("a prefix has no encoding")
+
+    def _goes(self, left: str, right: str) -> bool:
+        return self.merged(left + right) == ([left, right] if left else [right])
+
+    def fits(self, left: str, right: str) -> bool:
+        """Whether the two pieces are the encoding of their text; ``left`` may be empty."""
+        key = (self._number(left) if left else self.start) * (self.start + 1) + self._number(right)
+        known = self._pairs.get(key)
+        if known is None:
+            known = self._pairs[key] = self._goes(left, right)
+        return known
+
+    def last_lengths(self, part: str) -> list[int]:
+        """For every prefix of ``part``, the length of the last piece of its encoding (0 for the empty prefix)."""
+        last = [0]
+        self._extend(part, last, [self.start])
         return last
 
     def each_last_lengths(self, parts):
-        """(part, its last lengths) for sorted ``parts``; what two neighbours begin with is computed once."""
-        before, last = "", [0]
+        """(part, its last lengths) for sorted ``parts``; what two neighbours begin with is computed once.
+        A list holds until the next one is asked for."""
+        before, last, numbers = "", [0], [self.start]
         for part in parts:
             same, most = 0, min(len(before), len(part))
             while same < most and before[same] == part[same]:
                 same += 1
-            last = self.last_lengths(part, last[: same + 1])
+            del last[same + 1 :], numbers[same + 1 :]
+            self._extend(part, last, numbers)
             before = part
             yield part, last
 
@@ -111,6 +132,14 @@ class Pieces:
         """The number of ids of a piece: one, or a byte each for a character the model lacks."""
         return 1 if piece in self.ids else len(piece.encode())
 
+    def total(self, part: str, last: list[int]) -> int:
+        """The number of ids of ``part``: along the last pieces, from its end."""
+        count, end = 0, len(part)
+        while end:
+            count += self.width(part[end - last[end] : end])
+            end -= last[end]
+        return count
+
     def ids_of(self, piece: str) -> list[int]:
         known = self.ids.get(piece)
         return [known] if known is not None else [self.bytes[b] for b in piece.encode()]

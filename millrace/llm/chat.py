@@ -5,8 +5,8 @@ become one block, and blocks are joined to one string:
 
     <s>[role]text[+]text[/role]</s>
 
-``[+]`` parts texts that were turns of their own in one block. ``&``, ``<`` and ``[`` in roles and
-texts become ``&amp;``, ``&lt;`` and ``&lb;``, so no text can hold a mark, and the turns can
+``[+]`` parts texts that were turns of their own in one block. ``&``, ``<``, ``[`` and ``]`` in
+roles and texts become ``&amp;``, ``&lt;``, ``&lb;`` and ``&rb;``, so no text can hold a mark, and the turns can
 be read back.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What is escaped, in this order; read back in the other order.
-ESCAPES = [("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;")]
+ESCAPES = [("&", "&amp;"), ("<", "&lt;"), ("[", "&lb;"), ("]", "&rb;")]
 BEGIN, END, PART = "<s>", "</s>", "[+]"
 LEARNED = "assistant"
 

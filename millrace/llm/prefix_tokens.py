@@ -54,7 +54,7 @@ _memory: dict[str, bpe.Memory] = {}
 def _counter(path: str, limit: int):
     def run(batches):
         model = bpe.pieces(path)
-        memory = _memory.setdefault(path, bpe.Memory(lambda m, part, last: part_table(m, part, last)[-1]))
+        memory = _memory.setdefault(path, bpe.Memory(bpe.Pieces.total))
         for batch in batches:
             n_bytes, n_tokens, fitting = [], [], []
             for texts in bpe.text_groups(batch.column("text")):

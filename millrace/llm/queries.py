@@ -89,7 +89,7 @@ def _judged(scored: DataFrame, held_out, *more: str) -> DataFrame:
 
 
 def _esc(column: str) -> str:
-    return f"length(replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'))"
+    return f"length(replace(replace(replace(replace({column}, '&', '&amp;'), '<', '&lt;'), '[', '&lb;'), ']', '&rb;'))"
 
 
 @_query(
