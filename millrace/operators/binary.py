@@ -75,8 +75,8 @@ def sweep(df: DataFrame, thresholds: Sequence[float]) -> DataFrame:
 
 
 def curve(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Per distinct score: its positives and negatives, those at or above it, and all of them."""
-    points = df.groupBy("score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
+    """Per distinct score: its positives and negatives, those at or above it, and all of them. Rows without a score are left out."""
+    points = df.filter(F.col("score").isNotNull() & ~F.isnan("score")).groupBy("score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
     points = stage(points.withColumn("_down", -F.col("score")))
     out = running(
         points, [], ["_down"],

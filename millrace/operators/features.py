@@ -192,13 +192,13 @@ def correlations(df: DataFrame, cols: Sequence[str], y: str | None = None) -> Da
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Training rows spread evenly over the cores.
+    """Training rows on at least as many partitions as there are cores; more partitions stay as they are.
 
     Trees read their input once per level, each pass as slow as the largest partition,
-    so one shuffle up front is repaid.
+    so for a small input one shuffle up front is repaid.
     """
-    spark = df.sparkSession
-    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:

@@ -115,7 +115,7 @@ def lay_out(
         .agg(F.percentile_approx(_POS, [i / wanted for i in range(1, wanted)], 20 * wanted).alias("cuts"))
         .first()["cuts"]
     ) or []
-    ends = [-float("inf"), *(sorted(set(cuts)) or [0.0]), float("inf")]
+    ends = [-float("inf"), *(sorted({c for c in cuts if math.isfinite(c)}) or [0.0]), float("inf")]
     placed = flagged.withColumn(_POS, F.coalesce(position(df, order), F.lit(float("-inf"))))
     placed = Bucketizer(splits=ends, inputCol=_POS, outputCol=CHUNK, handleInvalid="keep").transform(placed)
     chunk = F.when(F.col("_hot"), F.col(CHUNK).cast("int")).otherwise(F.lit(-1))

@@ -181,8 +181,13 @@ def asof(
     """Each row of ``a`` with the last row of ``b`` of its key at or before its time.
 
     ``take`` maps columns of ``b`` to output names; ``tie`` orders rows of ``b`` at one time.
-    Both tables pass through one ordered scan; there is no join on time.
+    Both tables pass through one ordered scan; there is no join on time. Rows of ``b`` without
+    a time or a key are no one's earlier reading; rows of ``a`` without one find none.
     """
+    placed = F.col(ts).isNotNull()
+    for c in by:
+        placed = placed & F.col(c).isNotNull()
+    b = b.filter(placed)
     picked = F.struct(*[F.col(c).alias(n) for c, n in take.items()])
     left = a.select(F.lit(1).alias("_side"), *by, ts, F.struct(*a.columns).alias("_row"))
     right = b.select(F.lit(0).alias("_side"), *by, ts, picked.alias("_found"), F.struct(F.lit(0), *tie).alias("_tie"))

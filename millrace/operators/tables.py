@@ -65,11 +65,12 @@ def band(df: DataFrame, bands: DataFrame, col: str, width: float) -> DataFrame:
 
     Bands are listed once per grid cell of ``width`` that they touch, so the join
     is an equi-join on the cell and Spark need not compare every row with every band.
+    The caller's bands are a short list and go to every executor; rows stay where they are.
     """
     cell = lambda x: F.floor(x / F.lit(width))
     cells = bands.withColumn("_cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi")))))
     rows = df.withColumn("_cell", cell(F.col(col)))
-    return rows.join(cells, "_cell").filter((F.col("lo") <= F.col(col)) & (F.col(col) < F.col("hi"))).drop("_cell")
+    return rows.join(F.broadcast(cells), "_cell").filter((F.col("lo") <= F.col(col)) & (F.col(col) < F.col("hi"))).drop("_cell")
 
 
 def summarise(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:

@@ -292,8 +292,9 @@ SET_SQL = {
 
 def _set_op(kind):
     def build(t: Tables):
-        a = t("customer").select(F.col("c_nationkey").alias("nationkey"))
-        b = t("supplier").select(F.col("s_nationkey").alias("nationkey"))
+        thousands = lambda c: F.floor(F.col(c) / 1000).cast("bigint").alias("thousands")
+        a = t("customer").select(F.col("c_nationkey").alias("nationkey"), thousands("c_acctbal"))
+        b = t("supplier").select(F.col("s_nationkey").alias("nationkey"), thousands("s_acctbal"))
         return op.set_op(a, b, kind)
 
     return build
@@ -302,7 +303,8 @@ def _set_op(kind):
 for kind, word in SET_SQL.items():
     query(
         f"t16_{kind}",
-        f"SELECT c_nationkey AS nationkey FROM customer {word} SELECT s_nationkey FROM supplier",
+        f"""SELECT c_nationkey AS nationkey, CAST(floor(c_acctbal / 1000) AS BIGINT) AS thousands FROM customer
+            {word} SELECT s_nationkey, CAST(floor(s_acctbal / 1000) AS BIGINT) FROM supplier""",
     )(_set_op(kind))
 
 

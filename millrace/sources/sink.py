@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -14,15 +13,9 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def scratch_dir(spark: SparkSession) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder: on a
-    cluster the executors would not see each other's files there.
+    Where it is unset, a folder in the warehouse serves, which all executors share too.
     """
-    shared = spark.conf.get(CHECKPOINT_KEY, None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set(CHECKPOINT_KEY, shared)
+    shared = spark.conf.get(CHECKPOINT_KEY, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
