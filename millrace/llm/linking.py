@@ -126,6 +126,7 @@ def linked(
     prefix: Callable[[Column], Column] | None = None,
     marks: Callable[[DataFrame], DataFrame] | None = None,
     weights: Callable[[DataFrame], DataFrame] | None = None,
+    chances: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) and the components (node, component) of the nodes that have any.
 
@@ -136,7 +137,8 @@ def linked(
     gets distinct pairs (a < b) with columns shared_a and shared_b, the number of
     tokens each shares with any other node, and returns those that link. ``marks`` gives
     (node, marks) for nodes, for :func:`marked_overlap`; ``weights`` gives (node, weight): the
-    heaviest nodes become hubs, by default those with the largest shared part. A component is named by its smallest node.
+    heaviest nodes become hubs, by default those with the largest shared part; so do ``chances``
+    random ones of each token. A component is named by its smallest node.
     """
     met = stage(rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_meet(percent), _SCHEMA))
     shared = stage(met.where("kind = 2").groupBy(F.col("a").alias("node")).agg(F.sum("n").cast("int").alias("shared")))
@@ -157,13 +159,13 @@ def linked(
         long = stage(long)
         long = long.drop("weight").join(weights(long.select("node").distinct()), "node")
     long = stage(long.withColumn("component", F.col("node")))
-    links = stage(verify(with_own(few.union(_to_hubs(long, percent, 0)).distinct())))
+    links = stage(verify(with_own(few.union(_to_hubs(long, percent, 0, chances)).distinct())))
     found = components(links)
     for turn in range(1, ROUNDS):
         long = _unsettled(long, found)
         if long.isEmpty():
             return links, found
-        links = stage(links.union(verify(with_own(_to_hubs(long, percent, turn)))).distinct())
+        links = stage(links.union(verify(with_own(_to_hubs(long, percent, turn, chances)))).distinct())
         found = components(links)
     long = _unsettled(long, found)
     if not long.isEmpty():
@@ -182,23 +184,24 @@ def _unsettled(long: DataFrame, found: DataFrame) -> DataFrame:
 _PLACE = ("node", "n", "pos", "own", "component")
 
 
-def _to_hubs(long: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Each node with a few of the nodes that share most, at most four pairs for a node."""
+def _to_hubs(long: DataFrame, percent: int, turn: int, chances: int) -> DataFrame:
+    """Each node with some of the nodes that share most and some random ones, at most ``chances`` + 2 pairs for a node."""
     place = F.struct(*_PLACE)
     coarse = F.round(F.col("weight"), 1)  # so that ties are broken by chance
-    chance = [F.xxhash64("node", F.lit(turn * 10 + i)) for i in range(3)]
+    chance = [F.xxhash64("node", F.lit(turn * 100 + i)) for i in range(chances + 2)]
     hubs = long.groupBy("token").agg(
         F.max_by(place, F.struct("weight", chance[0])).alias("h0"),
         F.max_by(place, F.struct(coarse, chance[1])).alias("h1"),
-        F.max_by(place, chance[2]).alias("h2"),
+        *[F.max_by(place, chance[i]).alias(f"h{i}") for i in range(2, chances + 2)],
     )
-    mine = long.alias("x").join(hubs, "token").select(*[F.col(f"x.{c}") for c in _PLACE], "h0", "h1", "h2")
+    names = [f"h{i}" for i in range(chances + 2)]
+    mine = long.alias("x").join(hubs, "token").select(*[F.col(f"x.{c}") for c in _PLACE], *names)
     best = []
-    for i in range(3):
+    for i in range(chances + 2):
         fits = (F.col(f"h{i}.component") != F.col("component")) & _may_reach(percent, "self", f"h{i}")
         best.append(F.min_by(F.when(fits, F.col(f"h{i}.node")), F.when(fits, F.xxhash64(f"h{i}.node", F.lit(turn)))).alias(f"b{i}"))
     per_node = mine.withColumn("self", F.struct(*_PLACE)).groupBy("node").agg(*best)
-    one = per_node.select("node", F.explode(F.array_compact(F.array_distinct(F.array("b0", "b1", "b2")))).alias("hub"))
+    one = per_node.select("node", F.explode(F.array_compact(F.array_distinct(F.array(*[f"b{i}" for i in range(chances + 2)])))).alias("hub"))
     return one.select(*_pairs(F.col("node"), F.col("hub"))).distinct()
 
 

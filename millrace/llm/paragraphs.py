@@ -20,7 +20,7 @@ from millrace.sources import stage
 BANDS, ROWS = 8, 2
 PERCENT = 75
 MIN_WORDS = 5
-CELLS = 512
+CELLS = 1024
 
 
 def _paragraphs(texts: at.Texts, min_words: int):
@@ -120,7 +120,7 @@ def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
         return places.join(nodes, "node", "left_semi").groupBy("node").agg(F.count("*").cast("double").alias("weight"))
 
     rows = text.select("text").mapInArrow(_bands(min_words), "token bigint, node bigint, n int, pos int")
-    _, found = linked(rows, percent, lambda pairs: verified(pairs.select("a", "b"), sets, percent), marks=marks, weights=weights)
+    _, found = linked(rows, percent, lambda pairs: verified(pairs.select("a", "b"), sets, percent), marks=marks, weights=weights, chances=10)
     found = stage(found)
     per_node = places.groupBy("node").agg(F.count("*").alias("n"), F.min(at_place).alias("first"))
     joined = per_node.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
