@@ -205,17 +205,35 @@ def _to_hubs(long: DataFrame, percent: int, turn: int, chances: int) -> DataFram
     return one.select(*_pairs(F.col("node"), F.col("hub"))).distinct()
 
 
+#: How many of a node's tokens travel with it, the smallest of each residue, to tell where a pair has met before.
+EARLY = 16
+
+
 def _across(long: DataFrame, percent: int, marks: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
-    """All pairs that share a token, lie in different components, and may link."""
+    """All pairs that share a token, lie in different components, and may link.
+
+    A pair is left to the smallest token that both sides are known to have: bounds hold at every
+    common token, and at the smallest of all nothing else is left. So near copies, which share
+    many tokens, come out about once and not once for each of them.
+    """
+    early = [f"early_{i}" for i in range(EARLY)]
+    residue = F.pmod("token", F.lit(EARLY))
+    least = long.groupBy("node").agg(*[F.min(F.when(residue == i, F.col("token"))).alias(e) for i, e in enumerate(early)])
     if marks:
-        long = stage(long.join(marks(long.select("node").distinct()), "node"))
+        least = least.join(marks(least.select("node")), "node")
+    long = stage(long.join(least, "node"))
     main = long.groupBy("token", "component").count().groupBy("token").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    rest = long.join(main, "token").where("component != main").drop("main")
+    rest = long.join(main, "token").where("component != main")
     x, y = rest.alias("x"), long.alias("y")
-    meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & _may_reach(percent, "x", "y")
+    once = (F.col("y.component") == F.col("x.main")) | (F.col("x.node") < F.col("y.node"))
+    before = F.lit(False)
+    for e in early:
+        before |= F.coalesce((F.col(f"x.{e}") == F.col(f"y.{e}")) & (F.col(f"x.{e}") < F.col("x.token")), F.lit(False))
+    possible = once & ~before & _may_reach(percent, "x", "y")
+    meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & possible
     if marks:
         most = marked_overlap(F.col("x.n"), F.col("y.n"), F.col("x.marks"), F.col("y.marks"))
-        meets &= F.when(_may_reach(percent, "x", "y"), (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n")))
+        meets &= F.when(possible, (100 + percent) * most >= percent * (F.col("x.n") + F.col("y.n")))
     return x.join(y, meets).select(*_pairs(F.col("x.node"), F.col("y.node"))).distinct()
 
 

@@ -181,3 +181,13 @@ def test_word_hash_depends_on_every_byte():
     starts, ends = np.array([0, 4, 8]), np.array([3, 7, 11])
     part = next(at.slices(pa.array(["abc acb abd"])))
     assert len(set(part.hashes(starts, ends).tolist())) == 3
+
+
+def test_pairs_across_components_are_all_found_and_early_tokens_suppress_no_pair(spark):
+    r = random.Random(3)
+    own = {v: (r.sample(range(-60, 60), r.randint(1, 40)), r.randrange(9)) for v in range(80)}
+    rows = [(t, v, 10, 0, 0, c) for v, (tokens, c) in own.items() for t in tokens]
+    long = spark.createDataFrame(rows, "token bigint, node bigint, n int, pos int, own int, component bigint")
+    got = [(p.a, p.b) for p in linking._across(long, 75, None).collect()]
+    want = {(a, b) for a in own for b in own if a < b and own[a][1] != own[b][1] and set(own[a][0]) & set(own[b][0])}
+    assert len(got) == len(set(got)) and set(got) == want
