@@ -1,18 +1,21 @@
 """Ordered work per key that stays spread out when one key holds much of the table.
 
 A ``Window`` sends all rows of a key to one task. The helpers here count rows per
-key first; keys above ``ROWS_PER_TASK`` (at most ``MAX_HOT_KEYS`` of them, so any
-key left whole holds less than 1/MAX_HOT_KEYS of the rows) are cut into chunks at
-quantiles of the order column. Windows then run per (key, chunk), and what must
-cross a chunk border travels in a table with a few rows per chunk:
+key first. The rows of all keys above ``ROWS_PER_TASK`` are range-partitioned by key and
+order into as many chunks as their number asks for; all other keys stay whole. Spark
+draws the borders on the real columns, so any type that sorts can be an order, and
+further order columns part the rows that share a value of the first. Windows then run per
+(key, chunk), and what must cross a chunk border travels in a table with a few rows per chunk:
 
 * ``running``     sums so far: totals of the earlier chunks are added
 * ``carried``     last (or next) non-null value: taken from the nearest chunk that has one
 * ``with_halo``   a fixed number of neighbouring rows: copied from the next chunks
 
 When no key is hot the plan is the ordinary window. A key-less order (``by=[]``)
-is always cut. Counting the keys reads the input once more, so callers write an
-input that is costly to compute to the shared folder first (``sources.stage``).
+is always cut. Keys are counted, joined and cut as tables; none reaches the driver. The
+cut rows are written once to the shared folder, since borders are drawn from a sample and
+windows and totals must see the same ones. Counting reads the input once more, so callers
+write an input that is costly to compute first (``sources.stage``).
 """
 
 from __future__ import annotations
@@ -21,21 +24,16 @@ import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from millrace.functions import micros
 from millrace.sources import stage
 
 ROWS_PER_TASK = 5_000_000
-MIN_CHUNKS, MAX_CHUNKS = 8, 4096
-MAX_HOT_KEYS = 1000
+MIN_CHUNKS = 8
 CHUNK = "_chunk"
 HALO = "_halo"
-_POS = "_pos"
 
 
 @dataclass
@@ -51,12 +49,6 @@ class Layout:
         return [*self.keys, CHUNK] if self.split else self.keys
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], above: int) -> list:
-    """The at most MAX_HOT_KEYS heaviest keys with more than ``above`` rows."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > above)
-    return counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).collect()
-
-
 def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join in which NULL keys match, keeping the left keys.
 
@@ -69,57 +61,31 @@ def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, cond, how).drop(*[f"_right_{k}" for k in keys])
 
 
-def position(df: DataFrame, name: str) -> Column:
-    """The order column as a double; the mapping is monotone, which is all a chunk needs."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        return micros(F.col(name)).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name).cast("double")
-    if isinstance(kind, T.StringType):
-        # The first seven bytes as a number: strings compare by their bytes.
-        return F.conv(F.rpad(F.left(F.hex(name), F.lit(14)), 14, "0"), 16, 10).cast("double")
-    return F.col(name).cast("double")
-
-
 def lay_out(
     df: DataFrame,
     by: Sequence[str],
-    order: str,
+    order: Sequence[str],
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> Layout:
     """Add a chunk column if some key holds more rows than one task should.
 
-    ``rows_per_task=None`` says that keys are known to be small, for example on a
-    time grid, and saves the counting job.
+    Rows that are equal in ``order`` share a chunk. ``rows_per_task=None`` says that keys are
+    known to be small, for example on a time grid, and saves the counting job.
     """
     keys = list(by)
     if rows_per_task is None:
         return Layout(df, keys, split=False)
     if keys:
-        hot = hot_keys(df, keys, rows_per_task)
-        if not hot:
+        counts = stage(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task))
+        rows = counts.agg(F.sum("_n")).first()[0]
+        if not rows:
             return Layout(df, keys, split=False)
-        schema = T.StructType([df.schema[k] for k in keys])
-        small = F.broadcast(df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema))
-        flagged = join_by(df, small.withColumn("_hot", F.lit(True)), keys, "left")
-        flagged = flagged.withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-        rows = sum(r["_n"] for r in hot)
+        hot, cold = (join_by(df, counts.select(*keys), keys, how) for how in ("left_semi", "left_anti"))
     else:
-        flagged = df.withColumn("_hot", F.lit(True))
-        rows = df.count()
-    wanted = max(MIN_CHUNKS, min(MAX_CHUNKS, math.ceil(rows / rows_per_task)))
-    cuts = (
-        flagged.filter("_hot")
-        .select(position(df, order).alias(_POS))
-        .agg(F.percentile_approx(_POS, [i / wanted for i in range(1, wanted)], 20 * wanted).alias("cuts"))
-        .first()["cuts"]
-    ) or []
-    ends = [-float("inf"), *(sorted({c for c in cuts if math.isfinite(c)}) or [0.0]), float("inf")]
-    placed = flagged.withColumn(_POS, F.coalesce(position(df, order), F.lit(float("-inf"))))
-    placed = Bucketizer(splits=ends, inputCol=_POS, outputCol=CHUNK, handleInvalid="keep").transform(placed)
-    chunk = F.when(F.col("_hot"), F.col(CHUNK).cast("int")).otherwise(F.lit(-1))
-    return Layout(placed.withColumn(CHUNK, chunk).drop(_POS, "_hot"), keys, True)
+        rows, hot, cold = df.count(), df, None
+    wanted = max(MIN_CHUNKS, math.ceil(rows / rows_per_task))
+    cut = stage(hot.repartitionByRange(wanted, *keys, *order).withColumn(CHUNK, F.spark_partition_id()))
+    return Layout(cut if cold is None else cold.withColumn(CHUNK, F.lit(-1)).unionByName(cut), keys, True)
 
 
 def running(
@@ -139,7 +105,8 @@ def running(
     Empty sums are 0. ``order`` must be total within a key, unless ``peers`` asks for all
     rows up to and including those with an equal value of a single order column.
     """
-    lay = lay_out(df, by, order[0], rows_per_task)
+    # Rows that count together must lie in one chunk.
+    lay = lay_out(df, by, order[:1] if peers else order, rows_per_task)
     sums, totals, tops = sums or {}, totals or {}, tops or {}
     local = W.partitionBy(*lay.parts)
     frame = local.orderBy(*order)
@@ -207,7 +174,7 @@ def carried(
 ) -> DataFrame:
     """``last``: the last non-null value at or before each row; ``coming``: the first at or after
     it; ``final``: the last non-null value of the key."""
-    lay = lay_out(df, by, order[0], rows_per_task)
+    lay = lay_out(df, by, order, rows_per_task)
     last, coming, final = last or {}, coming or {}, final or {}
     w = W.partitionBy(*lay.parts).orderBy(*order)
     past = w.rowsBetween(W.unboundedPreceding, 0)
@@ -299,7 +266,7 @@ def neighbours_window(
     rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` rows ahead."""
-    lay = lay_out(df, by, order[0], rows_per_task)
+    lay = lay_out(df, by, order, rows_per_task)
     rows = with_halo(lay, order, before, after)
     made = columns(W.partitionBy(*lay.parts).orderBy(*order))
     out = rows.select("*", *[c.alias(n) for n, c in made.items()])

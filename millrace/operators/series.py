@@ -141,7 +141,7 @@ def seasonal(df: DataFrame, ts: str, y: str) -> DataFrame:
     """Mean for the row's weekday and hour (168 groups), and the row's distance from it."""
     keyed = df.withColumn("weekday", F.weekday(ts) + 1).withColumn("hour", F.hour(ts))
     means = keyed.groupBy("weekday", "hour").agg(F.avg(y).alias("expected"))
-    return keyed.join(means, ["weekday", "hour"]).withColumn("anomaly", F.col(y) - F.col("expected"))
+    return keyed.join(F.broadcast(means), ["weekday", "hour"]).withColumn("anomaly", F.col(y) - F.col("expected"))
 
 
 def acf(df: DataFrame, by: Sequence[str], ts: str, value: str, ks: Sequence[int], **kw) -> DataFrame:

@@ -128,7 +128,7 @@ def ranked(
     Equal values always fall in one chunk, so ranks inside a chunk only need the
     row and distinct-value counts of the earlier chunks added.
     """
-    lay = lay_out(df, by, value, rows_per_task)
+    lay = lay_out(df, by, [value], rows_per_task)
     share = F.col(value) if share is None else share
     part = W.partitionBy(*lay.parts)
     order = part.orderBy(value)

@@ -37,12 +37,40 @@ def log(spark):
 
 
 def test_only_heavy_keys_are_cut(log):
-    lay = ordered.lay_out(log, ["unit"], "ts", HOT)
+    lay = ordered.lay_out(log, ["unit"], ["ts"], HOT)
     cut = {r["unit"] for r in lay.df.filter(F.col(ordered.CHUNK) >= 0).select("unit").distinct().collect()}
     heavy = {r["unit"] for r in log.groupBy("unit").count().filter(F.col("count") > HOT).collect()}
     assert lay.split and cut == heavy and 0 in cut and None not in cut and 9 not in cut
     assert lay.df.filter("unit = 0").groupBy(ordered.CHUNK).count().agg(F.max("count")).first()[0] <= 4 * HOT
-    assert not ordered.lay_out(log, ["unit"], "ts").split
+    assert not ordered.lay_out(log, ["unit"], ["ts"]).split
+
+
+ORDERS = {
+    "date": "date_add(DATE'2024-01-01', int(id)) AS o",
+    "long_prefix": "concat('https://www.example.org/', lpad(id, 9, '0')) AS o",
+    "one_value": "1 AS o",
+    "infinite": "CASE WHEN id < 600 THEN double('-inf') ELSE double(id) END AS o",
+    "null": "CASE WHEN id >= 600 THEN id END AS o",
+}
+
+
+@pytest.mark.parametrize("order", ORDERS)
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_any_order_column_is_cut(spark, order, by):
+    rows = spark.range(2000).selectExpr("id", ORDERS[order], "1 AS k")
+    lay = ordered.lay_out(rows, by, ["o", "id"], 100)
+    assert lay.split and lay.df.groupBy(*lay.parts).count().agg(F.max("count")).first()[0] <= 200
+    out = ordered.running(rows, by, ["o", "id"], {"n": F.lit(1)}, rows_per_task=100)
+    # NULLs come first.
+    assert [r["n"] for r in out.orderBy("o", "id").collect()] == list(range(1, 2001))
+
+
+def test_every_hot_key_is_cut(spark):
+    rows = spark.range(240).selectExpr("id", "id % 60 AS k")
+    lay = ordered.lay_out(rows, ["k"], ["id"], 3)
+    assert lay.df.filter(F.col(ordered.CHUNK) < 0).isEmpty()
+    out = ordered.running(rows, ["k"], ["id"], {"n": F.lit(1)}, {"all": F.lit(1)}, rows_per_task=3)
+    assert out.filter("n != id div 60 + 1 OR `all` != 4").isEmpty() and out.count() == 240
 
 
 JOBS = {
