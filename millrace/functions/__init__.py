@@ -1,5 +1,6 @@
 from millrace.functions.columns import (
     held_out,
+    hash_share,
     key_hash,
     micros,
     money,
@@ -9,4 +10,4 @@ from millrace.functions.columns import (
     unit_interval,
 )
 
-__all__ = ["held_out", "key_hash", "micros", "money", "rounded", "rounded_all", "seconds_between", "unit_interval"]
+__all__ = ["hash_share", "held_out", "key_hash", "micros", "money", "rounded", "rounded_all", "seconds_between", "unit_interval"]

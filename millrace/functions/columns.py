@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 HASH_FACTOR = 2654435761
 HASH_RANGE = 1000003
+#: Values of the hash that sampling compares with a share: shares down to 1 / SHARE_RANGE are told apart.
+SHARE_RANGE = 2**31
 
 
 def key_hash(key: Column | str, buckets: int = HASH_RANGE) -> Column:
@@ -19,6 +21,11 @@ def key_hash(key: Column | str, buckets: int = HASH_RANGE) -> Column:
     return F.pmod(F.pmod(key, F.lit(2**31)) * F.lit(HASH_FACTOR), F.lit(buckets))
 
 
+def hash_share(key: Column | str) -> Column:
+    """The key's hash as a share from 0 to below 1, in steps of 1 / ``SHARE_RANGE``."""
+    return key_hash(key, SHARE_RANGE) / F.lit(float(SHARE_RANGE))
+
+
 def unit_interval(key: Column | str) -> Column:
     """A fixed pseudo-uniform number strictly between 0 and 1 for each key."""
     return (key_hash(key) + F.lit(0.5)) / F.lit(float(HASH_RANGE))

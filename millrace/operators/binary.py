@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from millrace.functions import key_hash
+from millrace.functions import hash_share, key_hash
 from millrace.operators.features import assemble, bin
 from millrace.operators.ordered import ROWS_PER_TASK, global_position, running
 from millrace.sources import stage
@@ -36,7 +36,7 @@ def downsample(df: DataFrame, key: str, ratio: float, label: str = "label") -> D
         F.struct(F.sum(F.col(label)).alias("pos"), F.sum(1 - F.col(label)).alias("neg"))
     ).scalar()
     keep = F.try_divide(n["pos"] * F.lit(float(ratio)), n["neg"])
-    return df.filter((F.col(label) == 1) | (key_hash(key) / F.lit(1000003.0) < keep))
+    return df.filter((F.col(label) == 1) | (hash_share(key) < keep))
 
 
 def folds(df: DataFrame, key: str, k: int, strata: str, out: str = "fold", rows_per_task: int = ROWS_PER_TASK) -> DataFrame:

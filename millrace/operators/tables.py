@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from millrace.functions import key_hash
+from millrace.functions import hash_share
 from millrace.operators.ordered import (
     CHUNK,
     ROWS_PER_TASK,
@@ -228,7 +228,7 @@ def sample(
     df: DataFrame, key: str, fraction: float, strata: str | None = None, fractions: Mapping[str, float] | None = None
 ) -> DataFrame:
     """The same rows on every run: keys whose hash falls below the wanted share."""
-    u = key_hash(key) / F.lit(1000003.0)
+    u = hash_share(key)
     if strata is None:
         return df.filter(u < fraction)
     wanted = F.lit(fraction)

@@ -335,7 +335,7 @@ def _(t: Tables):
     return op.json_fields(t("events", "event_id", "props"), "props", "k bigint").drop("props")
 
 
-HASH_SQL = "((({key} % 2147483648) * 2654435761) % 1000003) / 1000003.0::DOUBLE"
+HASH_SQL = "((({key} % 2147483648) * 2654435761) % 2147483648) / 2147483648.0::DOUBLE"
 
 
 @query(

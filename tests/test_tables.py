@@ -43,6 +43,11 @@ def test_ranked_ties_and_nulls_match_the_window_functions(spark):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_a_tiny_share_is_a_tiny_sample(spark):
+    assert op.sample(spark.range(2_000_000), "id", 1e-8).count() <= 1
+    assert 150 <= op.sample(spark.range(2_000_000), "id", 1e-4).count() <= 250
+
+
 def test_profile_counts_nulls(spark):
     df = spark.createDataFrame([(1, None), (2, None), (2, None)], "a int, b double")
     rows = {r["column"]: r for r in op.profile(df).collect()}

@@ -84,6 +84,15 @@ def test_many_centroids_take_the_other_way(spark):
     assert sorted(few.collect()) == sorted(many.collect())
 
 
+def test_text_labels_and_repeated_ids_above_the_limit(spark):
+    df = spark.createDataFrame([(1, [0.1, 0.0], "a"), (1, [5.0, 5.0], "b"), (2, [0.0, 0.2], "a")], "id int, vec array<float>, label string")
+    cents = op.centroids(df, "label", "vec")
+    few, many = (op.nearest_centroid(df, cents, "vec", "id", **k) for k in ({}, {"limit": 1}))
+    assert few.columns == many.columns
+    assert sorted(few.collect()) == sorted(many.collect())
+    assert few.filter("label != prediction").isEmpty()
+
+
 def test_zero_vector_is_kept(spark):
     df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [3.0, 4.0])], "id int, v array<float>")
     assert [r["unit"] for r in op.normalise(df, "v").orderBy("id").collect()] == [[0.0, 0.0], [0.6, 0.8]]
