@@ -31,9 +31,10 @@ def _batch(kind, token, a, b, n, pos) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(arrays, _ARROW, strict=True)], schema=_ARROW)
 
 
-def _meet(percent: int):
+def _meet(percent: int, prefix: Callable | None = None, order: Callable | None = None):
     """Rows sorted by (token, node) in; out: pairs of short runs (kind 0), the
-    rows of long runs (kind 1), and how many tokens a node shares with any other (kind 2, n)."""
+    rows of long runs (kind 1), how many tokens a node shares with any other (kind 2, n),
+    and with ``prefix`` the place in ``order`` of each node's last token (kind 3, token)."""
 
     def possible(na, nb, pa_, pb):
         least, most = np.minimum(na, nb), np.maximum(na, nb)
@@ -67,6 +68,7 @@ def _meet(percent: int):
     def run(batches):
         held = [np.empty(0, np.int64)] * 4
         hot = last = None  # the token of a long run that goes on, and the last row seen
+        place = order() if prefix else None
         for batch in batches:
             t, v, n, p = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("token", "node", "n", "pos"))
             new = np.ones(len(t), bool)
@@ -76,6 +78,9 @@ def _meet(percent: int):
             if len(t):
                 last = (t[-1], v[-1])
             t, v, n, p = t[new], v[new], n[new], p[new]
+            if prefix:
+                end = p == prefix(n) - 1
+                yield _batch(3, place(t[end]), v[end], v[end], n[end], p[end])
             if hot is not None:
                 k = int(np.searchsorted(t, hot, "right"))
                 if k:
@@ -101,15 +106,25 @@ def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _may_reach(percent: int, x: str, y: str) -> Column:
-    """Whether two nodes' sizes, places of a common token and counts of tokens that only they have allow a link.
+def without_own(n: Column, own: Column, last: Column, other_last: Column) -> Column:
+    """The most that a set of ``n`` members can have in common with another, by its ``own`` tokens.
 
-    What is common lies before both places or after them, and outside each node's own tokens.
+    Those are the tokens of its prefix that no other prefix holds. The other set may hold them
+    behind its prefix, unless its prefix ends at the same place of the order or a later one.
+    """
+    return F.when(last <= other_last, n - own).otherwise(n)
+
+
+def _may_reach(percent: int, x: str, y: str, ordered: bool) -> Column:
+    """Whether two nodes' sizes, places of a common token and, if ``ordered``, tokens that only they have allow a link.
+
+    What is common lies before both places or after them, and as :func:`without_own` says.
     """
     c = lambda side, name: F.col(f"{side}.{name}")
     na, nb = c(x, "n"), c(y, "n")
     around = F.least(c(x, "pos"), c(y, "pos")) + F.least(na - c(x, "pos"), nb - c(y, "pos"))
-    overlap = F.least(around, na - c(x, "own"), nb - c(y, "own"))
+    own = [without_own(na, c(x, "own"), c(x, "last"), c(y, "last")), without_own(nb, c(y, "own"), c(y, "last"), c(x, "last"))] if ordered else []
+    overlap = F.least(around, *own) if own else around
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * overlap >= percent * (na + nb))
 
 
@@ -123,7 +138,8 @@ def linked(
     rows: DataFrame,
     percent: int,
     verify: Callable[[DataFrame], DataFrame],
-    prefix: Callable[[Column], Column] | None = None,
+    prefix: Callable | None = None,
+    order: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None,
     marks: Callable[[DataFrame], DataFrame] | None = None,
     weights: Callable[[DataFrame], DataFrame] | None = None,
     chances: int = 1,
@@ -132,20 +148,25 @@ def linked(
 
     ``rows``: token, node, n (size of the node's set), pos (place of the token in the
     node's own order of tokens; 0 where there is none). Two nodes are compared if they
-    share a token and their sizes and places allow ``percent``. ``prefix`` gives from n the
-    number of tokens each node has in ``rows``, where tokens are members of the set. ``verify``
-    gets distinct pairs (a < b) with columns shared_a and shared_b, the number of
-    tokens each shares with any other node, and returns those that link. ``marks`` gives
+    share a token and their sizes and places allow ``percent``. ``prefix`` gives from n (array or column) the
+    number of tokens each node has in ``rows``, where tokens are members of the set and the first
+    of it in one order of all tokens; ``order`` makes, once for each task, a function from tokens to
+    their places in that order. ``verify`` gets distinct pairs (a < b) with columns own_a, own_b, last_a and
+    last_b (0 without ``prefix``), as in :func:`without_own`, and returns those that link. ``marks`` gives
     (node, marks) for nodes, for :func:`marked_overlap`; ``weights`` gives (node, weight): the
     heaviest nodes become hubs, by default those with the largest shared part; so do ``chances``
     random ones of each token. A component is named by its smallest node.
     """
-    met = stage(rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_meet(percent), _SCHEMA))
-    shared = stage(met.where("kind = 2").groupBy(F.col("a").alias("node")).agg(F.sum("n").cast("int").alias("shared")))
+    met = stage(rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_meet(percent, prefix, order), _SCHEMA))
+    of_node = met.where("kind in (2, 3)").groupBy(F.col("a").alias("node"))
+    shared = F.sum(F.when(F.col("kind") == 2, F.col("n"))).cast("int")
+    last, size = (F.max(F.when(F.col("kind") == 3, F.col(c))) for c in ("token", "n"))
+    own = prefix(size) - shared if prefix else F.lit(0)
+    owns = stage(of_node.agg(shared.alias("shared"), own.cast("int").alias("own"), (last if prefix else F.lit(0)).alias("last")).where("shared > 0").drop("shared"))
 
     def with_own(pairs: DataFrame) -> DataFrame:
         for x in "ab":
-            pairs = pairs.join(shared.select(F.col("node").alias(x), F.col("shared").alias(f"shared_{x}")), x)
+            pairs = pairs.join(owns.select(F.col("node").alias(x), F.col("own").alias(f"own_{x}"), F.col("last").alias(f"last_{x}")), x)
         return pairs
 
     few = met.where("kind = 0").select(*_pairs(F.col("a"), F.col("b")))
@@ -153,23 +174,22 @@ def linked(
     if long.isEmpty():
         links = stage(verify(with_own(few.distinct())))
         return links, components(links)
-    own = F.greatest(F.lit(0), prefix(F.col("n")) - F.col("shared")).cast("int") if prefix else F.lit(0)
-    long = long.join(shared, "node").withColumn("own", own).withColumn("weight", -F.col("own") / F.col("n"))
+    long = long.join(owns, "node").withColumn("weight", -F.col("own") / F.col("n"))
     if weights:
         long = stage(long)
         long = long.drop("weight").join(weights(long.select("node").distinct()), "node")
     long = stage(long.withColumn("component", F.col("node")))
-    links = stage(verify(with_own(few.union(_to_hubs(long, percent, 0, chances)).distinct())))
+    links = stage(verify(with_own(few.union(_to_hubs(long, percent, 0, chances, bool(prefix))).distinct())))
     found = components(links)
     for turn in range(1, ROUNDS):
         long = _unsettled(long, found)
         if long.isEmpty():
             return links, found
-        links = stage(links.union(verify(with_own(_to_hubs(long, percent, turn, chances)))).distinct())
+        links = stage(links.union(verify(with_own(_to_hubs(long, percent, turn, chances, bool(prefix))))).distinct())
         found = components(links)
     long = _unsettled(long, found)
     if not long.isEmpty():
-        links = stage(links.union(verify(with_own(_across(long, percent, marks)))).distinct())
+        links = stage(links.union(verify(with_own(_across(long, percent, marks, bool(prefix))))).distinct())
         found = components(links)
     return links, found
 
@@ -181,10 +201,10 @@ def _unsettled(long: DataFrame, found: DataFrame) -> DataFrame:
     return stage(placed.join(parted.select("token"), "token", "left_semi"))
 
 
-_PLACE = ("node", "n", "pos", "own", "component")
+_PLACE = ("node", "n", "pos", "own", "last", "component")
 
 
-def _to_hubs(long: DataFrame, percent: int, turn: int, chances: int) -> DataFrame:
+def _to_hubs(long: DataFrame, percent: int, turn: int, chances: int, ordered: bool) -> DataFrame:
     """Each node with some of the nodes that share most and some random ones, at most ``chances`` + 2 pairs for a node."""
     place = F.struct(*_PLACE)
     coarse = F.round(F.col("weight"), 1)  # so that ties are broken by chance
@@ -198,7 +218,7 @@ def _to_hubs(long: DataFrame, percent: int, turn: int, chances: int) -> DataFram
     mine = long.alias("x").join(hubs, "token").select(*[F.col(f"x.{c}") for c in _PLACE], *names)
     best = []
     for i in range(chances + 2):
-        fits = (F.col(f"h{i}.component") != F.col("component")) & _may_reach(percent, "self", f"h{i}")
+        fits = (F.col(f"h{i}.component") != F.col("component")) & _may_reach(percent, "self", f"h{i}", ordered)
         best.append(F.min_by(F.when(fits, F.col(f"h{i}.node")), F.when(fits, F.xxhash64(f"h{i}.node", F.lit(turn)))).alias(f"b{i}"))
     per_node = mine.withColumn("self", F.struct(*_PLACE)).groupBy("node").agg(*best)
     one = per_node.select("node", F.explode(F.array_compact(F.array_distinct(F.array(*[f"b{i}" for i in range(chances + 2)])))).alias("hub"))
@@ -209,7 +229,7 @@ def _to_hubs(long: DataFrame, percent: int, turn: int, chances: int) -> DataFram
 EARLY = 16
 
 
-def _across(long: DataFrame, percent: int, marks: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
+def _across(long: DataFrame, percent: int, marks: Callable[[DataFrame], DataFrame] | None, ordered: bool = False) -> DataFrame:
     """All pairs that share a token, lie in different components, and may link.
 
     A pair is left to the smallest token that both sides are known to have: bounds hold at every
@@ -229,7 +249,7 @@ def _across(long: DataFrame, percent: int, marks: Callable[[DataFrame], DataFram
     before = F.lit(False)
     for e in early:
         before |= F.coalesce((F.col(f"x.{e}") == F.col(f"y.{e}")) & (F.col(f"x.{e}") < F.col("x.token")), F.lit(False))
-    possible = once & ~before & _may_reach(percent, "x", "y")
+    possible = once & ~before & _may_reach(percent, "x", "y", ordered)
     meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.component") != F.col("y.component")) & possible
     if marks:
         most = marked_overlap(F.col("x.n"), F.col("y.n"), F.col("x.marks"), F.col("y.marks"))

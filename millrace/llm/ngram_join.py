@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import arrowtext as at
-from millrace.llm.linking import linked, marked_overlap, small, verified
+from millrace.llm.linking import linked, marked_overlap, small, verified, without_own
 from millrace.sources import stage
 
 PERCENT = 75
@@ -82,9 +83,8 @@ def _prefix(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefixes(docs: DataFrame, rank: np.ndarray, percent: int = PERCENT) -> DataFrame:
-    """token, node (key of the set), n, pos: the first tokens of each set in rare-first order."""
-    shared = docs.sparkSession.sparkContext.broadcast(rank)  # one byte for each sketch cell
+def prefixes(docs: DataFrame, shared: Broadcast, percent: int = PERCENT) -> DataFrame:
+    """token, node (key of the set), n, pos: the first tokens of each set in rare-first order (``shared``: the rank of each sketch cell)."""
 
     def make(texts: at.Texts, _) -> pa.RecordBatch:
         off, rows, found = _sets(texts)
@@ -100,6 +100,24 @@ def prefixes(docs: DataFrame, rank: np.ndarray, percent: int = PERCENT) -> DataF
     return docs.select("text").mapInArrow(at.per_slice("text", make, lower=True), "token bigint, node bigint, n int, pos int")
 
 
+def _rare_first(shared: Broadcast):
+    """Makes a function from tokens to their places in the order of :func:`prefixes`."""
+
+    def make():
+        low = 64 - SKETCH_BITS
+        place = np.empty(1 << SKETCH_BITS, np.uint64)  # of each sketch cell; a cell has one rank, so tokens of a cell are neighbours
+        place[np.argsort(shared.value, kind="stable")] = np.arange(1 << SKETCH_BITS, dtype=np.uint64)
+
+        def places(tokens: np.ndarray) -> np.ndarray:
+            t = tokens.view(np.uint64)
+            p = place[(t >> np.uint64(low)).astype(np.int64)] << np.uint64(low) | t & np.uint64((1 << low) - 1)
+            return (p ^ np.uint64(1 << 63)).view(np.int64)
+
+        return places
+
+    return make
+
+
 def _full_sets(texts: at.Texts, _) -> pa.RecordBatch:
     off, _rows, found = _sets(texts)
     return pa.RecordBatch.from_arrays([at.signed(at.set_keys(off, found)[0]), at.lists(off, found.view(np.int64))], ["node", "s"])
@@ -129,8 +147,8 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         pairs = stage(pairs)
         known = stage(known_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         side = lambda x: known.select(*[F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "marks")])
-        free = lambda x: F.least(F.col(f"n_{x}"), F.col(f"n_{x}") - _prefix(F.col(f"n_{x}"), percent) + F.col(f"shared_{x}"))
-        room = F.least(free("a"), free("b"), marked_overlap(F.col("n_a"), F.col("n_b"), F.col("marks_a"), F.col("marks_b")))
+        free = lambda x, y: without_own(F.col(f"n_{x}"), F.col(f"own_{x}"), F.col(f"last_{x}"), F.col(f"last_{y}"))
+        room = F.least(free("a", "b"), free("b", "a"), marked_overlap(F.col("n_a"), F.col("n_b"), F.col("marks_a"), F.col("marks_b")))
         likely = (
             pairs.join(side("a"), F.col("a") == F.col("node_a"))
             .join(side("b"), F.col("b") == F.col("node_b"))
@@ -147,7 +165,8 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return verified(likely, sets, percent)
 
     marks = lambda nodes: known_of(nodes).select("node", "marks")
-    _, found = linked(prefixes(docs, rank, percent), percent, verify, lambda n: _prefix(n, percent), marks)
+    shared = docs.sparkSession.sparkContext.broadcast(rank)  # one byte for each sketch cell
+    _, found = linked(prefixes(docs, shared, percent), percent, verify, lambda n: _prefix(n, percent), _rare_first(shared), marks)
     return _named(rows, found)
 
 

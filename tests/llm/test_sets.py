@@ -75,6 +75,18 @@ def test_similarity_classes_are_those_of_all_pairs(spark, docs_of, mode):
     assert {i: (len(bag(t)), want[i]) for i, t in rows} == {i: (r.n_shingles, r.component_id) for i, r in got.items()}
 
 
+def test_a_text_with_copies_links_with_its_extensions(spark, docs_of, mode):
+    rows = []
+    for added in (10, 17, 25, 33):
+        for longer in (1, 20):  # a short run and a long one
+            base = words(1000 + added * 50 + longer, 104)
+            texts = [base] * 4 + [f"{base} {words(added * 10_000 + longer * 100 + k, added)}" for k in range(longer)]
+            rows += list(enumerate(texts, len(rows)))
+    want = classes({i: bag(t) for i, t in rows})
+    got = {r.doc_id: r.component_id for r in ngram_join.similarity_classes(docs_of(rows)).collect()}
+    assert got == want
+
+
 def test_similarity_edges(spark, docs_of):
     got = sorted(((r.doc_id or -1, r.n_shingles, r.component_id) for r in ngram_join.similarity_classes(docs_of(EDGES)).collect()))
     assert len(got) == len(EDGES)
