@@ -154,7 +154,7 @@ def _summed(rows: DataFrame, found: DataFrame, windows: DataFrame) -> DataFrame:
     hit = reach.withColumn("new", F.greatest(F.lit(0), F.col("end") - F.greatest("start", earlier))).groupBy(*same).agg(F.sum("new").alias("n_hit"))
     named = found.select(*same, "words").distinct().join(windows.select("words", "item_id").distinct(), "words")
     items = named.groupBy(*same).agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    both = hit.join(items, same)
+    both = hit.alias("h").join(items.alias("i"), F.col("h.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("h.key") == F.col("i.key"))).select("h.*", "i.items")
     n_hit, ids = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", F.array().cast("array<string>"))
     joined = rows.select("doc_id", "key", "n_words").alias("r").join(both.alias("f"), (F.col("r.doc_id").eqNullSafe(F.col("f.doc_id"))) & (F.col("r.key") == F.col("f.key")), "left")
     return joined.select(

@@ -189,6 +189,12 @@ def test_contamination_is_that_of_brute_force(spark, docs_of):
     assert {r.n_hit for r in decontaminate.contamination(docs_of(rows), bench.limit(0)).collect()} == {0}
 
 
+def test_a_contaminated_row_without_id_is_found(spark, docs_of):
+    bench = spark.createDataFrame([(1, words(70, 20))], "item_id bigint, text string")
+    got = decontaminate.contamination(docs_of([(None, words(70, 20)), (None, words(76, 20)), (1, words(70, 20))]), bench).collect()
+    assert sorted((r.doc_id or 0, r.n_hit, r.n_items, r.contaminated) for r in got) == [(0, 0, 0, False), (0, 20, 1, True), (1, 20, 1, True)]
+
+
 def test_word_hash_depends_on_every_byte():
     starts, ends = np.array([0, 4, 8]), np.array([3, 7, 11])
     part = next(at.slices(pa.array(["abc acb abd"])))
