@@ -12,6 +12,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
 WIDTH = 5
@@ -182,6 +184,11 @@ def lists(off: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(values))
 
 
+def source() -> Column:
+    """A number to find a row's text again: its doc_id, or a hash of its text where that is NULL. Rows may share one."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
+
+
 def per_slice(column: str, make: Callable[[Texts, pa.RecordBatch], pa.RecordBatch], lower: bool = False):
     """A function for ``mapInArrow``: ``make`` gets each slice of ``column`` and the batch rows it covers."""
 

@@ -33,8 +33,8 @@ def _sets(texts: at.Texts):
 def _profile(batches):
     """A row for each document (block NULL), and this task's share of the sketch in blocks (doc_id NULL)."""
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
-    names = ["doc_id", "n_shingles", "key", "marks", "block", "counts"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    names = ["doc_id", "source", "n_shingles", "key", "marks", "block", "counts"]
 
     def out(arrays):
         return pa.RecordBatch.from_arrays([pa.array(x, k) if not isinstance(x, pa.Array) else x for x, k in zip(arrays, kinds, strict=True)], names)
@@ -48,9 +48,10 @@ def _profile(batches):
             marks = np.packbits(marks).view(np.int64)
             key, _ = at.set_keys(off, found)
             none = [None] * texts.rows
-            yield out([batch.column("doc_id").slice(texts.low, texts.rows).cast(pa.int64()), np.diff(off).astype(np.int64), at.signed(key), at.lists(np.arange(texts.rows + 1) * (CELLS // 64), marks), none, none])
+            ids = [batch.column(c).slice(texts.low, texts.rows).cast(pa.int64()) for c in ("doc_id", "source")]
+            yield out([*ids, np.diff(off).astype(np.int64), at.signed(key), at.lists(np.arange(texts.rows + 1) * (CELLS // 64), marks), none, none])
     none = [None] * BLOCKS
-    yield out([none, none, none, none, np.arange(BLOCKS, dtype=np.int32), [x.tobytes() for x in np.split(sketch, BLOCKS)]])
+    yield out([none, none, none, none, none, np.arange(BLOCKS, dtype=np.int32), [x.tobytes() for x in np.split(sketch, BLOCKS)]])
 
 
 def _added(batches):
@@ -67,8 +68,8 @@ def _added(batches):
 
 
 def profiles(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n_shingles, key, marks) of every row, and each sketch cell's logarithmic rarity."""
-    both = stage(docs.select("doc_id", "text").mapInArrow(_profile, "doc_id bigint, n_shingles bigint, key bigint, marks array<bigint>, block int, counts binary"))
+    """(doc_id, source, n_shingles, key, marks) of every row, and each sketch cell's logarithmic rarity."""
+    both = stage(docs.select("doc_id", "text", at.source().alias("source")).mapInArrow(_profile, "doc_id bigint, source bigint, n_shingles bigint, key bigint, marks array<bigint>, block int, counts binary"))
     parts = both.where("block is not null").select("block", "counts").mapInArrow(_added, "block int, counts binary")
     blocks = parts.repartition(BLOCKS, "block").mapInArrow(_added, "block int, counts binary").collect()  # 8 MB at any input
     counts = np.concatenate([np.frombuffer(x.counts, np.uint64) for x in sorted(blocks)]) if blocks else np.zeros(1 << SKETCH_BITS, np.uint64)
@@ -137,11 +138,11 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     rows, rank = profiles(docs)
 
-    by_key = rows.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "doc_id", "marks")
+    by_key = rows.select(F.col("key").alias("node"), F.col("n_shingles").alias("n"), "source", "marks")
 
     def known_of(nodes: DataFrame) -> DataFrame:
         some = by_key.join(nodes, "node", "left_semi").groupBy("node")
-        return some.agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"), F.max("marks").alias("marks"))
+        return some.agg(F.min("n").alias("n"), F.min("source").alias("source"), F.max("marks").alias("marks"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = stage(pairs)
@@ -157,8 +158,8 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         )
 
         def sets(wanted: DataFrame) -> DataFrame:
-            ids = known.join(wanted, "node", "left_semi").select("doc_id")
-            some = docs.select("doc_id", "text").join(small(ids), "doc_id", "left_semi").select("text")
+            sources = known.join(wanted, "node", "left_semi").select("source")
+            some = docs.select(at.source().alias("source"), "text").join(small(sources), "source", "left_semi").select("text")
             full = some.mapInArrow(at.per_slice("text", _full_sets, lower=True), "node bigint, s array<bigint>")
             return full.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("s").alias("s"))
 

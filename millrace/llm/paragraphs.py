@@ -47,8 +47,8 @@ def _minima(off: np.ndarray, found: np.ndarray) -> list[np.ndarray]:
 def _places(min_words: int):
     def make(texts: at.Texts, batch: pa.RecordBatch) -> pa.RecordBatch:
         row, line, off, _, found = _paragraphs(texts, min_words)
-        doc_id = batch.column("doc_id").cast(pa.int64()).take(pa.array(row))
-        return pa.RecordBatch.from_arrays([doc_id, pa.array(line, pa.int32()), at.signed(at.set_keys(off, found)[0])], ["doc_id", "line", "node"])
+        ids = [batch.column(c).cast(pa.int64()).take(pa.array(row)) for c in ("doc_id", "source")]
+        return pa.RecordBatch.from_arrays([*ids, pa.array(line, pa.int32()), at.signed(at.set_keys(off, found)[0])], ["doc_id", "source", "line", "node"])
 
     return at.per_slice("text", make, lower=True)
 
@@ -103,14 +103,14 @@ def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     document: their lines of one number stay or go together. Ties have one order. Other
     columns are not read.
     """
-    text = docs.select("doc_id", "text")
-    places = stage(text.mapInArrow(_places(min_words), "doc_id bigint, line int, node bigint"))
+    text = docs.select("doc_id", "text", at.source().alias("source"))
+    places = stage(text.mapInArrow(_places(min_words), "doc_id bigint, source bigint, line int, node bigint"))
     at_place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("line"))
 
     def sets(wanted: DataFrame) -> DataFrame:
-        where = places.join(wanted, "node", "left_semi").groupBy("node").agg(F.min_by("doc_id", at_place).alias("doc_id"))
-        by_doc = where.groupBy("doc_id").agg(F.collect_list("node").alias("wanted"))  # at most a document's paragraphs
-        some = text.join(small(by_doc), "doc_id")
+        where = places.join(wanted, "node", "left_semi").groupBy("node").agg(F.min_by("source", at_place).alias("source"))
+        by_source = where.groupBy("source").agg(F.collect_list("node").alias("wanted"))  # at most a document's paragraphs
+        some = text.join(small(by_source), "source")
         return some.mapInArrow(_sets(min_words), "node bigint, s array<bigint>").groupBy("node").agg(F.first("s").alias("s"))
 
     def marks(nodes: DataFrame) -> DataFrame:

@@ -175,6 +175,22 @@ def brute_contamination(docs, items):
     return out
 
 
+def bridge():
+    """A row without id that alone joins two others."""
+    first, more, end = words(80, 104), words(81, 20), words(82, 20)
+    return [(1, first), (None, f"{first} {more}"), (2, f"{first} {more} {end}"), (None, words(83, 50))]
+
+
+def test_a_near_copy_without_id_joins_two_documents(spark, docs_of):
+    got = {r.n_shingles: r.component_id for r in ngram_join.similarity_classes(docs_of(bridge())).collect()}
+    assert got == {100: 1, 120: 1, 140: 1, 46: None}
+
+
+def test_a_near_copy_without_id_joins_two_paragraphs(spark, docs_of):
+    got = {(r.doc_id, r.line, r.kept_doc, r.kept_line) for r in paragraphs.removals(docs_of(bridge())).collect()}
+    assert got == {(None, 0, 1, 0), (2, 0, 1, 0)}
+
+
 def test_contamination_is_that_of_brute_force(spark, docs_of):
     items = [(1, words(70, 20)), (2, words(71, 13)), (10, words(72, 7)), (11, "Alpha, beta!"), (12, "zz"), (13, ""), (14, None), (15, words(70, 20)), (16, "aa " * 30)]
     rows = [
