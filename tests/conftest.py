@@ -7,8 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from millrace.session import local_session  # noqa: E402
-
-SMALL = "/root/testdata/sf0.001"
+from shared import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -10,7 +10,7 @@ from millrace.plans import all_queries
 from millrace.plans.binary import planted_binary
 from millrace.plans.lifetime import planted_lives
 from millrace.plans.predict import X, planted_linear, split
-from conftest import SMALL
+from shared import SMALL
 
 
 @pytest.fixture(scope="module")

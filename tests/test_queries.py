@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SMALL
+from shared import SMALL
 from millrace.plans import all_queries
 from oracle import compare, database
 
