@@ -1,10 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
