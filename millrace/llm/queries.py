@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, host_rules, nbsvm, ngram_join, paragraphs, pieces_scan, prefix_tokens, toxicity, wrappers
+from millrace.llm import chat, decontaminate, host_rules, mixing, nbsvm, ngram_join, paragraphs, pieces_scan, prefix_tokens, toxicity, wrappers
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -159,3 +159,28 @@ def op9_ngram_jaccard_join(spark, folder):
 )
 def op10_benchmark_decontamination(spark, folder):
     return decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+_SIZE = f"len(regexp_extract_all(coalesce(text, ''), {_WORD}))"
+
+
+@_query(
+    f"""
+    WITH RECURSIVE d AS (SELECT doc_id, source, {_SIZE}::BIGINT AS size,
+        ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '-' || text, '-')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1 AS i FROM d GROUP BY source),
+    w AS (SELECT source, n, ([3, 1, 2])[i % 3 + 1]::DOUBLE AS w, 2.0::DOUBLE * n AS cap FROM s),
+    -- the sources at their limits, round by round
+    rounds AS (SELECT 0 AS r, (SELECT sum(n) * 1.5::DOUBLE / sum(w) FROM w) AS level
+        UNION ALL
+        SELECT r + 1, (SELECT ((SELECT sum(n) FROM w) * 1.5::DOUBLE - coalesce(sum(cap) FILTER (cap <= level * w), 0))
+                  / ((SELECT sum(w) FROM w) - coalesce(sum(w) FILTER (cap <= level * w), 0)) FROM w)
+        FROM rounds WHERE r < 60),
+    last AS (SELECT level FROM rounds WHERE r = 60),
+    t AS (SELECT source, n, CASE WHEN cap <= level * w THEN cap ELSE level * w END AS target FROM w, last)
+    SELECT doc_id, size, n AS source_size, target,
+      (size * CASE WHEN n = 0 THEN 0 ELSE floor(target / n) + (u < target / n - floor(target / n))::INT END)::BIGINT AS taken
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source"""
+)
+def op11_source_mixing(spark, folder):
+    rows = mixing.repetitions(_table(spark, folder, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
