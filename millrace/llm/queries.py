@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, host_rules, mixing, nbsvm, ngram_join, paragraphs, pieces_scan, prefix_tokens, toxicity, wrappers
+from millrace.llm import chat, decontaminate, host_rules, merkle, mixing, nbsvm, ngram_join, paragraphs, pieces_scan, prefix_tokens, toxicity, wrappers
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -184,3 +184,44 @@ _SIZE = f"len(regexp_extract_all(coalesce(text, ''), {_WORD}))"
 def op11_source_mixing(spark, folder):
     rows = mixing.repetitions(_table(spark, folder, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def _crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes, bit by bit."""
+    code = f"hex(encode({text}))"
+    octets = f"list_transform(range(0, length({code}) // 2), lambda i: ('0x' || substr({code}, 2 * i + 1, 2))::BIGINT)"
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: {bits}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+@_query(
+    f"""
+    WITH RECURSIVE d AS (SELECT doc_id, lang, {_leaf("text")} AS leaf,
+        CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS changed
+        FROM documents),
+    r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d),
+    up AS (SELECT lang, 0 AS lvl, i, leaf AS h, n FROM r
+        UNION ALL SELECT lang, lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM up WHERE n > 1 GROUP BY lang, lvl, i // 8),
+    sub AS (SELECT lang, h, row_number() OVER (ORDER BY lang COLLATE "C" NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1),
+    top AS (SELECT 0 AS lvl, i, h, n FROM sub
+        UNION ALL SELECT lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM top WHERE n > 1 GROUP BY lvl, i // 8),
+    a AS (SELECT x.lang, x.lvl, x.i, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS l, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS g
+        FROM up x JOIN up y ON x.lang IS NOT DISTINCT FROM y.lang AND x.lvl = y.lvl AND x.i // 8 = y.i // 8 WHERE x.n > 1 GROUP BY ALL),
+    b AS (SELECT x.lvl, x.i, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS l, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS g
+        FROM top x JOIN top y ON x.lvl = y.lvl AND x.i // 8 = y.i // 8 WHERE x.n > 1 GROUP BY ALL),
+    fold AS (SELECT doc_id, lang, leaf, 0 AS step, i, coalesce(changed, leaf) AS acc, '' AS sibs FROM r
+        UNION ALL SELECT f.doc_id, f.lang, f.leaf, step + 1, f.i // 8, sha256(l || acc || g), sibs || l || g
+        FROM fold f JOIN a ON a.lang IS NOT DISTINCT FROM f.lang AND a.lvl = f.step AND a.i = f.i),
+    low AS (SELECT * FROM fold QUALIFY row_number() OVER (PARTITION BY doc_id, lang, leaf ORDER BY step DESC) = 1),
+    over_ AS (SELECT doc_id, leaf, s.h AS subroot, 0 AS step, s.i, acc, sibs FROM low JOIN sub s ON s.lang IS NOT DISTINCT FROM low.lang
+        UNION ALL SELECT o.doc_id, o.leaf, o.subroot, step + 1, o.i // 8, sha256(l || acc || g), sibs || l || g FROM over_ o JOIN b ON b.lvl = o.step AND b.i = o.i),
+    done AS (SELECT * FROM over_ QUALIFY row_number() OVER (PARTITION BY doc_id, leaf ORDER BY step DESC) = 1)
+    SELECT doc_id, leaf, subroot, top.h AS root, sha256(sibs) AS proof_sha256, acc AS folded_root, acc = top.h AS verified FROM done, top WHERE top.n = 1"""
+)
+def op12_merkle_manifest(spark, folder):
+    return merkle.audit(_table(spark, folder, "documents"))
