@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, host_rules, merkle, mixing, nbsvm, ngram_join, paragraphs, pieces_scan, prefix_tokens, toxicity, wrappers
+from millrace.llm import chat, decontaminate, host_rules, merkle, mixing, nbsvm, ngram_join, paragraphs, pieces_scan, prefix_tokens, toxicity, variants, wrappers
 
 QUERIES = {}
 SQL: dict[str, str] = {}
@@ -225,3 +225,26 @@ def _leaf(text: str) -> str:
 )
 def op12_merkle_manifest(spark, folder):
     return merkle.audit(_table(spark, folder, "documents"))
+
+
+@_query(
+    f"""
+    WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents),
+    each_ AS (SELECT doc_id, r, count(*) AS k FROM runs WHERE length(r) >= 7 GROUP BY ALL),
+    hashed AS (SELECT r, k, {_crc32("doc_id || ':' || r")} AS h FROM each_),
+    words AS (SELECT CASE WHEN h % 31 = 0 THEN substr(r, 1, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word, k FROM hashed),
+    v AS (SELECT word, sum(k)::BIGINT AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+    cut AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+    parts AS (SELECT word, n, substr(word, 1, i - 1) AS x, substr(word, i + 1) AS y FROM cut),
+    near AS (SELECT a.word, b.word AS other, b.n AS m FROM parts a JOIN parts b ON a.x = b.x AND a.y = b.y AND a.word <> b.word
+        UNION SELECT p.word, v.word, v.n FROM parts p JOIN v ON v.word = p.x || p.y
+        UNION SELECT v.word, p.word, p.n FROM parts p JOIN v ON v.word = p.x || p.y),
+    best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, other COLLATE "C")) AS other, max(m) AS m FROM near GROUP BY word),
+    f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 10 * n THEN other END AS form, CASE WHEN m >= 10 * n THEN m END AS form_n
+        FROM v LEFT JOIN best USING (word)),
+    chain AS (SELECT word, word AS at, form AS next FROM f UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN f ON f.word = c.next)
+    SELECT f.word, form, c.at AS root, n, n_near, form_n FROM f JOIN chain c ON c.word = f.word AND c.next IS NULL"""
+)
+def op13_spelling_variants(spark, folder):
+    return variants.grouped(_table(spark, folder, "documents"))
