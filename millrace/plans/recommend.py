@@ -9,6 +9,8 @@ from millrace.sources import stage
 
 CUT = "2000-07-01"
 MIN_SHARED, MIN_JACCARD, MIN_ITEM_COSINE, MIN_USER_COSINE = 4, 0.08, 0.12, 0.12
+#: A bound that every pair with a shared feature reaches.
+ANY = 0
 
 
 def bought(t: Tables, when: str | None = None):
@@ -55,8 +57,8 @@ COSINE = "dot / (xa * xb)"
 
 def edges_sql(entity, weighted, score, least, copy_score, copy_where="TRUE"):
     return f"""WITH {ix_sql()}, {rep_sql(entity, weighted)}, {pair_sql(entity, score, least)}
-        SELECT a, b, floor(score * 1e6 + 0.5) / 1e6 AS score FROM pairs
-        UNION ALL SELECT rep, e, {copy_score} FROM rep WHERE e <> rep AND {copy_where}"""
+        SELECT a, b, floor(score * 1e6 + 0.5) / 1e6 AS score, FALSE AS copy FROM pairs
+        UNION ALL SELECT rep, e, {copy_score}, TRUE FROM rep WHERE e <> rep AND {copy_where}"""
 
 
 def edges(df):
@@ -105,7 +107,7 @@ def _(t: Tables):
 
 def near_sql(k, ix="ix"):
     """CTE ``near``: k best others over all items, copies included."""
-    return f"""{rep_sql("item", True, ix)}, {pair_sql("item", COSINE, MIN_ITEM_COSINE, ix)},
+    return f"""{rep_sql("item", True, ix)}, {pair_sql("item", COSINE, ANY, ix)},
         links AS (SELECT a, b, score FROM pairs UNION ALL SELECT b, a, score FROM pairs
                   UNION ALL SELECT DISTINCT rep, rep, 1.0 FROM rep),
         near AS (SELECT x.e AS item, y.e AS other, score,
@@ -113,30 +115,27 @@ def near_sql(k, ix="ix"):
                  FROM links JOIN rep x ON a = x.rep JOIN rep y ON b = y.rep WHERE x.e <> y.e QUALIFY rank <= {k})"""
 
 
-def near(ix, k):
-    group = op.copies(ix, "item", weighted=True)
-    return op.neighbours(op.cosine(ix, MIN_ITEM_COSINE, group=group), group, k)
-
-
 @query(
     "r07_neighbours",
     f"WITH {ix_sql()}, {near_sql(5)} SELECT item, other, floor(score * 1e6 + 0.5) / 1e6 AS score, rank FROM near",
 )
 def _(t: Tables):
-    return edges(near(staged(t), 5))
+    return edges(op.neighbours(staged(t), 5))
 
 
 def recs_sql(k, ix="ix"):
-    return f"""scored AS (SELECT "user", other AS item, floor(sum(score * w) * 1e6 + 0.5) / 1e6 AS score
+    return f"""scored AS (SELECT "user", other AS item,
+            sum(CAST(floor(score * 1e12 + 0.5) AS DECIMAL(20,0)) * CAST(w AS DECIMAL(18,6))) AS exact
             FROM {ix} JOIN near USING (item) GROUP BY 1, 2),
-        recs AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank
+        recs AS (SELECT "user", item, floor(CAST(exact AS DOUBLE) / 1e12 * 1e6 + 0.5) / 1e6 AS score,
+            row_number() OVER (PARTITION BY "user" ORDER BY exact DESC, item) AS rank
             FROM scored ANTI JOIN {ix} USING ("user", item) QUALIFY rank <= {k})"""
 
 
 @query("r08_recommend", f"WITH {ix_sql()}, {near_sql(10)}, {recs_sql(5)} SELECT * FROM recs")
 def _(t: Tables):
     ix = staged(t)
-    return op.recommend(ix, near(ix, 10), 5)
+    return edges(op.recommend(ix, op.neighbours(ix, 10), 5))
 
 
 @query(
@@ -155,5 +154,5 @@ def _(t: Tables):
 def _(t: Tables):
     ix = staged(t, "<")
     later = bought(t, ">=").select("user", "item").join(ix, ["user", "item"], "left_anti")
-    out = op.rank_eval(op.recommend(ix, near(ix, 10), 10), later, 10)
+    out = op.rank_eval(op.recommend(ix, op.neighbours(ix, 10), 10), later, 10)
     return out.select("n_users", *[rounded(F.col(c), 9).alias(c) for c in out.columns if c != "n_users"])

@@ -61,16 +61,24 @@ def frame(spark, ix):
     return spark.createDataFrame([(u, i, w) for (u, i), w in ix.items()], "user bigint, item bigint, w double")
 
 
-SETTINGS = [{}, {"max_degree": 8, "block": 1000}, {"max_degree": 8, "block": 5}, {"max_degree": 1, "block": 2}]
+SETTINGS = [{}, {"LEAST_WORK": 0}, {"LEAST_WORK": 5, "WORK": 40, "TASKS": 3, "SEGMENT": 4, "CHUNK": 7, "DENSE": 100}, {"LEAST_WORK": 0, "WORK": 3, "TASKS": 3, "SEGMENT": 1, "CHUNK": 1, "DENSE": 1}]
+
+
+@pytest.fixture(params=SETTINGS, ids=str)
+def setting(request, monkeypatch):
+    for name, value in request.param.items():
+        monkeypatch.setattr(op, name, value)
+    return request.param
 
 
 @pytest.mark.parametrize("axis", ["item", "user"])
-@pytest.mark.parametrize("setting", SETTINGS, ids=str)
 @pytest.mark.parametrize("measure,least", [("count", 2), ("count", 5), ("jaccard", 0.3), ("cosine", 0.35), ("cosine", 0.8)])
 def test_pairs_are_exact(spark, axis, setting, measure, least):
     ix = make(least * 10 + len(axis))
     job = {"count": op.cooccur, "jaccard": op.jaccard, "cosine": op.cosine}[measure]
-    got = {(r["a"], r["b"]): r["score"] for r in job(frame(spark, ix), least, entity=axis, **setting).collect()}
+    rows = job(frame(spark, ix), least, entity=axis).collect()
+    got = {(r["a"], r["b"]): r["score"] for r in rows}
+    assert len(got) == len(rows)
     rep = rep_of(ix, axis, measure == "cosine")
     want = {
         (a, b): s[measure]
@@ -79,25 +87,43 @@ def test_pairs_are_exact(spark, axis, setting, measure, least):
     }
     assert got.keys() == want.keys()
     assert all(got[k] == pytest.approx(v) for k, v in want.items())
+    assert all(r["copy"] == (rep[r["b"]] == r["a"]) for r in rows)
 
 
 @pytest.mark.parametrize("k", [1, 3, 40])
-def test_neighbours_see_through_copies(spark, k):
-    ix = make(3)
-    df = frame(spark, ix)
-    group = op.copies(df, "item", weighted=True)
+@pytest.mark.parametrize("sign", [1.0, -1.0])
+def test_neighbours_are_complete_and_see_through_copies(spark, setting, k, sign):
+    ix = {key: w if key[0] % 4 else sign * w for key, w in make(3).items()}
     got = defaultdict(list)
-    for r in op.neighbours(op.cosine(df, 0.4, group=group), group, k).collect():
+    for r in op.neighbours(frame(spark, ix), k).collect():
         got[r["item"]].append((r["rank"], r["other"]))
     both = defaultdict(list)
     for a, b, s in scores(ix, "item"):
-        if s["cosine"] >= 0.4:
+        if s["cosine"] > 1e-9:
             both[a].append((-round(s["cosine"], 9), b))
             both[b].append((-round(s["cosine"], 9), a))
     want = {i: [o for _, o in sorted(v)[:k]] for i, v in both.items()}
     assert {i: [o for _, o in sorted(v)] for i, v in got.items()} == want
 
 
+def test_only_wanted_pairs_become_rows(spark, tables):
+    """Products are added up inside cells; what leaves a cell is a result."""
+    from pyspark.sql import functions as F
+
+    from millrace.plans import recommend as plan
+
+    ix = plan.staged(tables)
+    rows = op._profiles(ix, "item", op.copies(ix, "item", weighted=False), False)
+    products = op._ordered(rows, "count").agg(F.sum("d")).first()[0]
+    found = op._similar(rows, "count", 6)
+    assert found.where("sum < 6").count() == 0 and 0 < found.count() < products / 10
+
+
+def test_text_ids(spark):
+    ix = frame(spark, make(5)).selectExpr("concat('u', user) AS user", "concat('i', item) AS item", "w")
+    assert op.cosine(ix, 0.35).count() > 0 and op.neighbours(ix, 2).count() > 0
+
+
 def test_recommend_and_eval(spark):
     ix = frame(spark, {(1, 1): 1.0, (1, 2): 2.0, (2, 1): 1.0, (2, 3): 1.0, (3, 2): 1.0, (3, 3): 1.0})
     near = spark.createDataFrame(
