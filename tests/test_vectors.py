@@ -1,5 +1,7 @@
 """Nearest neighbours against brute force, and models on a planted signal."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,6 +62,25 @@ def test_each_row_judged_by_the_others(spark, copies):
         assert got[i] == (best, near.count(best))
 
 
+def test_test_rows_visit_a_falling_share_of_the_groups(spark):
+    """Cells grow with the rows, so the bound from a row's own cell leaves out more of them."""
+    shares = []
+    for n in (300, 9000):
+        train, test = clustered(n, 11), clustered(60, 12)
+        a, b = frames(spark, (train[0], train[1]), (train[0][:60] + 0.01, train[1][:60]))
+        cells = op._Cells(a, 2 * math.isqrt(n), 50)
+        first = op._block_search(cells.first(b), cells.train, 3, 50)
+        kth = first.groupBy("id").agg(F.max("distance").alias("found"))
+        visits = cells.visits(b.join(kth, "id", "left"), 3).count()
+        shares.append((visits + 60) / 60 / cells.groups)
+    assert shares[1] < shares[0] and shares[1] < 0.25
+
+
+def test_cells_grow_with_rows():
+    counts = [op.cell_count(n, 64) for n in (100, 10_000, 10**6, 10**8)]
+    assert counts == sorted(counts) and counts[0] == 1 and counts[2] == 1000 and counts[3] == 10_000
+
+
 def test_fewer_training_rows_than_k(spark):
     train, test = clustered(3, 2), clustered(10, 3)
     found = op.nearest(*frames(spark, train, test), 5)
