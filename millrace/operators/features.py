@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import global_position, join_by, quantiles, running
+from millrace.sources import stage
 
 
 def _one(df: DataFrame, aggs: Mapping[str, Column]) -> Column:
@@ -17,9 +18,11 @@ def _one(df: DataFrame, aggs: Mapping[str, Column]) -> Column:
     return df.agg(F.struct(*[e.alias(n) for n, e in aggs.items()])).scalar()
 
 
-def _quantile(df: DataFrame, col: str, probs: Mapping[str, float]) -> Column:
-    found = quantiles(df.select(F.col(col).cast("double").alias(col)), [], col, dict(probs))
-    return found.select(F.struct(*probs)).scalar()
+def _quantiles(df: DataFrame, cols: Sequence[str], probs: Mapping[str, float]) -> dict[str, Column]:
+    """Quantiles of several columns from one pass, each column's as a struct-valued scalar subquery."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], [*cols], "column", "value")
+    found = stage(quantiles(long, ["column"], "value", dict(probs)).select("column", *probs))
+    return {c: found.filter(F.col("column") == c).agg(F.first(F.struct(*probs))).scalar() for c in cols}
 
 
 def missing_report(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -40,7 +43,7 @@ def impute(df: DataFrame, spec: Mapping[str, str | tuple]) -> DataFrame:
         if rule == "mean":
             value = df.agg(F.avg(c)).scalar()
         elif rule == "median":
-            value = _quantile(df, c, {"median": 0.5})["median"]
+            value = _quantiles(df, [c], {"median": 0.5})[c]["median"]
         elif rule == "mode":
             counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("_n"))
             value = counts.agg(F.min_by(c, F.struct(-F.col("_n"), F.col(c)))).scalar()
@@ -128,10 +131,8 @@ def history_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], y: str,
 def scale(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
     """"standard" (sample deviation), "minmax" or "robust" (median and IQR); constant columns give NULL."""
     if kind == "robust":
-        made = {}
-        for c in cols:
-            q = _quantile(df, c, {"a": 0.25, "b": 0.5, "c": 0.75})
-            made[c] = F.try_divide(F.col(c) - q["b"], q["c"] - q["a"])
+        found = _quantiles(df, cols, {"a": 0.25, "b": 0.5, "c": 0.75})
+        made = {c: F.try_divide(F.col(c) - q["b"], q["c"] - q["a"]) for c, q in found.items()}
     else:
         aggs = {}
         for c in cols:
@@ -151,7 +152,7 @@ def scale(df: DataFrame, cols: Sequence[str], kind: str) -> DataFrame:
 def clip(df: DataFrame, col: str, rule: str, factor: float) -> DataFrame:
     """``<col>_outlier`` and ``<col>_clipped``; bounds by "iqr" or "z" (sample deviation)."""
     if rule == "iqr":
-        q = _quantile(df, col, {"a": 0.25, "c": 0.75})
+        q = _quantiles(df, [col], {"a": 0.25, "c": 0.75})[col]
         low = q["a"] - factor * (q["c"] - q["a"])
         high = q["c"] + factor * (q["c"] - q["a"])
     else:

@@ -70,11 +70,14 @@ def lay_out(
     """Add a chunk column if some key holds more rows than one task should.
 
     Rows that are equal in ``order`` share a chunk. ``rows_per_task=None`` says that keys are
-    known to be small, for example on a time grid, and saves the counting job.
+    known to be small, for example on a time grid, and saves the counting job. Rows without a key
+    are one key that is never known to be small.
     """
     keys = list(by)
     if rows_per_task is None:
-        return Layout(df, keys, split=False)
+        if keys:
+            return Layout(df, keys, split=False)
+        rows_per_task = ROWS_PER_TASK
     if keys:
         counts = stage(df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_task))
         rows = counts.agg(F.sum("_n")).first()[0]
@@ -283,8 +286,15 @@ def quantiles(
     final aggregate only picks the values next to each wanted position.
     """
     counted = stage(df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n")))
+    return counted_quantiles(counted, by, value, "_n", probs, rows_per_task)
+
+
+def counted_quantiles(
+    counted: DataFrame, by: Sequence[str], value: str, n: str, probs: dict[str, float], rows_per_task: int | None = ROWS_PER_TASK
+) -> DataFrame:
+    """``quantiles`` of values that are counted already: ``value`` occurs ``n`` times."""
     placed = running(
-        counted, by, [value], {"_cum": F.col("_n")}, {"_total": F.col("_n")}, rows_per_task=rows_per_task
+        counted, by, [value], {"_cum": F.col(n)}, {"_total": F.col(n)}, rows_per_task=rows_per_task
     )
     picks = []
     for name, p in probs.items():

@@ -91,13 +91,14 @@ def rolling(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str,
 
 
 def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str, seconds: int, **kw) -> DataFrame:
-    """Count, mean and largest over the last ``seconds``, both ends included.
+    """Count, mean, deviation, least and largest over the last ``seconds``, both ends included.
 
     A RANGE frame visits every row of every window. Here time is cut into blocks of
     ``seconds``: a window is the start of its own block up to the row, and the rest of
     the block before. Rows of the block before join the block shifted by ``seconds``,
     where "still in the window" means "at or after the row", so both parts are running
-    aggregates, and a key is spread over its blocks.
+    aggregates, and a key is spread over its blocks. Both parts' moments are taken about
+    the mean of the two blocks, so they add up without losing digits to a large level.
     """
     reach = seconds * 1_000_000
     at = F.when(F.col(ts).isNotNull(), micros(F.col(ts)))
@@ -110,17 +111,23 @@ def rolling_time(df: DataFrame, by: Sequence[str], ts: str, value: str, seconds:
         *df.columns, F.col("_p.own").alias("_own"), F.col("_p.block").alias("_block"), F.col("_p.pos").alias("_at")
     )
     rows = rows.filter("_own = 1 OR _at IS NOT NULL").withColumn("_back", -F.col("_at"))
+    level = rows.groupBy(*by, "_block").agg(F.avg(value).alias("_level"))
+    rows = join_by(rows, level, [*by, "_block"]).withColumn("_x", F.col(value) - F.col("_level"))
     for own, order, mark in ((1, "_at", "a"), (0, "_back", "b")):
-        x = F.when(F.col("_own") == own, F.col(value))
+        x = F.when(F.col("_own") == own, F.col("_x"))
         rows = running(
-            rows, [*by, "_block"], [order], {f"_n{mark}": x.isNotNull().cast("int"), f"_s{mark}": x},
-            tops={f"_m{mark}": x}, peers=True, **kw,
+            rows, [*by, "_block"], [order], {f"_n{mark}": x.isNotNull().cast("int"), f"_s{mark}": x, f"_q{mark}": x * x},
+            tops={f"_m{mark}": F.when(x.isNotNull(), F.col(value)), f"_l{mark}": F.when(x.isNotNull(), -F.col(value))},
+            peers=True, **kw,
         )
-    n, total = F.col("_na") + F.col("_nb"), F.col("_sa") + F.col("_sb")
+    n, total, squares = (F.col(f"_{c}a") + F.col(f"_{c}b") for c in "nsq")
+    spread = F.greatest(squares - F.try_divide(total * total, n), F.lit(0.0))
     return rows.filter("_own = 1").select(
         *df.columns,
         n.alias("roll_n"),
-        F.try_divide(total, n).alias("roll_mean"),
+        (F.col("_level") + F.try_divide(total, n)).alias("roll_mean"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("roll_std"),
+        (-F.greatest("_la", "_lb")).alias("roll_min"),
         F.greatest("_ma", "_mb").alias("roll_max"),
     )
 

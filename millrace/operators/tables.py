@@ -10,14 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from millrace.functions import hash_share
-from millrace.operators.ordered import (
-    CHUNK,
-    ROWS_PER_TASK,
-    join_by,
-    lay_out,
-    quantiles,
-)
+from millrace.functions import hash_share, micros
+from millrace.operators.ordered import ROWS_PER_TASK, counted_quantiles, join_by, running
+from millrace.sources import stage
 
 
 def select_where(df: DataFrame, pred: Column, exprs: Mapping[str, Column]) -> DataFrame:
@@ -125,46 +120,34 @@ def ranked(
 ) -> DataFrame:
     """Rank family by ascending ``value`` (``tie`` breaks ties) and share of the group.
 
-    Equal values always fall in one chunk, so ranks inside a chunk only need the
-    row and distinct-value counts of the earlier chunks added.
+    Where a group holds more rows than one task should, places have two levels: rows are
+    counted by value, running counts over the values give ranks, and the place inside a value is counted
+    apart. So a group is cut between its values, and a value that many rows share is cut by ``tie``.
     """
-    lay = lay_out(df, by, [value], rows_per_task)
     share = F.col(value) if share is None else share
-    part = W.partitionBy(*lay.parts)
-    order = part.orderBy(value)
-    local = lay.df.select(
-        "*",
-        F.row_number().over(part.orderBy(value, tie)).alias("_rn"),
-        F.rank().over(order).alias("_rank"),
-        F.dense_rank().over(order).alias("_dense"),
-        F.count("*").over(order.rangeBetween(W.unboundedPreceding, W.currentRow)).alias("_upto"),
-    )
-    keep = [*df.columns, "_rn", "_rank", "_dense", "_upto"]
-    if lay.split:
-        per = lay.df.groupBy(*lay.parts).agg(
-            F.lit(0).alias("_none"),
-            F.count("*").alias("_c"),
-            (F.count_distinct(value) + F.max(F.col(value).isNull().cast("int"))).alias("_d"),
-            F.sum(share).alias("_s"),
-        )
-        key = W.partitionBy(*(lay.keys or ["_none"]))
-        before = key.orderBy(CHUNK).rowsBetween(W.unboundedPreceding, -1)
-        per = per.select(
-            *lay.parts,
-            F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_c0"),
-            F.coalesce(F.sum("_d").over(before), F.lit(0)).alias("_d0"),
-            F.sum("_c").over(key).alias("_n"),
-            F.sum("_s").over(key).alias("_sum"),
-        )
-        local = join_by(local, per, lay.parts).select(
-            *df.columns,
-            *[(F.col(n) + F.col("_c0")).alias(n) for n in ("_rn", "_rank", "_upto")],
-            (F.col("_dense") + F.col("_d0")).alias("_dense"),
-            "_n",
-            "_sum",
+    small = bool(by) and not df.groupBy(*by).count().filter(F.col("count") > rows_per_task).limit(1).count()
+    if small:
+        part = W.partitionBy(*by)
+        order = part.orderBy(value)
+        local = df.select(
+            "*",
+            F.row_number().over(part.orderBy(value, tie)).alias("_rn"),
+            F.rank().over(order).alias("_rank"),
+            F.dense_rank().over(order).alias("_dense"),
+            F.count("*").over(order.rangeBetween(W.unboundedPreceding, W.currentRow)).alias("_upto"),
+            F.count("*").over(part).alias("_n"),
+            F.sum(share).over(part).alias("_sum"),
         )
     else:
-        local = local.select(*keep, F.count("*").over(part).alias("_n"), F.sum(share).over(part).alias("_sum"))
+        rows = stage(df.withColumn("_share", share))
+        values = stage(rows.groupBy(*by, value).agg(F.count("*").alias("_c"), F.sum("_share").alias("_s")))
+        sums, totals = {"_before": F.col("_c"), "_values": F.lit(1)}, {"_n": F.col("_c"), "_sum": F.col("_s")}
+        values = running(values, by, [value], sums, totals, False, rows_per_task)
+        found = join_by(rows.drop("_share"), values, [*by, value])
+        local = running(found, [*by, value], [tie], {"_rn": F.lit(1)}, None, True, rows_per_task)
+        local = local.withColumns(
+            {"_rn": F.col("_rn") + F.col("_before"), "_rank": F.col("_before") + 1, "_dense": F.col("_values") + 1, "_upto": F.col("_before") + F.col("_c")}
+        )
     rn, n = F.col("_rn"), F.col("_n")
     base, extra = F.floor(n / tiles), n % tiles
     long_rows = extra * (base + 1)
@@ -198,24 +181,54 @@ def set_op(a: DataFrame, b: DataFrame, kind: str) -> DataFrame:
 
 
 def profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Rows, nulls, distinct, min, quartiles and max of each numeric column.
+    """One row for each column of numbers, times, booleans or text, whatever its type.
 
-    Values are counted per (column, value) once; everything else follows from those counts.
+    ``n_rows``, ``n_null``, ``n_distinct``; ``min_value`` and ``max_value`` as text, exact for whole numbers of any size,
+    NULL for floating ones; and as doubles ``min_number``, ``p25``, ``p50``, ``p75``, ``max_number``: the number, seconds
+    since 1970 of a time, NULL for text. Nulls and limits come from one aggregate without a shuffle of rows. Values
+    of all columns are counted once, each as a whole number, a floating one or a text; quantiles follow from the counts.
     """
-    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
-    cols = list(cols or numeric)
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    counted = long.groupBy("column", "value").agg(F.count("*").alias("n"))
-    basic = counted.groupBy("column").agg(
-        F.sum("n").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
-        F.min("value").alias("min_value"),
-        F.max("value").alias("max_value"),
-    )
-    quart = quantiles(long, ["column"], "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("rows")
-    return basic.join(quart.withColumnRenamed("distinct", "n_distinct"), "column", "left").select(
-        "column", "n_rows", "n_null", F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
-        "min_value", "p25", "p50", "p75", "max_value",
+    types = {f.name: f.dataType for f in df.schema if isinstance(f.dataType, (T.NumericType, T.DatetimeType, T.BooleanType, T.StringType))}
+    cols = list(cols or types)
+
+    def second(c: str) -> Column:
+        ntz = F.col(c).cast("timestamp_ntz")
+        return micros(ntz).cast("double") / 1e6
+
+    def number(c: str) -> Column:
+        if isinstance(types[c], T.DatetimeType):
+            return second(c)
+        return F.lit(None).cast("double") if isinstance(types[c], T.StringType) else F.col(c).cast("double")
+
+    def typed(c: str) -> Column:
+        kind, none = types[c], F.lit(None)
+        floating = isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType)
+        whole = isinstance(kind, T.IntegralType)
+        return F.struct(
+            F.lit(c).alias("column"),
+            (F.col(c) if whole else none).cast("bigint").alias("l"),
+            (F.col(c) if floating else none).cast("double").alias("d"),
+            (none if whole or floating else F.col(c)).cast("string").alias("s"),
+            number(c).alias("number"),
+        )
+
+    def limits(c: str) -> Column:
+        floating = isinstance(types[c], T.FractionalType) and not isinstance(types[c], T.DecimalType)
+        text = lambda v: (F.lit(None) if floating else v).cast("string")
+        return F.struct(
+            F.lit(c).alias("column"), F.count("*").alias("n_rows"), F.sum(F.col(c).isNull().cast("bigint")).alias("n_null"),
+            text(F.min(c)).alias("min_value"), text(F.max(c)).alias("max_value"), F.min(number(c)).alias("min_number"), F.max(number(c)).alias("max_number"),
+        )
+
+    basic = df.agg(F.array(*[limits(c) for c in cols]).alias("x")).select(F.explode("x").alias("x")).select("x.*")
+    long = df.select(F.explode(F.array(*[typed(c) for c in cols])).alias("x")).select("x.*").filter("coalesce(l, d) IS NOT NULL OR s IS NOT NULL")
+    counted = stage(long.groupBy("column", "l", "d", "s", "number").agg(F.count("*").alias("n")))
+    distinct = counted.groupBy("column").agg(F.count("*").alias("n_distinct"))
+    numbers = counted.filter("number IS NOT NULL").select("column", "number", "n")
+    quart = counted_quantiles(numbers, ["column"], "number", "n", {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("rows", "distinct")
+    return basic.join(distinct, "column", "left").join(quart, "column", "left").select(
+        "column", "n_rows", F.coalesce("n_null", F.lit(0)).alias("n_null"), F.coalesce("n_distinct", F.lit(0)).alias("n_distinct"),
+        "min_value", "max_value", "min_number", "p25", "p50", "p75", "max_number",
     )
 
 

@@ -118,12 +118,13 @@ def _(t: Tables):
 
 @query(
     "s06_rolling_time",
-    f"""SELECT event_id, count(*) OVER w AS roll_n, {r("avg(value) OVER w")} AS roll_mean, max(value) OVER w AS roll_max
+    f"""SELECT event_id, count(*) OVER w AS roll_n, {r("avg(value) OVER w")} AS roll_mean,
+          {r("stddev(value) OVER w", 6)} AS roll_std, min(value) OVER w AS roll_min, max(value) OVER w AS roll_max
         FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)""",
 )
 def _(t: Tables):
     rows = op.rolling_time(t("events", "event_id", "user_id", "ts", "value"), ["user_id"], "ts", "value", 86400)
-    return rounded_all(rows, 7, "roll_mean").drop("user_id", "ts", "value")
+    return rounded_all(rounded_all(rows, 7, "roll_mean"), 6, "roll_std").drop("user_id", "ts", "value")
 
 
 SPAN, ALPHA = 7, 0.3
@@ -194,7 +195,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     hourly = op.bucket(t("events", "ts", "value"), "ts", "1 hour", {"v": F.max("value")})
-    return op.episodes(hourly, [], "bucket", "v", 150.0, 3600, rows_per_task=None)
+    return op.episodes(stage(hourly), [], "bucket", "v", 150.0, 3600)
 
 
 @query(

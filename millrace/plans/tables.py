@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.functions import money, rounded
+from millrace.functions import money, rounded, rounded_all
 from millrace.operators import tables as op
 from millrace.plans.registry import Tables, query
 from millrace.sources import save, scratch_dir
@@ -308,23 +308,21 @@ for kind, word in SET_SQL.items():
     )(_set_op(kind))
 
 
-@query(
-    "t17_profile",
-    " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_null,
-            count(DISTINCT {c}) AS n_distinct, CAST(min({c}) AS DOUBLE) AS min_value,
-            floor(quantile_cont(CAST({c} AS DOUBLE), 0.25) * 1e6 + 0.5) / 1e6 AS p25,
-            floor(quantile_cont(CAST({c} AS DOUBLE), 0.5) * 1e6 + 0.5) / 1e6 AS p50,
-            floor(quantile_cont(CAST({c} AS DOUBLE), 0.75) * 1e6 + 0.5) / 1e6 AS p75,
-            CAST(max({c}) AS DOUBLE) AS max_value FROM orders"""
-        for c in ("o_orderkey", "o_custkey", "o_totalprice")
-    ),
-)
+def _profile_sql(c: str, kind: str) -> str:
+    number = {"whole": f"CAST({c} AS DOUBLE)", "floating": c, "time": f"epoch({c})", "text": "NULL::DOUBLE"}[kind]
+    quarter = lambda p: "NULL::DOUBLE" if kind == "text" else f"floor(quantile_cont({number}, {p}) * 1e6 + 0.5) / 1e6"
+    limit = lambda f: "NULL" if kind == "floating" else f"CAST({f}({c}) AS VARCHAR)"
+    return f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS n_distinct,
+        {limit("min")} AS min_value, {limit("max")} AS max_value, min({number}) AS min_number,
+        {quarter(0.25)} AS p25, {quarter(0.5)} AS p50, {quarter(0.75)} AS p75, max({number}) AS max_number FROM orders"""
+
+
+ORDERS = {"o_orderkey": "whole", "o_custkey": "whole", "o_orderstatus": "text", "o_totalprice": "floating", "o_orderdate": "time", "o_orderpriority": "text"}
+
+
+@query("t17_profile", " UNION ALL ".join(_profile_sql(c, kind) for c, kind in ORDERS.items()))
 def _(t: Tables):
-    out = op.profile(t("orders"))
-    for c in ("p25", "p50", "p75"):
-        out = out.withColumn(c, rounded(F.col(c), 6))
-    return out
+    return rounded_all(op.profile(t("orders")), 6, "p25", "p50", "p75")
 
 
 @query(

@@ -145,10 +145,32 @@ def test_rolling_time_equals_a_range_frame(log, task):
     rows = log.unionByName(log.limit(1).selectExpr("990L AS id", "0L AS unit", "CAST(NULL AS timestamp_ntz) AS ts", "2D AS value", "state"))
     for seconds in (60, 7200, 900_000):
         over = f"(PARTITION BY unit ORDER BY ts RANGE BETWEEN INTERVAL {seconds} SECOND PRECEDING AND CURRENT ROW)"
-        want = rows.selectExpr("*", f"count(value) OVER {over} n", f"avg(value) OVER {over} a", f"max(value) OVER {over} m")
+        want = rows.selectExpr("*", f"count(value) OVER {over} n", f"avg(value) OVER {over} a", f"stddev(value) OVER {over} s", f"min(value) OVER {over} l", f"max(value) OVER {over} m")
         assert rows_of(series.rolling_time(rows, ["unit"], "ts", "value", seconds, rows_per_task=task)) == rows_of(want)
 
 
+def test_rolling_deviation_keeps_its_digits_at_a_high_level(log):
+    rows = log.selectExpr("id", "unit", "ts", "value + 1e9 AS value", "value AS plain")
+    high = {r["id"]: r["roll_std"] for r in series.rolling_time(rows, ["unit"], "ts", "value", 7200).collect()}
+    low = {r["id"]: r["roll_std"] for r in series.rolling_time(rows, ["unit"], "ts", "plain", 7200).collect()}
+    assert any(v for v in low.values()) and all(high[i] == pytest.approx(low[i], abs=1e-5) for i in low if low[i] is not None)
+
+
+def test_episodes_without_a_key_are_cut(log):
+    one = log.groupBy("ts").agg(F.max("value").alias("value"))
+    got = series.episodes(one, [], "ts", "value", 4.0, 600, rows_per_task=None)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "_chunk" in plan
+    rows = sorted((r["ts"], r["value"]) for r in one.collect() if r["value"] is not None and r["value"] > 4.0)
+    runs = []
+    for ts, v in rows:
+        if runs and (ts - runs[-1][1]).total_seconds() <= 600:
+            runs[-1] = (runs[-1][0], ts, runs[-1][2] + 1, max(runs[-1][3], v))
+        else:
+            runs.append((ts, ts, 1, v))
+    assert sorted((r["start"], r["end"], r["n"], r["peak"]) for r in got.collect()) == runs
+
+
 def test_quantiles_against_numpy(spark):
     import numpy as np
 

@@ -43,6 +43,21 @@ def test_ranked_ties_and_nulls_match_the_window_functions(spark):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_one_value_in_all_rows_is_cut(spark):
+    """Places inside a value are counted by the tie column, so no task needs all rows of a value."""
+    df = spark.range(400).selectExpr("1 as k", "CASE WHEN id % 50 = 0 THEN NULL ELSE 7.0D END AS v", "id")
+    want = df.selectExpr(
+        "id", "row_number() over (partition by k order by v, id) rn", "rank() over (partition by k order by v) r",
+        "dense_rank() over (partition by k order by v) d", "cume_dist() over (partition by k order by v) c",
+    )
+    for by in (["k"], []):
+        out = op.ranked(df, by, "v", "id", rows_per_task=50)
+        got = out.select("id", "row_number", "rank", "dense_rank", "cume_dist")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "_chunk" in plan
+
+
 def test_a_tiny_share_is_a_tiny_sample(spark):
     assert op.sample(spark.range(2_000_000), "id", 1e-8).count() <= 1
     assert 150 <= op.sample(spark.range(2_000_000), "id", 1e-4).count() <= 250
@@ -55,6 +70,18 @@ def test_profile_counts_nulls(spark):
     assert (rows["b"]["n_null"], rows["b"]["n_distinct"], rows["b"]["min_value"]) == (3, 0, None)
 
 
+def test_profile_keeps_types_exact(spark):
+    df = spark.sql("""SELECT * FROM VALUES (9007199254740993L, 'é', DATE'2024-01-02', 1.10BD, true, 0.5D), (9007199254740992L, '', DATE'2024-01-01', 1.1BD, NULL, NULL),
+        (9007199254740992L, NULL, NULL, NULL, false, -0.5D) AS v(big, text, day, dec, flag, f)""")
+    rows = {r["column"]: r for r in op.profile(df).collect()}
+    assert len(rows) == 6
+    assert (rows["big"]["n_distinct"], rows["big"]["min_value"], rows["big"]["max_value"]) == (2, "9007199254740992", "9007199254740993")
+    assert (rows["text"]["n_null"], rows["text"]["n_distinct"], rows["text"]["min_value"], rows["text"]["max_value"], rows["text"]["p50"]) == (1, 2, "", "é", None)
+    assert (rows["day"]["min_value"], rows["day"]["max_value"], rows["day"]["max_number"] - rows["day"]["p50"]) == ("2024-01-01", "2024-01-02", 43200.0)
+    assert (rows["dec"]["n_distinct"], rows["flag"]["n_distinct"], rows["flag"]["p50"]) == (1, 2, 0.5)
+    assert (rows["f"]["min_value"], rows["f"]["min_number"], rows["f"]["max_number"]) == (None, -0.5, 0.5)
+
+
 def test_sample_nests_and_follows_strata(spark):
     df = spark.range(20000).withColumn("s", F.when(F.col("id") % 2 == 0, "x").otherwise("y"))
     small, large = op.sample(df, "id", 0.1), op.sample(df, "id", 0.3)
