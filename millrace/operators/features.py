@@ -193,13 +193,13 @@ def correlations(df: DataFrame, cols: Sequence[str], y: str | None = None) -> Da
 
 
 def balanced(df: DataFrame) -> DataFrame:
-    """Training rows on at least as many partitions as there are cores; more partitions stay as they are.
+    """Training rows, computed once and written, on at least as many partitions as there are cores.
 
-    Trees read their input once per level, each pass as slow as the largest partition,
-    so for a small input one shuffle up front is repaid.
+    Trees read their input once per level, each pass as slow as the largest partition. Only files are
+    asked for their partitions: asking a plan that shuffles would run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    rows, cores = stage(df), df.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators.features import assemble, balanced
 from millrace.operators.ordered import join_by
-from millrace.sources import stage
 
 
 def simple_ols(df: DataFrame, x: str, y: str, by: Sequence[str]) -> DataFrame:
@@ -105,4 +104,4 @@ def tune(
     cv = CrossValidator(
         estimator=estimator, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=k, foldCol=fold, seed=7
     )
-    return cv.fit(stage(balanced(assemble(train, cols).select(estimator.getLabelCol(), fold, "features"))))
+    return cv.fit(balanced(assemble(train, cols).select(estimator.getLabelCol(), fold, "features")))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml.regression import LinearRegressionModel
+from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +16,9 @@ from millrace.operators.ordered import (
     neighbours_window,
     running,
 )
-from millrace.operators.predict import fit_linear
+from millrace.operators.predict import apply, fit_linear, fit_trees
+from millrace.operators.tables import top_k
+from millrace.sources import stage
 
 
 def calendar(df: DataFrame, ts: str) -> DataFrame:
@@ -224,11 +227,22 @@ def naive(df: DataFrame, by: Sequence[str], ts: str, value: str, period: int, **
     return neighbours_window(df, by, [ts], made, before=max(1, period), **kw)
 
 
-FORECAST_COLUMNS = ["lag_1", "lag_season", "past_mean", "sin_hour", "cos_hour", "age"]
+FORECAST_COLUMNS = ["lag_1", "lag_season", "past_mean", "sin_hour", "cos_hour", "weekday", "age"]
+
+
+def _clock(ts: str, start: Column) -> list[Column]:
+    """Columns that the time alone gives: hour of day as an angle, weekday (Monday 1), days since ``start``."""
+    angle = F.hour(ts) * (3.141592653589793 / 12)
+    return [
+        F.sin(angle).alias("sin_hour"),
+        F.cos(angle).alias("cos_hour"),
+        (F.weekday(ts) + 1).cast("double").alias("weekday"),
+        (seconds_between(F.col(ts), start) / 86400).alias("age"),
+    ]
 
 
 def forecast_features(df: DataFrame, by: Sequence[str], ts: str, y: str, period: int, **kw) -> DataFrame:
-    """Features known before each row: lags, the mean of the last period, hour of day, age."""
+    """Features known before each row: lags, the mean of the last period, hour of day, weekday, age."""
 
     def made(w):
         return {
@@ -238,16 +252,54 @@ def forecast_features(df: DataFrame, by: Sequence[str], ts: str, y: str, period:
         }
 
     rows = neighbours_window(df, by, [ts], made, before=period, **kw)
-    angle = F.hour(ts) * (3.141592653589793 / 12)
-    start = df.agg(F.min(ts)).scalar()
-    return rows.select(
-        "*",
-        F.sin(angle).alias("sin_hour"),
-        F.cos(angle).alias("cos_hour"),
-        (seconds_between(F.col(ts), start) / 86400).alias("age"),
-    )
+    return rows.select("*", *_clock(ts, df.agg(F.min(ts)).scalar()))
+
+
+@dataclass
+class Forecaster:
+    """A fitted model; ``change`` says that it predicts the change against one period before."""
+
+    model: Model
+    change: bool
+
+    def apply(self, rows: DataFrame) -> DataFrame:
+        out = apply(self.model, rows, FORECAST_COLUMNS)
+        return out.withColumn("prediction", F.col("prediction") + F.col("lag_season")) if self.change else out
+
 
+def fit_forecast(train: DataFrame, y: str, kind: str = "linear", **params) -> Forecaster:
+    """A model on ``forecast_features``: "linear", or "forest" or "boosted" trees, which learn
+    the change against one period before, as they cannot follow a trend. Rows without full history are left out."""
+    known = train.filter(F.col(y).isNotNull())
+    if kind == "linear":
+        return Forecaster(fit_linear(known, FORECAST_COLUMNS, y), False)
+    changes = known.filter(F.col("lag_season").isNotNull()).withColumn("_change", F.col(y) - F.col("lag_season"))
+    return Forecaster(fit_trees(changes, FORECAST_COLUMNS, "_change", kind, **params), True)
 
-def fit_forecast(train: DataFrame, y: str) -> LinearRegressionModel:
-    """A linear model on ``forecast_features``; rows without full history are left out."""
-    return fit_linear(train.filter(F.col(y).isNotNull()), FORECAST_COLUMNS, y)
+
+def forecast_ahead(
+    model: Forecaster, history: DataFrame, by: Sequence[str], ts: str, y: str, period: int, steps: int, step: str, start: Column
+) -> DataFrame:
+    """(by, ts, ahead, prediction) for the next ``steps`` steps of every series after the last row of ``history``.
+
+    A forecast is the next row's lag. Each series is one row with its last ``period`` values (a missing value is its
+    mean so far), so a step reads and writes one row per series, whatever the history. ``start`` is where ages count from.
+    """
+    recent = top_k(history, period, [F.desc(ts)], by)
+    past = F.transform(F.sort_array(F.collect_list(F.struct(F.col(ts).alias("t"), F.col(y).alias("v")))), lambda p: p["v"])
+    state = recent.groupBy(*by).agg(F.max(ts).alias(ts), past.alias("_past"), F.avg(y).alias("_mean"))
+    state = state.filter(F.col("_mean").isNotNull())
+    state = stage(state.select(*by, ts, F.transform("_past", lambda v: F.coalesce(v, F.col("_mean"))).alias("_past")))
+    out = None
+    for ahead in range(1, steps + 1):
+        mean = F.aggregate("_past", F.lit(0.0), lambda s, v: s + v) / F.size("_past")
+        rows = state.withColumn(ts, F.col(ts) + F.expr(f"interval {step}")).select(
+            *by, ts, "_past", F.element_at("_past", -1).alias("lag_1"), F.element_at("_past", 1).alias("lag_season"), mean.alias("past_mean"), *_clock(ts, start)
+        )
+        done = model.apply(rows)
+        next_past = F.concat(F.when(F.size("_past") >= period, F.slice("_past", 2, period)).otherwise(F.col("_past")), F.array(F.col("prediction")))
+        state = stage(done.select(*by, ts, next_past.alias("_past"), "prediction"))
+        rows = state.select(*by, ts, F.lit(ahead).alias("ahead"), "prediction")
+        state = state.drop("prediction")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import rounded_all, unit_interval
 from millrace.operators import lifetime as op
+from millrace.plans.predict import found_near, near_sql
 from millrace.plans.registry import Tables, query
 from millrace.plans.series import r
 from millrace.plans.tables import EVENT_TYPES
@@ -97,9 +98,12 @@ def planted_lives(t: Tables):
     return rows.select("id", "x1", F.least("full", F.lit(30.0)).alias("t"), (F.col("full") <= 30).cast("int").alias("died"))
 
 
-@query("l07_lifetime_model")
+LIFE_PLANTED = {"intercept": 2.0, "x1": 1.5, "scale": 0.5}
+
+
+@query("l07_lifetime_model", near_sql(LIFE_PLANTED, "orders"))
 def _(t: Tables):
     rows = planted_lives(t)
     model = op.fit_lifetime(rows, ["x1"], "t", "died")
     found = [("intercept", float(model.intercept)), ("x1", float(model.coefficients[0])), ("scale", float(model.scale))]
-    return rows.sparkSession.createDataFrame(found, "term string, value double")
+    return found_near(rows, found, LIFE_PLANTED, 0.15, rows.sparkSession)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions import held_out, rounded_all, unit_interval
 from millrace.operators import predict as op
 from millrace.operators.binary import auc, folds
-from millrace.plans.binary import planted_binary
+from millrace.plans.binary import PLANTED_SQL, planted_binary
 from millrace.plans.registry import Tables, query
 
 X = ["x1", "x2", "x3"]
@@ -58,28 +58,61 @@ def split(rows):
     return rows.filter(~mark), rows.filter(mark)
 
 
+#: The planted relation in SQL.
+LINEAR_SQL = """rows AS (SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity AS x1, l_discount * 100 AS x2, l_linenumber::DOUBLE AS x3,
+        10 + 3 * l_quantity - 2 * (l_discount * 100) + 0.5::DOUBLE * l_linenumber::DOUBLE
+        + ((((l_orderkey * 8 + l_linenumber + l_partkey * 31) % 2147483648) * 2654435761) % 1000003 + 0.5::DOUBLE) / 1000003.0::DOUBLE - 0.5::DOUBLE AS y
+        FROM lineitem)"""
+PLANTED = {"intercept": 10.0, "x1": 3.0, "x2": -2.0, "x3": 0.5}
+
+
+def held_sql(key: str, share: float) -> str:
+    """SQL of ``held_out``."""
+    return f"((((({key}) % 2147483648) * 48271 + 11) % 2147483648) * 2654435761) % 1000003 < {share * 1000003!r}"
+
+
+def found_near(rows, values, planted, tolerance, session):
+    """(term, planted, n_rows, near): whether each fitted value is as near to the planted one as the tolerance says."""
+    listed = [(term, planted[term], bool(abs(v - planted[term]) <= tolerance)) for term, v in values]
+    made = session.createDataFrame(listed, "term string, planted double, near boolean")
+    return made.withColumn("n_rows", rows.agg(F.count("*")).scalar())
+
+
+def near_sql(planted, table):
+    return " UNION ALL ".join(f"SELECT '{t}' AS term, {v!r}::DOUBLE AS planted, TRUE AS near, (SELECT count(*) FROM {table}) AS n_rows" for t, v in planted.items())
+
+
 def _regularised(reg, l1):
     def build(t: Tables):
         rows = planted_linear(t)
-        return op.coefficients(op.fit_linear(rows, X, "y", reg, l1), X, rows)
+        model = op.fit_linear(rows, X, "y", reg, l1)
+        values = [("intercept", float(model.intercept)), *((c, float(v)) for c, v in zip(X, model.coefficients))]
+        return found_near(rows, values, PLANTED, 0.75, rows.sparkSession)
 
     return build
 
 
-query("p02_ridge")(_regularised(0.1, 0.0))
-query("p02_elastic_net")(_regularised(0.1, 0.5))
+# The penalty shrinks what is found: by less than 0.2 for a slope, and 0.75 for the intercept that makes up for it.
+query("p02_ridge", near_sql(PLANTED, "lineitem"))(_regularised(0.1, 0.0))
+query("p02_elastic_net", near_sql(PLANTED, "lineitem"))(_regularised(0.1, 0.5))
 
 
 def _trees(kind):
     def build(t: Tables):
         train, test = split(planted_linear(t))
-        return op.regression_report(op.apply(op.fit_trees(train, X, "y", kind), test, X), "y", "prediction")
+        ours = op.regression_report(op.apply(op.fit_trees(train, X, "y", kind), test, X), "y", "prediction")
+        flat = op.regression_report(test.withColumn("flat", train.agg(F.avg("y")).scalar()), "y", "flat")
+        both = ours.withColumn("mean_rmse", flat.select("rmse").scalar())
+        return rounded_all(both.select("n", "mean_rmse", (F.col("rmse") < 0.5 * F.col("mean_rmse")).alias("halved")), 6, "mean_rmse")
 
     return build
 
 
-query("p03_forest")(_trees("forest"))
-query("p03_boosted_trees")(_trees("boosted"))
+#: Rows held out, the error of the training mean on them, and that the trees halve it.
+TREES_SQL = f"""WITH {LINEAR_SQL}, t AS (SELECT *, {held_sql("id", 0.25)} AS held FROM rows), m AS (SELECT avg(y) AS m FROM t WHERE NOT held)
+    SELECT count(*) AS n, floor(sqrt(avg((y - m) * (y - m))) * 1e6 + 0.5) / 1e6 AS mean_rmse, TRUE AS halved FROM t, m WHERE held"""
+query("p03_forest", TREES_SQL)(_trees("forest"))
+query("p03_boosted_trees", TREES_SQL)(_trees("boosted"))
 
 
 def _classifier(kind):
@@ -89,13 +122,16 @@ def _classifier(kind):
         scored = op.apply(model, test, ["x1", "x2"]).select(
             "label", vector_to_array("probability")[1].alias("score")
         )
-        return auc(scored)
+        return auc(scored).select("positives", "negatives", (F.col("auc") > 0.6).alias("above_chance"))
 
     return build
 
 
+#: Rows held out by label, and that the model ranks them better than chance.
+CLASSIFIER_SQL = f"""WITH {PLANTED_SQL} SELECT sum(label)::BIGINT AS positives, sum(1 - label)::BIGINT AS negatives, TRUE AS above_chance
+    FROM judged WHERE {held_sql("id", 0.25)}"""
 for kind in ("logistic", "forest", "boosted"):
-    query(f"p04_{kind}_classifier")(_classifier(kind))
+    query(f"p04_{kind}_classifier", CLASSIFIER_SQL)(_classifier(kind))
 
 
 @query(
@@ -134,12 +170,14 @@ def _(t: Tables):
     return rounded_all(op.mean_baseline(train, test, "o_totalprice", ["o_custkey"]), 6, "prediction")
 
 
-@query("p07_tune")
+@query("p07_tune", "SELECT reg, place, (SELECT count(*) FROM lineitem) AS n_rows FROM (VALUES (0.0::DOUBLE, 1), (0.1::DOUBLE, 2), (1.0::DOUBLE, 3)) AS v(reg, place)")
 def _(t: Tables):
+    """Each penalty's place by the error over the folds: the planted relation needs none."""
     rows = folds(planted_linear(t).withColumn("one", F.lit(1)), "id", 3, "one")
     best = op.tune(
         rows, X, LinearRegression(labelCol="y"), {"regParam": [0.0, 0.1, 1.0]}, 3,
         RegressionEvaluator(labelCol="y", metricName="rmse"), "fold",
     )
-    tried = [(m[best.getEstimator().regParam], float(s)) for m, s in zip(best.getEstimatorParamMaps(), best.avgMetrics)]
-    return rows.sparkSession.createDataFrame(tried, "reg double, rmse double")
+    tried = sorted((float(s), m[best.getEstimator().regParam]) for m, s in zip(best.getEstimatorParamMaps(), best.avgMetrics))
+    placed = [(reg, i) for i, (_, reg) in enumerate(tried, 1)]
+    return rows.sparkSession.createDataFrame(placed, "reg double, place int").withColumn("n_rows", rows.agg(F.count("*")).scalar())

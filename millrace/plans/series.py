@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import money, rounded_all
 from millrace.operators import series as op
-from millrace.operators.predict import apply, regression_report
+from millrace.operators.predict import regression_report
 from millrace.plans.registry import Tables, query
 from millrace.sources import stage
 
@@ -245,12 +245,46 @@ def planted_cycle(t: Tables):
     return op.regularise(stage(made), ["event_type"], "bucket", "1 hour")
 
 
-@query("s14_forecast")
+ORIGINS = ["2024-01-15", "2024-01-20", "2024-01-25"]
+AHEAD = 4
+CYCLE_SQL = f"""h AS (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS bucket,
+        avg(50 + 20 * sin(hour(ts) * (3.141592653589793::DOUBLE / 12)) + (day(ts) - 1) * 0.5::DOUBLE + 0.02::DOUBLE * value) AS y FROM events GROUP BY 1, 2),
+    hours AS (SELECT unnest(generate_series((SELECT min(bucket) FROM h), (SELECT max(bucket) FROM h), INTERVAL 1 HOUR)) AS bucket),
+    grid AS (SELECT event_type, bucket, y FROM (SELECT DISTINCT event_type FROM h) CROSS JOIN hours LEFT JOIN h USING (event_type, bucket)),
+    lagged AS (SELECT *, lag(y, 24) OVER (PARTITION BY event_type ORDER BY bucket) AS season FROM grid),
+    folds AS (SELECT column_fold AS fold, column_a AS a, column_b AS b FROM (VALUES {", ".join(
+        f"({i}, TIMESTAMP '{o}', TIMESTAMP '{(ORIGINS + ['2100-01-01'])[i + 1]}')" for i, o in enumerate(ORIGINS))}) AS v(column_fold, column_a, column_b)),
+    tests AS (SELECT fold, bucket, a, y, season FROM lagged JOIN folds ON bucket >= a AND bucket < b WHERE y IS NOT NULL AND season IS NOT NULL)"""
+
+
+@query(
+    "s14_forecast",
+    f"""WITH {CYCLE_SQL} SELECT fold, count(*) AS n, {r("sqrt(avg((y - season) * (y - season)))", 6)} AS seasonal_rmse,
+          TRUE AS regression_better, TRUE AS trees_better, count(*) FILTER (bucket < a + INTERVAL {AHEAD} HOUR) AS n_ahead, TRUE AS ahead_better
+        FROM tests GROUP BY fold""",
+)
 def _(t: Tables):
-    rows = op.forecast_features(planted_cycle(t), ["event_type"], "bucket", "y", 24, rows_per_task=None)
-    split = op.time_split(rows, "bucket", ["2024-01-22"])
-    model = op.fit_forecast(split.filter("role = 'train'"), "y")
+    """Rolling origins: models fitted before each, against the value of one day before, step by step and some hours ahead."""
+    cycle = stage(planted_cycle(t))
+    rows = stage(op.forecast_features(cycle, ["event_type"], "bucket", "y", 24, rows_per_task=None))
+    start = cycle.agg(F.min("bucket")).scalar()
+    split = op.time_split(rows, "bucket", ORIGINS)
     test = split.filter("role = 'test' AND y IS NOT NULL AND lag_season IS NOT NULL")
-    ours = regression_report(apply(model, test, op.FORECAST_COLUMNS), "y", "prediction")
-    naive = regression_report(test, "y", "lag_season")
-    return ours.withColumn("model", F.lit("regression")).unionByName(naive.withColumn("model", F.lit("seasonal_naive")))
+    seasonal = regression_report(test, "y", "lag_season", ["fold"]).select("fold", "n", F.col("rmse").alias("seasonal_rmse"))
+    scores = []
+    for fold, origin in enumerate(ORIGINS):
+        train = stage(split.filter(f"role = 'train' AND fold = {fold}"))
+        judged = test.filter(f"fold = {fold}")
+        models = {"linear": op.fit_forecast(train, "y"), "forest": op.fit_forecast(train, "y", "forest", numTrees=8, maxDepth=4)}
+        step = {kind: regression_report(m.apply(judged), "y", "prediction", ["fold"]).select("fold", F.col("rmse").alias(kind)) for kind, m in models.items()}
+        before = cycle.filter(f"bucket < timestamp_ntz'{origin}'")
+        ahead = op.forecast_ahead(models["linear"], before, ["event_type"], "bucket", "y", 24, AHEAD, "1 hour", start)
+        ahead = judged.join(ahead, ["event_type", "bucket"])
+        far = [regression_report(ahead, "y", p, ["fold"]).select("fold", F.col("n").alias("n_ahead"), F.col("rmse").alias(f"far_{p}")) for p in ("prediction", "lag_season")]
+        scores.append(step["linear"].join(step["forest"], "fold").join(far[0], "fold").join(far[1].drop("n_ahead"), "fold"))
+    every = scores[0].unionByName(scores[1]).unionByName(scores[2])
+    out = seasonal.join(every, "fold").select(
+        "fold", "n", "seasonal_rmse", (F.col("linear") < F.col("seasonal_rmse")).alias("regression_better"), (F.col("forest") < F.col("seasonal_rmse")).alias("trees_better"),
+        "n_ahead", (F.col("far_prediction") < F.col("far_lag_season")).alias("ahead_better"),
+    )
+    return rounded_all(out, 6, "seasonal_rmse")

@@ -81,7 +81,7 @@ def test_weights_recover_balance(tables):
 @pytest.mark.parametrize("kind", ["logistic", "forest", "boosted"])
 def test_classifiers_beat_chance(spark, kind):
     row = all_queries()[f"p04_{kind}_classifier"].build(spark, SMALL.replace("0.001", "0.01")).first()
-    assert row["positives"] > 50 and row["auc"] > 0.6
+    assert row["positives"] > 50 and row["above_chance"]
 
 
 def test_linear_coefficients(tables):
@@ -103,13 +103,13 @@ def test_trees_beat_the_mean(tables, kind):
 
 
 def test_tuning_prefers_no_penalty(spark):
-    rows = {r["reg"]: r["rmse"] for r in all_queries()["p07_tune"].build(spark, SMALL).collect()}
-    assert rows[0.0] < rows[0.1] < rows[1.0]
+    rows = {r["reg"]: r["place"] for r in all_queries()["p07_tune"].build(spark, SMALL).collect()}
+    assert rows == {0.0: 1, 0.1: 2, 1.0: 3}
 
 
 def test_forecast_beats_seasonal_naive(spark):
-    rows = {r["model"]: r["rmse"] for r in all_queries()["s14_forecast"].build(spark, SMALL.replace("0.001", "0.01")).collect()}
-    assert rows["regression"] < rows["seasonal_naive"]
+    rows = all_queries()["s14_forecast"].build(spark, SMALL.replace("0.001", "0.01")).collect()
+    assert len(rows) == 3 and all(r["regression_better"] and r["trees_better"] and r["ahead_better"] for r in rows)
 
 
 def test_lifetime_model(tables):

@@ -9,28 +9,32 @@ from oracle import compare, database
 QUERIES = all_queries()
 
 
+#: Models that the smallest tables have too few rows for.
+LEARNING = {n for n in QUERIES if n[:3] in ("p03", "p04", "e11", "s14")}
+MEDIUM = SMALL.replace("0.001", "0.01")
+
+
 @pytest.fixture(scope="module")
 def con():
     return database(SMALL)
 
 
-@pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql])
+@pytest.mark.parametrize("name", [n for n, q in QUERIES.items() if q.sql and n not in LEARNING])
 def test_matches_sql(spark, con, name):
     assert compare(QUERIES[name].build(spark, SMALL), con, QUERIES[name].sql) == ""
 
 
-@pytest.mark.parametrize("name", ["t11_approx_distinct_count", "v05_knn_lsh"])
-def test_approximate_queries_are_near_the_exact_ones(spark, name):
-    rows = QUERIES[name].build(spark, SMALL)
-    if name.startswith("t11"):
-        exact = {r["l_suppkey"]: r["n_distinct"] for r in QUERIES["t10_distinct_count"].build(spark, SMALL).collect()}
-        assert all(abs(r["n_distinct"] / exact[r["l_suppkey"]] - 1) <= 0.06 for r in rows.collect())
-    else:
-        exact = {r["id"]: r["prediction"] for r in QUERIES["v04_knn_vote"].build(spark, SMALL).collect()}
-        found = rows.collect()
-        # Labels carry no signal here, so this is about finding neighbours at all.
-        assert len(found) >= 0.9 * len(exact)
-        assert sum(exact[r["id"]] == r["prediction"] for r in found) >= 0.5 * len(found)
+@pytest.mark.parametrize("name", sorted(LEARNING))
+def test_models_match_sql(spark, name):
+    assert compare(QUERIES[name].build(spark, MEDIUM), database(MEDIUM), QUERIES[name].sql) == ""
+
+
+def test_lsh_is_near_the_exact_neighbours(spark):
+    exact = {r["id"]: r["prediction"] for r in QUERIES["v04_knn_vote"].build(spark, SMALL).collect()}
+    found = QUERIES["v05_knn_lsh"].build(spark, SMALL).collect()
+    # Labels carry no signal here, so this is about finding neighbours at all.
+    assert len(found) >= 0.9 * len(exact)
+    assert sum(exact[r["id"]] == r["prediction"] for r in found) >= 0.5 * len(found)
 
 
 def test_entry(spark):
