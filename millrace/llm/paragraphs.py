@@ -1,9 +1,12 @@
 """Near-duplicate paragraphs by MinHash banding, verified and removed by component.
 
-A paragraph is a line with words. Its set is that of its five-word shingles; equal sets
-are one node. Eight bands of two minimum hashes find a pair of similarity 0.75 with a
-chance of 1 - (1 - 0.75^2)^8 = 0.9987; what collides is compared exactly. The first
-paragraph of each component stays where it is, all others are taken out.
+A paragraph is a run of words between borders that the words themselves set: it begins at
+a word whose hash is the smallest of ``REACH`` words on either side. So a passage has the same paragraphs
+inside a longer line, or wrapped at other places, and white space counts for nothing. Its set is that of its
+five-word shingles; equal sets are one node. Eight bands of two minimum hashes find a pair of
+similarity 0.75 with a chance of 1 - (1 - 0.75^2)^8 = 0.9987; what collides is compared
+exactly. Of each component the first paragraph stays where it is. In other documents
+connected paragraphs of ``RUN_WORDS`` words or more that repeat are taken out; shorter repeats stay.
 """
 
 from __future__ import annotations
@@ -12,30 +15,46 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from millrace.llm import arrowtext as at
-from millrace.llm.linking import linked, small, verified
+from millrace.llm.linking import SMALL_ROWS, linked, verified
 from millrace.sources import stage
 
 BANDS, ROWS = 8, 2
 PERCENT = 75
-MIN_WORDS = 5
+#: Paragraphs are more than so many words long, but for a text's first and last; twice that on average.
+REACH = 7
+#: A passage of 51 words is cut by borders that depend on 7 words around them: nearly always 30 words and more of it are whole paragraphs.
+RUN_WORDS = 30
 CELLS = 1024
 
 
-def _paragraphs(texts: at.Texts, min_words: int):
-    """Of every paragraph of at least ``min_words`` words: row, line number, and its set (offsets, paragraph, hashes)."""
-    newline = texts.data == 10
-    low, _high, lines_first = texts.spans(~newline)
-    starts, ends, _ = texts.words(at.NOT_SPACE)
-    first = np.append(np.searchsorted(starts, low), len(starts))
-    off, para, found = at.shingle_sets(texts.hashes(starts, ends), first)
-    row = np.repeat(np.arange(texts.rows), np.diff(lines_first))
-    breaks = np.concatenate([[0], np.cumsum(newline)])
-    line = breaks[low] - breaks[texts.off[row]]
-    good = np.flatnonzero(np.diff(first) >= min_words)
-    keep = np.isin(para, good)
-    return row[good], line[good], np.concatenate([[0], np.cumsum(np.diff(off)[good])]).astype(np.int64), np.searchsorted(good, para[keep]), found[keep]
+def borders(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The words that begin a paragraph; ``h`` are word hashes, ``first`` each row's first word (rows + 1)."""
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    least = np.ones(len(h), bool)
+    for j in range(1, REACH + 1):
+        apart = row[j:] != row[:-j]
+        least[j:] &= (h[j:] < h[:-j]) | apart
+        least[: max(len(h) - j, 0)] &= (h[:-j] <= h[j:]) | apart
+    least[first[:-1][np.diff(first) > 0]] = True
+    return np.flatnonzero(least)
+
+
+class _Paragraphs:
+    """The paragraphs of a slice: row, number in the row, words, byte span, and set (offsets, paragraph, hashes)."""
+
+    def __init__(self, texts: at.Texts):
+        starts, ends, first = texts.words(at.NOT_SPACE)
+        h = texts.hashes(starts, ends)
+        begin = borders(h, first)
+        bound = np.append(begin, len(h))
+        self.row = np.searchsorted(first, begin, "right") - 1
+        self.number = np.arange(len(begin)) - np.searchsorted(begin, first[:-1])[self.row] if len(begin) else begin
+        self.words = np.diff(bound)
+        self.low, self.high = starts[begin], ends[bound[1:] - 1]
+        self.off, _, self.found = at.shingle_sets(h, bound)
 
 
 def _minima(off: np.ndarray, found: np.ndarray) -> list[np.ndarray]:
@@ -44,35 +63,38 @@ def _minima(off: np.ndarray, found: np.ndarray) -> list[np.ndarray]:
     return [np.minimum.reduceat(at.mix(found ^ at.PLACE[8 + j]), off[:-1]) for j in range(BANDS * ROWS)]
 
 
-def _places(min_words: int):
+def _places():
     def make(texts: at.Texts, batch: pa.RecordBatch) -> pa.RecordBatch:
-        row, line, off, _, found = _paragraphs(texts, min_words)
-        ids = [batch.column(c).cast(pa.int64()).take(pa.array(row)) for c in ("doc_id", "source")]
-        return pa.RecordBatch.from_arrays([*ids, pa.array(line, pa.int32()), at.signed(at.set_keys(off, found)[0])], ["doc_id", "source", "line", "node"])
+        p = _Paragraphs(texts)
+        ids = [batch.column(c).cast(pa.int64()).take(pa.array(p.row)) for c in ("doc_id", "source")]
+        numbers = [pa.array(x, pa.int32()) for x in (p.number, p.words)]
+        return pa.RecordBatch.from_arrays([*ids, *numbers, at.signed(at.set_keys(p.off, p.found)[0])], ["doc_id", "source", "paragraph", "words", "node"])
 
     return at.per_slice("text", make, lower=True)
 
 
-def _bands(min_words: int):
+def _bands():
     def make(texts: at.Texts, _) -> pa.RecordBatch:
-        _row, _line, off, _, found = _paragraphs(texts, min_words)
-        key, n, least = at.set_keys(off, found)[0], np.diff(off), _minima(off, found)
+        p = _Paragraphs(texts)
+        key, n, least = at.set_keys(p.off, p.found)[0], np.diff(p.off), _minima(p.off, p.found)
         tokens = [at.mix(least[2 * b] * at.PLACE[40] + least[2 * b + 1] * at.PLACE[41] + at.PLACE[42 + b]) for b in range(BANDS)]
-        many = lambda x: np.tile(x, BANDS)
-        zero = np.zeros(len(n) * BANDS, np.int32)
-        return pa.RecordBatch.from_arrays([at.signed(np.concatenate(tokens)), at.signed(many(key)), pa.array(many(n), pa.int32()), pa.array(zero)], ["token", "node", "n", "pos"])
+        # A set that a slice holds twice meets itself in vain.
+        once = np.unique(key, return_index=True)[1]
+        many = lambda x: np.tile(x[once], BANDS)
+        zero = np.zeros(len(once) * BANDS, np.int32)
+        return pa.RecordBatch.from_arrays([at.signed(np.concatenate([t[once] for t in tokens])), at.signed(many(key)), pa.array(many(n), pa.int32()), pa.array(zero)], ["token", "node", "n", "pos"])
 
     return at.per_slice("text", make, lower=True)
 
 
-def _sets(min_words: int):
+def _sets():
     def make(texts: at.Texts, batch: pa.RecordBatch) -> pa.RecordBatch:
-        _row, _line, off, _, found = _paragraphs(texts, min_words)
-        key = at.set_keys(off, found)[0].view(np.int64)
+        p = _Paragraphs(texts)
+        key = at.set_keys(p.off, p.found)[0].view(np.int64)
         wanted = np.asarray(batch.column("wanted").flatten().to_numpy(zero_copy_only=False), np.int64)
         _, once = np.unique(key, return_index=True)
         hit = once[np.isin(key[once], wanted)]
-        spans = [found[off[i] : off[i + 1]] for i in hit]
+        spans = [p.found[p.off[i] : p.off[i + 1]] for i in hit]
         sizes = np.concatenate([[0], np.cumsum([len(s) for s in spans])]).astype(np.int64)
         values = np.concatenate(spans) if spans else np.empty(0, np.uint64)
         return pa.RecordBatch.from_arrays([pa.array(key[hit]), at.lists(sizes, values.view(np.int64))], ["node", "s"])
@@ -80,6 +102,43 @@ def _sets(min_words: int):
     return at.per_slice("text", make, lower=True)
 
 
+def _cut(batches):
+    """Texts without the paragraphs numbered in ``gone``; a line that goes as a whole takes its line break with it."""
+    for batch in batches:
+        texts, gone = batch.column("text").to_pylist(), batch.column("gone").to_pylist()
+        for part in at.slices(batch.column("text"), lower=True):
+            here = [i for i in range(part.low, part.low + part.rows) if gone[i]]
+            if not here:
+                continue
+            p = _Paragraphs(part)
+            for i in here:
+                mine = np.flatnonzero(p.row == i - part.low)
+                raw, begin, kept, done = texts[i].encode(), part.off[i - part.low], [], 0
+                for number in _runs(sorted(gone[i]), len(mine)):
+                    low, high = int(p.low[mine[number[0]]] - begin), int(p.high[mine[number[1]]] - begin)
+                    if (low == 0 or raw[low - 1] == 10) and high < len(raw) and raw[high] == 10:
+                        high += 1
+                    elif high == len(raw) and low > 0 and raw[low - 1] == 10:
+                        low -= 1
+                    kept.append(raw[done : max(low, done)])
+                    done = high
+                texts[i] = b"".join([*kept, raw[done:]]).decode()
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
+
+
+def _runs(numbers: list[int], size: int) -> list[tuple[int, int]]:
+    """Consecutive numbers as (first, last); numbers of another row with the same id are left out."""
+    out: list[tuple[int, int]] = []
+    for k in numbers:
+        if k >= size:
+            break
+        if out and out[-1][1] == k - 1:
+            out[-1] = (out[-1][0], k)
+        else:
+            out.append((k, k))
+    return out
+
+
 def _marks(batches):
     for batch in batches:
         s = batch.column("s")
@@ -91,27 +150,30 @@ def _marks(batches):
         yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "marks"])
 
 
-def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, line, kept_doc, kept_line: every paragraph to take out, and the one that stays for it.
+def removals(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS) -> DataFrame:
+    """doc_id, source, paragraph, words, kept_doc, kept_paragraph: every paragraph to take out, and the one that stays for it.
 
-    Paragraphs are lines (split at \\n, counted from 0) of ``docs`` (doc_id, text) with at least ``min_words``
-    words ``[^\\x20\\x09-\\x0D]+``; A-Z count as a-z. Two link when their sets of five-word
-    shingles have a Jaccard similarity of ``percent`` or more (a shorter paragraph is one
-    shingle). Of each component the paragraph with the smallest (doc_id, line) stays, a NULL doc_id last.
+    Paragraphs of ``docs`` (doc_id, text) are numbered from 0 in each text; words are ``[^\\x20\\x09-\\x0D]+``, A-Z
+    count as a-z. Two link when their sets of five-word shingles have a Jaccard
+    similarity of ``percent`` or more (a shorter paragraph is one shingle). Of each component the paragraph with the smallest
+    (doc_id, paragraph) stays, a NULL doc_id last; those of the same document stay with it. Of the others, connected ones of
+    ``run_words`` words or more in all go.
 
     NULL and empty texts have no paragraphs. Rows of the same doc_id are taken for one
-    document: their lines of one number stay or go together. Ties have one order. Other
-    columns are not read.
+    document: their paragraphs of one number stay or go together; so are rows without doc_id
+    of the same text. ``source`` tells documents apart. Ties have one order. Other columns are not read.
     """
     text = docs.select("doc_id", "text", at.source().alias("source"))
-    places = stage(text.mapInArrow(_places(min_words), "doc_id bigint, source bigint, line int, node bigint"))
-    at_place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("line"))
+    places = stage(text.mapInArrow(_places(), "doc_id bigint, source bigint, paragraph int, words int, node bigint"))
+    at_place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("source"), F.col("paragraph"))
 
     def sets(wanted: DataFrame) -> DataFrame:
         where = places.join(wanted, "node", "left_semi").groupBy("node").agg(F.min_by("source", at_place).alias("source"))
         by_source = where.groupBy("source").agg(F.collect_list("node").alias("wanted"))  # at most a document's paragraphs
-        some = text.join(small(by_source), "source")
-        return some.mapInArrow(_sets(min_words), "node bigint, s array<bigint>").groupBy("node").agg(F.first("s").alias("s"))
+        by_source = stage(by_source)
+        listed = by_source.agg(F.sum(F.size("wanted"))).first()[0] or 0
+        some = text.join(F.broadcast(by_source) if listed <= SMALL_ROWS else by_source, "source")
+        return some.mapInArrow(_sets(), "node bigint, s array<bigint>").groupBy("node").agg(F.first("s").alias("s"))
 
     def marks(nodes: DataFrame) -> DataFrame:
         return sets(nodes).mapInArrow(_marks, "node bigint, marks array<bigint>")
@@ -119,32 +181,48 @@ def removals(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS
     def weights(nodes: DataFrame) -> DataFrame:
         return places.join(nodes, "node", "left_semi").groupBy("node").agg(F.count("*").cast("double").alias("weight"))
 
-    rows = text.select("text").mapInArrow(_bands(min_words), "token bigint, node bigint, n int, pos int")
+    rows = text.select("text").mapInArrow(_bands(), "token bigint, node bigint, n int, pos int")
     _, found = linked(rows, percent, lambda pairs: verified(pairs.select("a", "b"), sets, percent), marks=marks, weights=weights, chances=10)
     found = stage(found)
     per_node = places.groupBy("node").agg(F.count("*").alias("n"), F.min(at_place).alias("first"))
     joined = per_node.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     groups = joined.groupBy("component").agg(F.sum("n").alias("n"), F.min("first").alias("kept")).where("n > 1")
     kept = stage(joined.select("node", "component").join(groups, "component").select("node", "kept"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("line") == F.col("kept.line"))
-    return places.join(kept, "node").where(~same).select("doc_id", "line", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.line").alias("kept_line")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("source") == F.col("kept.source"))
+    again = places.join(kept, "node").where(~same).groupBy("doc_id", "source", "paragraph").agg(F.max("words").alias("words"), F.min("kept").alias("kept"))
+    document = W.partitionBy("doc_id", "source")
+    again = again.withColumn("run", F.col("paragraph") - F.row_number().over(document.orderBy("paragraph")))
+    again = again.withColumn("run_words", F.sum("words").over(W.partitionBy("doc_id", "source", "run"))).where(F.col("run_words") >= run_words)
+    return again.select("doc_id", "source", "paragraph", "words", F.col("kept.doc_id").alias("kept_doc"), F.col("kept.paragraph").alias("kept_paragraph"))
+
+
+def _left(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """(row, text, removed): the rows of ``docs`` as structs, the text that is left, and what :func:`removals` names of each."""
+    per_doc = gone.groupBy(F.col("doc_id").alias("_doc"), F.col("source").alias("_source")).agg(
+        F.sort_array(F.collect_list(F.struct("paragraph", "words", "kept_doc", "kept_paragraph"))).alias("removed")  # at most a document's paragraphs
+    )
+    rows = docs.select(F.struct("*").alias("row"), at.source().alias("_source"), "doc_id", "text")
+    rows = rows.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_doc")) & (rows["_source"] == per_doc["_source"]), "left")
+    none = F.array().cast("array<struct<paragraph:int,words:int,kept_doc:bigint,kept_paragraph:int>>")
+    rows = rows.select(F.struct("row", F.coalesce("removed", none).alias("removed")).alias("row"), "text", F.transform("removed", lambda r: r["paragraph"]).alias("gone"))
+    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string"
+    return rows.mapInArrow(_cut, schema).select("row.row", "text", "row.removed")
+
 
+def without_repeats(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS) -> DataFrame:
+    """``docs`` with all columns and the texts that :func:`deduplicated` leaves; rows of which no word is left go."""
+    left = _left(docs, removals(docs, percent, run_words)).where((F.size("removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.size("removed") == 0, F.col("row.n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    return left.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
-def deduplicated(docs: DataFrame, percent: int = PERCENT, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, n_removed, removed (line, kept_doc, kept_line) and the text that is left, for every row of ``docs``.
 
-    What :func:`removals` names is taken out with its line break; the rest of a text is
-    unchanged. A NULL text stays NULL. A document whose lines all go has an empty text.
+def deduplicated(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS) -> DataFrame:
+    """doc_id, n_removed, removed (paragraph, words, kept_doc, kept_paragraph) and the text that is left, for every row of ``docs``.
+
+    What :func:`removals` names is taken out; the rest of a text is unchanged, with the few words before the first
+    and after the last border of a passage. A NULL text stays NULL. A text that goes as a whole is empty.
     """
-    gone = removals(docs, percent, min_words)
-    per_doc = gone.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("line", "kept_doc", "kept_line"))).alias("removed"))
-    joined = docs.select("doc_id", "text").alias("d").join(per_doc.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")), "left")
-    lines = F.split("text", "\n", -1)
-    out = F.transform("removed", lambda r: r["line"])
-    left = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(out, i)), "\n")
-    return joined.select(
-        "d.doc_id",
-        F.coalesce(F.size("removed"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce("removed", F.array().cast("array<struct<line:int,kept_doc:bigint,kept_line:int>>")).alias("removed"),
-        F.when(F.col("removed").isNull(), F.col("text")).otherwise(left).alias("text"),
-    )
+    left = _left(docs.select("doc_id", "text"), removals(docs, percent, run_words))
+    return left.select("row.doc_id", F.size("removed").cast("bigint").alias("n_removed"), "removed", "text")

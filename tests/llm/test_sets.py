@@ -107,32 +107,91 @@ def test_components_of_a_long_path(spark, monkeypatch):
     assert got == {**dict.fromkeys(range(n), 0), 1000: 1000, 1001: 1000}
 
 
+def cut(text):
+    """Paragraphs as lists of words: a border is a word whose hash is the smallest of seven on either side."""
+    part = next(at.slices(pa.array([text or ""]), lower=True))
+    starts, ends, _ = part.words(at.NOT_SPACE)
+    h = part.hashes(starts, ends).tolist()
+    w = (text or "").encode().translate(LOWER).split()
+    begin = [i for i in range(len(w)) if i == 0 or (all(h[i] < x for x in h[max(0, i - 7) : i]) and all(h[i] <= x for x in h[i + 1 : i + 8]))]
+    return [w[i:j] for i, j in zip(begin, [*begin[1:], len(w)])]
+
+
 def paragraphs_wanted(rows):
-    bags = {(i, k): bag(line, 5) for i, t in rows for k, line in enumerate((t or "").split("\n"))}
-    root = classes({k: v for k, v in bags.items() if v})
-    return {k for k, v in root.items() if k != v}
+    """Repeats of what another document has first, in runs of 30 words and more."""
+    cuts = {i: cut(t) for i, t in rows}
+    bags = {(i, k): bag(b" ".join(p).decode()) for i, ps in cuts.items() for k, p in enumerate(ps)}
+    root = classes(bags)
+    out = set()
+    for i, ps in cuts.items():
+        run = []
+        for k in range(len(ps) + 1):
+            if k < len(ps) and root[i, k][0] != i:
+                run.append(k)
+            else:
+                if sum(len(ps[x]) for x in run) >= 30:
+                    out |= {(i, x) for x in run}
+                run = []
+    return out
 
 
 def test_removals_are_those_of_all_pairs(spark, docs_of, mode):
     r = random.Random(8)
-    pool = near_copies(11, 60, 25, 3) + near_copies(12, 8, 3, 1) + [words(k, r.randint(3, 30)) for k in range(300, 340)] + ["", "a b", words(7, 80)]
+    pool = near_copies(11, 60, 25, 3) + near_copies(12, 8, 3, 1) + [words(k, r.randint(3, 60)) for k in range(300, 340)] + ["", "a b", words(7, 80)]
     rows = [(i, "\n".join(r.choice(pool) for _ in range(r.randint(1, 6)))) for i in range(50)]
     got = paragraphs.removals(docs_of(rows)).collect()
-    assert {(x.doc_id, x.line) for x in got} == paragraphs_wanted(rows)
-    assert all((x.kept_doc, x.kept_line) < (x.doc_id, x.line) for x in got)
+    assert {(x.doc_id, x.paragraph) for x in got} == paragraphs_wanted(rows) and len(got) > 20
+    assert all(x.kept_doc < x.doc_id for x in got)
+
+
+def shared_runs(texts, size=51):
+    """Documents that hold ``size`` words in a row of a document before them."""
+    first, out = {}, set()
+    for i in sorted(texts):
+        w = (texts[i] or "").lower().split()
+        for k in range(len(w) - size + 1):
+            if first.setdefault(tuple(w[k : k + size]), i) != i:
+                out.add(i)
+    return out
+
+
+def test_long_passages_go_whatever_is_around_them_and_short_ones_stay(spark, docs_of):
+    r = random.Random(5)
+    rows, long, short = [], [words(k, r.randint(60, 90)) for k in range(600, 625)], [words(k, r.randint(8, 28)) for k in range(650, 675)]
+    for i in range(120):
+        passage = r.choice(long).split() if i % 2 else r.choice(short).split()
+        lines = [words(700 + 3 * i, r.randint(5, 40)), " ".join(passage), words(701 + 3 * i, r.randint(5, 40))]
+        if i % 3 == 0:  # inside a longer line
+            lines = [" ".join(lines)]
+        elif i % 3 == 1:  # wrapped
+            lines[1] = "\n".join(" ".join(passage[k : k + 9]) for k in range(0, len(passage), 9))
+        rows.append((i, "\n".join(lines)))
+    got = {x.doc_id: x for x in paragraphs.deduplicated(docs_of(rows)).collect()}
+    flagged, repeated = {i for i, x in got.items() if x.n_removed}, shared_runs(dict(rows))
+    assert flagged == repeated and len(repeated) > 20
+    assert not shared_runs({i: x.text for i, x in got.items()})
+
+
+def test_most_passages_of_51_words_go(spark, docs_of):
+    rows = [(i, " ".join([words(900 + 3 * i, 20), words(800 + i % 60, 51), words(901 + 3 * i, 20)])) for i in range(120)]
+    got = {x.doc_id for x in paragraphs.deduplicated(docs_of(rows)).collect() if x.n_removed}
+    assert got <= set(range(60, 120)) and len(got) >= 0.9 * 60
 
 
 def test_dedup_edges(spark, docs_of):
     passage = words(50, 55)
     rows = [*EDGES, (20, f"{words(51, 20)}\n{passage}\n\nend"), (21, f"begin\n{passage}\n{words(52, 20)}"), (22, passage)]
     got = collections.defaultdict(list)
-    for x in paragraphs.deduplicated(docs_of(rows).withColumnRenamed("lang", "node").withColumnRenamed("source", "line")).collect():
+    for x in paragraphs.deduplicated(docs_of(rows).withColumnRenamed("lang", "node").withColumnRenamed("source", "paragraph")).collect():
         got[x.doc_id].append(x)
     assert got[1][0].text is None and got[2][0].text == "" and got[3][0].text == " \n\t "
     assert passage in got[20][0].text and got[20][0].n_removed == 0
-    assert got[21][0].text == f"begin\n{words(52, 20)}" and got[21][0].removed[0].kept_doc == 20
-    assert got[22][0].text == "" and len(got[6]) == 2 and got[6][0].text == got[6][1].text == words(1, 60)
+    assert got[21][0].text.startswith("begin\n") and got[21][0].text.endswith(words(52, 20)) and got[21][0].removed[0].kept_doc == 20
+    assert len(got[22][0].text.split()) < 20 and len(got[6]) == 2 and got[6][0].text == got[6][1].text == words(1, 60)
+    assert got[None][0].text == "" and got[8][0].n_removed == 0
     assert paragraphs.deduplicated(docs_of([])).count() == 0
+    odd = docs_of(rows).selectExpr("*", "1 as row", "2 as gone", "'x' as removed")
+    assert paragraphs.without_repeats(odd).columns == odd.columns and paragraphs.without_repeats(docs_of([])).count() == 0
 
 
 def test_long_and_short_slices_give_the_same_hashes(monkeypatch):
@@ -186,9 +245,11 @@ def test_a_near_copy_without_id_joins_two_documents(spark, docs_of):
     assert got == {100: 1, 120: 1, 140: 1, 46: None}
 
 
-def test_a_near_copy_without_id_joins_two_paragraphs(spark, docs_of):
-    got = {(r.doc_id, r.line, r.kept_doc, r.kept_line) for r in paragraphs.removals(docs_of(bridge())).collect()}
-    assert got == {(None, 0, 1, 0), (2, 0, 1, 0)}
+def test_a_passage_that_only_a_row_without_id_shares(spark, docs_of):
+    passage = words(84, 70)
+    rows = [(None, passage + " " + words(85, 20)), (None, words(86, 20) + " " + passage), (3, words(87, 30))]
+    got = sorted((x.n_removed > 0, len((x.text or "").split())) for x in paragraphs.deduplicated(docs_of(rows)).collect())
+    assert [g[0] for g in got] == [False, False, True] and got[2][1] < 60
 
 
 def test_contamination_is_that_of_brute_force(spark, docs_of):
