@@ -31,16 +31,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Paragraphs that repeat others go; a document of which nothing is left goes too."""
-    gone = paragraphs.removals(docs).where("doc_id is not null")
-    per_doc = stage(gone.groupBy("doc_id").agg(F.collect_list("line").alias("gone_lines")))  # at most a document's lines
-    left = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("gone_lines", i)), "\n")
-    joined = docs.join(per_doc, "doc_id", "left")
-    text = F.when(F.col("gone_lines").isNull(), F.col("text")).otherwise(left)
-    out = joined.withColumn("text", text).where(F.col("gone_lines").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("gone_lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
-    return out.select(*docs.columns)
+    """Passages that repeat other documents go; a document of which nothing is left goes too."""
+    return paragraphs.without_repeats(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
