@@ -21,7 +21,7 @@ from millrace.sources import stage
 FAN_BITS = 3
 LEVELS = 3
 #: Ranks are counted in parts of so many rows at least, and of a 256th of all rows.
-LEAST_ROWS = 10_000
+LEAST_ROWS = 2_000
 NO_PATH = "array<struct<left:string,right:string>>"
 
 
