@@ -7,6 +7,7 @@ goes with the encoding of what is before it, and can be found from left to right
 
 from __future__ import annotations
 
+import collections
 import functools
 import re
 
@@ -48,7 +49,10 @@ class Pieces:
         self.size = size
         #: the number of no piece, after those of all characters
         self.start = size + 0x110000
-        self._pairs: dict[int, bool] = {}
+        #: by the number of a piece, the pieces that were tried after it: their number, or -1 where they do not go
+        self._follow: dict[int, dict[str, int]] = collections.defaultdict(dict)
+        self._held = 0
+        self._made: dict[str, tuple | None] = {}
 
     def normal(self, text: str) -> str:
         return SPACE + text.replace(" ", SPACE) if text else ""
@@ -56,16 +60,19 @@ class Pieces:
     def merged(self, text: str) -> list[str]:
         """The encoding by definition: join the neighbours of highest score, the leftmost first. For a few characters."""
         parts = list(text)
-        while True:
-            best = None
-            for i in range(len(parts) - 1):
-                score = self.scores.get(parts[i] + parts[i + 1])
-                if score is not None and (best is None or score > best[0]):
-                    best = (score, i)
-            if best is None:
-                return parts
+        while (best := self._best(parts)) is not None:
             i = best[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
+
+    def _best(self, parts: list[str]) -> tuple[float, int] | None:
+        """The score and place of the next merge."""
+        best = None
+        for i in range(len(parts) - 1):
+            score = self.scores.get(parts[i] + parts[i + 1])
+            if score is not None and (best is None or score > best[0]):
+                best = (score, i)
+        return best
 
     def _number(self, piece: str) -> int:
         """The id of a piece; characters that the model lacks get numbers after all ids."""
@@ -74,40 +81,81 @@ class Pieces:
 
     def _extend(self, part: str, last: list[int], numbers: list[int]) -> None:
         """Continues, in place, the lengths and numbers of the last pieces of all prefixes of ``part``."""
-        number, pairs, endings, many = self.ids.get, self._pairs, self.endings, self.start + 1
+        follow, endings, alone = self._follow, self.endings, (1,)
         for end in range(len(last), len(part) + 1):
-            for length in endings.get(part[max(0, end - 2) : end], (1,)):
+            for length in endings.get(part[end - 2 : end] if end > 1 else "", alone):
                 before = end - length
                 if before < 0:
                     raise AssertionError("a prefix has no encoding")
-                own = number(part[before:end])
-                if own is None:
-                    if length > 1:
-                        continue
-                    own = self.size + ord(part[before])
-                key = numbers[before] * many + own
-                known = pairs.get(key)
-                if known is None:
-                    if len(pairs) > 1_000_000:  # memory stays bounded
-                        pairs.clear()
-                    known = pairs[key] = self._goes(part[before - last[before] : before], part[before:end])
-                if known:
+                piece = part[before:end]
+                number = follow[numbers[before]].get(piece)
+                if number is None:
+                    number = self._learned(numbers[before], part[before - last[before] : before], piece)
+                if number >= 0:
                     last.append(length)
-                    numbers.append(own)
+                    numbers.append(number)
                     break
             else:
                 raise AssertionError("a prefix has no encoding")
 
+    def _learned(self, before: int, left: str, right: str) -> int:
+        """The number of ``right`` if it goes after ``left``, else -1; kept for the next time."""
+        if self._held >= 1_000_000:  # memory stays bounded
+            self._follow.clear()
+            self._held = 0
+        goes = (len(right) == 1 or right in self.ids) and self._goes(left, right)
+        number = self._follow[before][right] = self._number(right) if goes else -1
+        self._held += 1
+        return number
+
+    def _merges(self, piece: str) -> tuple[tuple, tuple] | None:
+        """The scores of the merges that make ``piece``, in their order, with what begins it and what ends it
+        before each and at the end; None if its encoding is not the piece alone."""
+        known = self._made.get(piece, ())
+        if known != ():
+            return known
+        parts = list(piece)
+        scores, firsts, lasts = [], [parts[0]], [parts[-1]]
+        while (best := self._best(parts)) is not None:
+            score, i = best
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            scores.append(score), firsts.append(parts[0]), lasts.append(parts[-1])
+        known = (tuple(scores), tuple(firsts), tuple(lasts)) if len(parts) == 1 else None
+        if len(piece) > 1:  # single characters are cheap, and there may be many
+            self._made[piece] = known
+        return known
+
     def _goes(self, left: str, right: str) -> bool:
-        return self.merged(left + right) == ([left, right] if left else [right])
+        """Whether ``left`` and ``right`` are what :meth:`merged` gives for both together.
+
+        Until a merge crosses the border, each side merges as it would alone, so the two known rows of merges are
+        passed in the order of their scores, and at each step the pair at the border is held against them.
+        """
+        b = self._merges(right)
+        if not left or b is None:
+            return b is not None
+        a = self._merges(left)
+        if a is None:
+            return False
+        (x, _, lasts), (y, firsts, _), i, j = a, b, 0, 0
+        while True:
+            across = self.scores.get(lasts[i] + firsts[j])
+            on_left, on_right = i < len(x), j < len(y)
+            # of equal scores the leftmost pair is first
+            if across is not None and not (on_left and x[i] >= across) and not (on_right and y[j] > across):
+                return False
+            if on_left and not (on_right and y[j] > x[i]):
+                i += 1
+            elif on_right:
+                j += 1
+            else:
+                return True
 
     def fits(self, left: str, right: str) -> bool:
         """Whether the two pieces are the encoding of their text; ``left`` may be empty."""
-        key = (self._number(left) if left else self.start) * (self.start + 1) + self._number(right)
-        known = self._pairs.get(key)
-        if known is None:
-            known = self._pairs[key] = self._goes(left, right)
-        return known
+        before = self._number(left) if left else self.start
+        number = self._follow[before].get(right)
+        return (self._learned(before, left, right) if number is None else number) >= 0
 
     def last_lengths(self, part: str) -> list[int]:
         """For every prefix of ``part``, the length of the last piece of its encoding (0 for the empty prefix)."""
@@ -116,8 +164,8 @@ class Pieces:
         return last
 
     def each_last_lengths(self, parts):
-        """(part, its last lengths) for sorted ``parts``; what two neighbours begin with is computed once.
-        A list holds until the next one is asked for."""
+        """(part, its last lengths, the numbers of these pieces) for sorted ``parts``; what two neighbours begin with
+        is computed once. A list holds until the next one is asked for."""
         before, last, numbers = "", [0], [self.start]
         for part in parts:
             same, most = 0, min(len(before), len(part))
@@ -126,17 +174,17 @@ class Pieces:
             del last[same + 1 :], numbers[same + 1 :]
             self._extend(part, last, numbers)
             before = part
-            yield part, last
+            yield part, last, numbers
 
     def width(self, piece: str) -> int:
         """The number of ids of a piece: one, or a byte each for a character the model lacks."""
         return 1 if piece in self.ids else len(piece.encode())
 
-    def total(self, part: str, last: list[int]) -> int:
+    def total(self, part: str, last: list[int], numbers: list[int]) -> int:
         """The number of ids of ``part``: along the last pieces, from its end."""
         count, end = 0, len(part)
         while end:
-            count += self.width(part[end - last[end] : end])
+            count += 1 if numbers[end] < self.size else len(part[end - 1].encode())
             end -= last[end]
         return count
 
@@ -165,8 +213,8 @@ class Memory:
         for part in missing & self.old.keys():
             self.new[part] = self.old[part]
             missing.discard(part)
-        for part, last in model.each_last_lengths(sorted(missing)):
-            self.new[part] = self.make(model, part, last)
+        for part, last, numbers in model.each_last_lengths(sorted(missing)):
+            self.new[part] = self.make(model, part, last, numbers)
         return self.new
 
 

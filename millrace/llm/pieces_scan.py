@@ -14,6 +14,7 @@ paths meet there; only what lies before a chunk's first and after its last such
 
 from __future__ import annotations
 
+import array
 import itertools
 
 import numpy as np
@@ -31,12 +32,17 @@ _SIDE = 1024
 START = 0
 
 
-def _ids(model: bpe.Pieces, part: str, last: list[int]) -> bytes:
+def _ids(model: bpe.Pieces, part: str, last: list[int], numbers: list[int]) -> bytes:
     out, end = [], len(part)
     while end:
-        out.append(part[end - last[end] : end])
+        number = numbers[end]
+        if number < model.size:
+            out.append(number)
+        else:
+            out += reversed(model.ids_of(part[end - 1]))
         end -= last[end]
-    return np.array(list(itertools.chain.from_iterable(map(model.ids_of, reversed(out)))), np.int32).tobytes()
+    out.reverse()
+    return array.array("i", out).tobytes()
 
 
 _memory: dict[str, bpe.Memory] = {}

@@ -55,6 +55,19 @@ def test_chunks_give_the_encoding_of_the_whole(spark, docs_of, library):
     assert all(back[i] == t.replace("▁", " ") for i, t in rows[9:])
 
 
+def test_pairs_that_go_together_are_those_of_the_merges():
+    model, r = bpe.pieces(bpe.default_path()), random.Random(3)
+    ids = sorted(model.ids)
+    for _ in range(5000):
+        left, right = r.choice(ids), r.choice(ids)
+        if r.random() < 0.4:
+            left = left[-1]
+        if r.random() < 0.2:
+            right = left
+        assert model.fits(left, right) == (model.merged(left + right) == [left, right])
+        assert model.fits("", right) == (model.merged(right) == [right])
+
+
 def test_matrices_combine_associatively():
     a, b, c = {0: {1, 2}}, {1: {3}, 2: set()}, {3: {0}}
     assert pieces_scan.product(pieces_scan.product(a, b), c) == pieces_scan.product(a, pieces_scan.product(b, c)) == {0: {0}}
