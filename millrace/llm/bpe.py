@@ -157,11 +157,11 @@ class Pieces:
         number = self._follow[before].get(right)
         return (self._learned(before, left, right) if number is None else number) >= 0
 
-    def last_lengths(self, part: str) -> list[int]:
-        """For every prefix of ``part``, the length of the last piece of its encoding (0 for the empty prefix)."""
-        last = [0]
-        self._extend(part, last, [self.start])
-        return last
+    def last_pieces(self, part: str) -> tuple[list[int], list[int]]:
+        """For every prefix of ``part``, the length (0 for the empty prefix) and the number of the last piece of its encoding."""
+        last, numbers = [0], [self.start]
+        self._extend(part, last, numbers)
+        return last, numbers
 
     def each_last_lengths(self, parts):
         """(part, its last lengths, the numbers of these pieces) for sorted ``parts``; what two neighbours begin with
@@ -176,17 +176,12 @@ class Pieces:
             before = part
             yield part, last, numbers
 
-    def width(self, piece: str) -> int:
-        """The number of ids of a piece: one, or a byte each for a character the model lacks."""
-        return 1 if piece in self.ids else len(piece.encode())
-
-    def total(self, part: str, last: list[int], numbers: list[int]) -> int:
-        """The number of ids of ``part``: along the last pieces, from its end."""
-        count, end = 0, len(part)
-        while end:
-            count += 1 if numbers[end] < self.size else len(part[end - 1].encode())
-            end -= last[end]
-        return count
+    def counts(self, part: str, last: list[int], numbers: list[int]) -> list[int]:
+        """The number of ids of every prefix of ``part``, from the empty one on: that of the prefix before its last piece, and the piece's own."""
+        size, out = self.size, [0]
+        for end in range(1, len(part) + 1):
+            out.append(out[end - last[end]] + (1 if numbers[end] < size else len(part[end - 1].encode())))
+        return out
 
     def ids_of(self, piece: str) -> list[int]:
         known = self.ids.get(piece)

@@ -170,7 +170,7 @@ class Chunk:
     def _last_piece(self) -> int:
         """The state at ``high`` if that is the end of a part between ``first`` and ``high``."""
         *_, part = self.model.parts.findall(self.text[self.first : self.high])
-        return self.model.last_lengths(part)[-1] * _SIDE
+        return self.model.last_pieces(part)[0][-1] * _SIDE
 
     def path(self, memory: bpe.Memory, x: int, y: int) -> bytes:
         """The ids of the pieces after state ``x`` up to that of state ``y``."""

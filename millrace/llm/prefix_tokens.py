@@ -8,6 +8,7 @@ Counts, truncation and budgets are read from tables; nothing is encoded again.
 
 from __future__ import annotations
 
+import array
 import itertools
 
 import numpy as np
@@ -18,53 +19,52 @@ from pyspark.sql import functions as F
 from millrace.llm import bpe
 
 LIMIT = 4096
-def part_table(model: bpe.Pieces, part: str, last: list[int] | None = None) -> list[int]:
-    """The number of tokens of every prefix of ``part``, from the empty one to all of it."""
-    counts = [0]
-    for end, length in enumerate((last or model.last_lengths(part))[1:], 1):
-        counts.append(counts[end - length] + model.width(part[end - length : end]))
-    return counts
+def part_table(model: bpe.Pieces, part: str, last: list[int], numbers: list[int]) -> bytes | array.array:
+    """The number of tokens of every prefix of ``part``, from the empty one to all of it; a byte each where that is enough."""
+    counts = model.counts(part, last, numbers)
+    return bytes(counts) if max(counts) < 256 else array.array("I", counts)
 
 
 def text_table(model: bpe.Pieces, text: str) -> list[int]:
     """The number of tokens of every prefix of ``text``, by code points, from the empty one to all of it."""
     table, before = [0], 0
     for part in model.parts.findall(model.normal(text)):
-        counts = part_table(model, part)
+        counts = model.counts(part, *model.last_pieces(part))
         table += [before + c for c in counts[1:]]
         before += counts[-1]
     return [0, *table[2:]] if text else [0]  # the space put before the text is no prefix of its own
 
 
-def _fitting(model: bpe.Pieces, parts: list[str], totals: list[int], limit: int) -> int:
-    """The longest prefix of at most ``limit`` tokens, in code points of the text."""
-    ends = np.cumsum(totals)
+def _fitting(tables: list, limit: int) -> int:
+    """The longest prefix of at most ``limit`` tokens, in code points of the text, from its parts' ``tables``."""
+    ends = np.cumsum([table[-1] for table in tables])
     i = int(np.searchsorted(ends, limit, "right"))
-    chars = sum(map(len, parts[:i]))
-    if i < len(parts):
+    chars = sum(len(table) - 1 for table in tables[:i])
+    if i < len(tables):
         before = int(ends[i - 1]) if i else 0
-        chars += max((k for k, c in enumerate(part_table(model, parts[i])) if before + c <= limit), default=0)
+        chars += max((k for k, c in enumerate(tables[i]) if before + c <= limit), default=0)
     return max(0, chars - 1)
 
 
-#: The last entry of each part's table, for the parts met last; kept as long as the worker lives.
+#: Each part's table, for the parts met last; kept as long as the worker lives.
 _memory: dict[str, bpe.Memory] = {}
 
 
 def _counter(path: str, limit: int):
     def run(batches):
         model = bpe.pieces(path)
-        memory = _memory.setdefault(path, bpe.Memory(bpe.Pieces.total))
+        memory = _memory.setdefault(path, bpe.Memory(part_table))
         for batch in batches:
             n_bytes, n_tokens, fitting = [], [], []
             for texts in bpe.text_groups(batch.column("text")):
                 split = [model.parts.findall(model.normal(text)) for text in texts]
                 known = memory.learn(model, itertools.chain.from_iterable(split))
                 for text, parts in zip(texts, split, strict=True):
-                    total = sum(map(known.__getitem__, parts))
+                    tables = [known[part] for part in parts]
+                    total = sum([table[-1] for table in tables])
                     n_bytes.append(len(text.encode()))
                     n_tokens.append(total)
-                    fitting.append(len(text) if total <= limit else _fitting(model, parts, [known[p] for p in parts], limit))
+                    fitting.append(len(text) if total <= limit else _fitting(tables, limit))
             arrays = [batch.column("doc_id").cast(pa.int64()), *[pa.array(x, pa.int64()) for x in (n_bytes, n_tokens, fitting)]]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "n_tokens", "fitting_chars"])
 
