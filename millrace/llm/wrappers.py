@@ -8,6 +8,7 @@ markup marks as something else (menus, forms, adverts, comments, ...) is never c
 
 from __future__ import annotations
 
+import collections
 import functools
 import html
 import re
@@ -36,32 +37,48 @@ CLOSES_P = BLOCK - frozenset("html head body".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tr", "td", "th", "tbody", "thead"}, "tfoot": {"tr", "td", "th", "tbody", "thead"}}
 SCOPES = frozenset("ul ol dl table article section div main body html".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
-NAMES = re.compile(
-    r"""(?:(?:site|page|top|bottom|main|left|right|global|post|article|user|reader|cookie|blog|widget|js|sticky)[-_]*)*
-    (?:ads?|adv|advert\w*|adsense|banners?|sponsor\w*|promo\w*|sidebars?|side|aside|nav|navbar|navigation|navi|menus?|menubar
-    |breadcrumbs?|footers?|foot|masthead|topbar|cookies?|consent|notices?|gdpr|popups?|modal|overlay|alerts?|newsletter
-    |subscri\w*|signup|social|share|sharing|related|recommend\w*|comments?|commentlist|disqus|respond|replies|reply|widgets?
-    |toolbar|pagination|pager|copyright|legal|disclaimer|login|search|skip|toc|tags?|outbrain|taboola)
-    (?:[-_]+\w+)*""",
-    re.X | re.I,
-)
-HEADER_NAMES = re.compile(r"(?:(?:site|page|top|main|global)[-_]*)?(?:header|head)(?:[-_]+\w+)*", re.I)
-
+_BEFORE = "(?:(?:site|page|top|bottom|main|left|right|global|post|article|user|reader|cookie|blog|widget|js|sticky)[-_]*)*"
+#: Words that name a role whatever follows them.
+ROLE_WORDS = r"""ads?|adv|advert\w*?|adsense|banners?|sponsor[a-z]*|promo[a-z]*|sidebars?|nav|navbar|navigation|navi|menus?|menubar
+    |breadcrumbs?|footers?|masthead|topbar|cookies?|consent|gdpr|popups?|newsletter|subscri[a-z]*|commentlist|disqus
+    |toolbar|pagination|outbrain|taboola"""
+#: Words that also occur in names of articles; they name a role alone or with the endings below.
+WEAK_WORDS = r"""side|aside|foot|notices?|modal|overlay|alerts?|signup|social|share|sharing|related|recommend[a-z]*|comments?|respond
+    |replies|reply|widgets?|pager|copyright|legal|disclaimer|login|search|skip|toc|tags?"""
+ENDINGS = r"""ad|area|articles?|bar|block|box|btn|buttons?|column|container|content|cloud|counts?|field|form|group|header|icons?|inner|input
+    |items?|links?|lists?|menu|message|nav|notice|outer|overlay|panel|popup|posts|row|section|sidebar|stories|text|thread|title|to|widgets?
+    |wrap|wrapper|\d+"""
+NAMES = re.compile(rf"{_BEFORE}(?:(?:{ROLE_WORDS})(?:[-_]+[^\W_]+)*|(?:{WEAK_WORDS})(?:[-_]+(?:{ENDINGS}))*)[-_]*", re.X | re.I)
+HEADER_NAMES = re.compile(r"(?:(?:site|page|top|main|global)[-_]*)?(?:header|head)(?:[-_]+[^\W_]+)*[-_]*", re.I)
+
+# A quote that does not close before a space, a slash or the tag's end is an ordinary character; a tag that does not
+# end gives up at the next "<". So each character is read a fixed number of times, whatever the markup is.
+_ATTRS = r"""(?:[^<>=]++|=\s*+(?:"[^"]*+"|'[^']*+')(?=[\s/>])|=)*+"""
+_END = r"(?:>|(?=<)|\Z)"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
+    rf"|<(?P<raw>{RAW})(?=[\s/<>]|\Z){_ATTRS}{_END}.*?(?:</(?P=raw)\s*+>|\Z)"
+    rf"|<(?P<close>/)?(?P<tag>[a-zA-Z][^\s/<>]*+)(?P<attrs>{_ATTRS}){_END}"
+    r"|<[!?][^>]*+(?:>|\Z)",
     re.S | re.I,
 )
-_ATTR = re.compile(r"""\b(class|id|role|hidden|style|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTR = re.compile(r"""([^\s=/"'<>]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""")
+_ROLE_ATTRS = frozenset("class id role hidden style aria-hidden".split())
 _SPACE = re.compile(r"\s+")
 
 
-@functools.lru_cache(maxsize=4096)
 def _about(tag: str, attrs: str, in_article: bool) -> tuple[str, bool]:
+    """:func:`_role`, from memory for attributes of ordinary length."""
+    return _role(tag, attrs, in_article) if len(attrs) < 512 else _role.__wrapped__(tag, attrs, in_article)
+
+
+@functools.lru_cache(maxsize=4096)
+def _role(tag: str, attrs: str, in_article: bool) -> tuple[str, bool]:
     """(label for matching, whether it is marked as something other than main text)."""
-    found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)} if attrs else {}
+    found = {}
+    for m in _ATTR.finditer(attrs):
+        if m[1].lower() in _ROLE_ATTRS:
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
     names = [*found.get("class", "").split(), *found.get("id", "").split()]
     label = tag + "." + re.sub(r"[^A-Za-z_-]", "", found.get("class", "").partition(" ")[0])
     if tag in NOT_TEXT or (tag == "header" and not in_article):
@@ -82,7 +99,8 @@ def parsed(page: str) -> tuple[list[tuple[int, str]], list[tuple[int, int, bool,
     stack: list[tuple[str, int, bool, int]] = [("", -1, False, -1)]  # tag, node, not text, region
     buffer: list[str] = []
     linked = 0  # characters of the buffer inside links
-    in_link = False
+    link = 0  # how many elements were open where the open link began; 0 outside links
+    open_tags: collections.Counter[str] = collections.Counter()
     regions = 0
 
     def flush():
@@ -97,11 +115,17 @@ def parsed(page: str) -> tuple[list[tuple[int, str]], list[tuple[int, int, bool,
         linked = 0
 
     def leave(names, scope=SCOPES) -> None:
-        """Closes the innermost open element of these names, unless one of ``scope`` lies between."""
+        """Closes the innermost open element of these names, unless one of ``scope`` lies between. A link ends with its block."""
+        nonlocal link
+        if not any(open_tags[name] for name in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k][0] in names:
                 flush()
+                open_tags.subtract(x[0] for x in stack[k:])
                 del stack[k:]
+                if link > len(stack):
+                    link = 0
                 return
             if stack[k][0] in scope:
                 return
@@ -111,7 +135,7 @@ def parsed(page: str) -> tuple[list[tuple[int, str]], list[tuple[int, int, bool,
         if m.start() > at:
             piece = page[at : m.start()]
             buffer.append(piece)
-            if in_link:
+            if link:
                 linked += len(piece.strip())
         at = m.end()
         tag = m["tag"]
@@ -121,7 +145,7 @@ def parsed(page: str) -> tuple[list[tuple[int, str]], list[tuple[int, int, bool,
         if tag == "br":
             buffer.append(" ")
         elif tag == "a":
-            in_link = not m["close"]
+            link = 0 if m["close"] else len(stack)
         elif tag not in BLOCK and tag not in NOT_TEXT:
             continue
         elif m["close"]:
@@ -140,9 +164,8 @@ def parsed(page: str) -> tuple[list[tuple[int, str]], list[tuple[int, int, bool,
                 region, regions = regions, regions + 1
             tree.append((len(stack) - 1, label))
             stack.append((tag, len(tree) - 1, other or marked, region))
-    if at < len(page):
-        rest = page[at:]
-        buffer.append(rest if "<" not in rest else rest[: rest.index("<")] if re.match(r"<[a-zA-Z/!]", rest[rest.index("<") :]) else rest)
+            open_tags[tag] += 1
+    buffer.append(page[at:])
     flush()
     return tree, blocks
 
@@ -175,8 +198,8 @@ def _matched(a: _Node, b: _Node, slots: dict[int, int]) -> None:
     """Simple tree matching of two trees with equal roots: fills place in ``a`` to place in ``b``."""
     memo: dict[tuple[int, int], int] = {}
 
-    def trimmed(x: _Node, y: _Node) -> tuple[int, int]:
-        """How many children are alike at the begin and at the end."""
+    def middle(x: _Node, y: _Node) -> tuple[int, int, list[_Node], list[_Node]]:
+        """How many children are alike at the begin and at the end, and the children between."""
         p, q = x.children, y.children
         head = 0
         while head < len(p) and head < len(q) and p[head].shape == q[head].shape:
@@ -184,30 +207,34 @@ def _matched(a: _Node, b: _Node, slots: dict[int, int]) -> None:
         tail = 0
         while tail < min(len(p), len(q)) - head and p[-1 - tail].shape == q[-1 - tail].shape:
             tail += 1
-        return head, tail
+        return head, tail, p[head : len(p) - tail], q[head : len(q) - tail]
 
-    def table(x: _Node, y: _Node):
-        head, tail = trimmed(x, y)
-        p, q = x.children[head : len(x.children) - tail], y.children[head : len(y.children) - tail]
-        rows = [[0] * (len(q) + 1)]
-        for c in p:
-            before, row = rows[-1], [0]
-            for k, d in enumerate(q):
-                row.append(max(before[k + 1], row[k], before[k] + weight(c, d)))
-            rows.append(row)
-        same = sum(c.size for c in x.children[:head]) + sum(c.size for c in x.children[len(x.children) - tail :])
-        return head, tail, p, q, rows, same
-
-    def weight(x: _Node, y: _Node) -> int:
-        if x.label != y.label:
+    def known(c: _Node, d: _Node) -> int | None:
+        if c.label != d.label:
             return 0
-        if x.shape == y.shape:
-            return x.size
-        key = (x.place, y.place)
-        if key not in memo:
-            *_, rows, same = table(x, y)
-            memo[key] = 1 + same + rows[-1][-1]
-        return memo[key]
+        return c.size if c.shape == d.shape else memo.get((c.place, d.place))
+
+    def table(x: _Node, y: _Node):
+        """The table of the children's best matching, after those of all children that it needs; deep trees need no recursion."""
+        needed = [(x, y)]
+        while True:
+            u, v = needed[-1]
+            head, tail, p, q = middle(u, v)
+            missing = [(c, d) for c in p for d in q if known(c, d) is None]
+            if missing:
+                needed += missing
+                continue
+            rows = [[0] * (len(q) + 1)]
+            for c in p:
+                before, row = rows[-1], [0]
+                for k, d in enumerate(q):
+                    row.append(max(before[k + 1], row[k], before[k] + known(c, d)))
+                rows.append(row)
+            same = sum(c.size for c in u.children[:head]) + sum(c.size for c in u.children[len(u.children) - tail :])
+            memo[u.place, v.place] = 1 + same + rows[-1][-1]
+            needed.pop()
+            if not needed:
+                return head, tail, p, q, rows
 
     todo = [(a, b)]
     while todo:
@@ -216,7 +243,7 @@ def _matched(a: _Node, b: _Node, slots: dict[int, int]) -> None:
         if x.shape == y.shape:
             todo.extend(zip(x.children, y.children, strict=True))
             continue
-        head, tail, p, q, rows, _ = table(x, y)
+        head, tail, p, q, rows = table(x, y)
         todo.extend(zip(x.children[:head], y.children[:head], strict=True))
         if tail:
             todo.extend(zip(x.children[-tail:], y.children[-tail:], strict=True))
@@ -273,15 +300,6 @@ def _keys(row: dict) -> list[int]:
     return [xxhash.xxh64_intdigest(f"{slots.get(node, -2)}\n{text}") - 2**63 for node, text in zip(row["nodes"], row["texts"], strict=True)]
 
 
-def _chosen(regions: list[int], texts: list[str]) -> int:
-    """The region with most text, or -1 where the page has no article or main element with text."""
-    sizes: dict[int, int] = {}
-    for region, text in zip(regions, texts, strict=True):
-        if region >= 0:
-            sizes[region] = sizes.get(region, 0) + len(text)
-    return max(sizes, key=lambda r: (sizes[r], -r), default=-1)
-
-
 def _slots(batches):
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
@@ -300,8 +318,8 @@ def _extract(batches):
             for r in part.to_pylist():
                 template = set(r["template"] or ())
                 keys = _keys(r) if template else [0] * len(r["texts"])
-                region = _chosen(r["regions"], r["texts"])
-                kept = [t for t, k, g, link in zip(r["texts"], keys, r["regions"], r["links"], strict=True) if k not in template and g == region and (region >= 0 or not link)]
+                inside = max(r["regions"], default=-1) >= 0
+                kept = [t for t, k, g, link in zip(r["texts"], keys, r["regions"], r["links"], strict=True) if k not in template and (g >= 0 if inside else not link)]
                 texts.append("\n\n".join(kept))
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
@@ -310,8 +328,8 @@ def main_text(pages: DataFrame, share: float = SHARE, least_pages: int = LEAST_P
     """page_id, url, text and n_chars (code points) for every row of ``pages`` (page_id, url, html).
 
     Character references are decoded, white space inside a block is one space, blocks are
-    joined in page order by two line breaks. With an article or main element the text is that of the
-    one with most text, else that of all blocks that are not made of links. Slots whose
+    joined in page order by two line breaks. With article or main elements that hold text the text is that of all of
+    them that are not marked as something else, otherwise that of all blocks that are not made of links. Slots whose
     text is the same on ``share`` of a host's different pages are left out, if these are ``least_pages`` or more;
     pages with the same long blocks count as one.
 

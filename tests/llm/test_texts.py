@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 
 import pytest
 import sentencepiece
@@ -68,6 +69,78 @@ def test_pairs_that_go_together_are_those_of_the_merges():
         assert model.fits("", right) == (model.merged(right) == [right])
 
 
+def test_tree_matching_is_the_largest_of_all():
+    def best(x, y):
+        """Simple tree matching by its recursive definition, with the same trees and equal labels."""
+        if x.label != y.label:
+            return 0
+        rows = [[0] * (len(y.children) + 1) for _ in range(len(x.children) + 1)]
+        for i, c in enumerate(x.children, 1):
+            for j, d in enumerate(y.children, 1):
+                rows[i][j] = max(rows[i - 1][j], rows[i][j - 1], rows[i - 1][j - 1] + best(c, d))
+        return 1 + rows[-1][-1]
+
+    r = random.Random(5)
+    for _ in range(300):
+        trees = []
+        for _ in range(2):
+            depth, tree = 0, []
+            for _ in range(r.randint(0, 12)):
+                depth = r.randint(0, depth + 1) if tree else 0
+                tree.append((depth, r.choice("ab")))
+            trees.append(tree)
+        a, b = map(wrappers._grown, trees)
+        slots = {}
+        wrappers._matched(a, b, slots)
+        assert len(slots) == best(a, b)
+        assert all(x < 0 or trees[0][x][1] == trees[1][y][1] for x, y in slots.items())
+        assert len(set(slots.values())) == len(slots)
+
+
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ('<p title="abc>y <b>z</b>', ["y z"]),
+        ('<p title="a > b < c">y</p>', ["y"]),
+        ("<article>one</article><div>no</div><article>two</article>", ["one", "no", "two"]),
+        ("<div><a href=x>open</div><div>text after it</div>", ["open", "text after it"]),
+        ('<div id="search-engines">a</div><div class="tags-and-more">b</div><div class="search-box">c</div><div id=ad_1>d</div>', ["a", "b"]),
+        ('<div data-id="ads">kept</div><div title="id=ads">too</div>', ["kept", "too"]),
+        ("a < b &lt; c", ["a < b < c"]),
+    ],
+)
+def test_odd_markup(page, texts):
+    assert [b[-1] for b in wrappers.parsed(page)[1]] == texts
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>" * 10_000 + "x",
+        "<p>a" + "<center>" * 10_000,
+        '<p title="abc>y ' * 60_000,
+        "<p title='abc>y " + "<q x " * 200_000,
+        '<div class="ads' + "_" * 1000 + "\u00e9!\">t</div>",
+        "<p " + "= " * 500_000,
+        "<!" * 500_000,
+        "<p " + "class=' " * 100_000,
+    ],
+    ids=range(8),
+)
+def test_hostile_pages_are_read_in_time(page):
+    start = time.process_time()
+    tree, _ = wrappers.parsed(page)
+    other, _ = wrappers.parsed(page + "<div><p>y")
+    wrappers._matched(wrappers._grown(tree), wrappers._grown(other), {})
+    assert time.process_time() - start < 10
+
+
+def test_all_articles_are_kept_and_links_end_with_their_block(spark):
+    rows = [(1, "http://a/1", "<div>no</div><article>one</article><aside>no</aside><article>two</article>"), (2, "http://a/2", "<div><a href=x>open</div><div>text</div>")]
+    got = {r.page_id: r.text for r in wrappers.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert got == {1: "one\n\ntwo", 2: "text"}
+
+
 def test_matrices_combine_associatively():
     a, b, c = {0: {1, 2}}, {1: {3}, 2: set()}, {3: {0}}
     assert pieces_scan.product(pieces_scan.product(a, b), c) == pieces_scan.product(a, pieces_scan.product(b, c)) == {0: {0}}
