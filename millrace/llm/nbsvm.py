@@ -20,6 +20,8 @@ SAMPLE = 4000
 SHAPES = 1 << 15
 WORDS = 1 << 17
 SIZE = SHAPES + 2 * WORDS + 64
+#: Rows whose shapes are marked at a time, a byte for each shape: 8 MB, however short the texts are.
+MARKED_ROWS = 256
 
 # letters by case, digits and white space are one shape each, signs of ASCII their own
 _SHAPE = np.zeros(256, np.int64)
@@ -32,13 +34,17 @@ _SHAPE[[9, 11, 12, 13, 32]], _SHAPE[10] = 29, 30
 def features(texts: at.Texts) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of the distinct n-grams of each row, sorted."""
     code = _SHAPE[texts.data]
-    row_of = np.repeat(np.arange(texts.rows), np.diff(texts.off))
-    marks = np.zeros(texts.rows * SHAPES, bool)
-    if len(code) > 2:
-        inside = row_of[2:] == row_of[:-2]
-        marks[(row_of[2:] * SHAPES + code[:-2] * 1024 + code[1:-1] * 32 + code[2:])[inside]] = True
-    hit = np.flatnonzero(marks)
-    found = [(hit // SHAPES) * SIZE + hit % SHAPES]
+    found = []
+    for low in range(0, texts.rows, MARKED_ROWS):
+        off = texts.off[low : low + MARKED_ROWS + 1]
+        part = code[off[0] : off[-1]]
+        row_of = np.repeat(np.arange(len(off) - 1), np.diff(off))
+        marks = np.zeros((len(off) - 1) * SHAPES, bool)
+        if len(part) > 2:
+            inside = row_of[2:] == row_of[:-2]
+            marks[(row_of[2:] * SHAPES + part[:-2] * 1024 + part[1:-1] * 32 + part[2:])[inside]] = True
+        hit = np.flatnonzero(marks)
+        found.append((low + hit // SHAPES) * SIZE + hit % SHAPES)
     starts, ends, first = texts.words(at.NOT_SPACE)
     h = texts.hashes(starts, ends)
     word_row = np.repeat(np.arange(texts.rows), np.diff(first))

@@ -260,3 +260,16 @@ def test_pipeline_keeps_what_each_stage_should(spark, docs_of, tmp_path, library
     docs = spark.read.parquet(f"{path}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, path).dtypes == docs.dtypes
+
+
+def test_shapes_are_those_of_all_rows_at_once(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    from millrace.llm import arrowtext
+
+    texts = pa.array(["", None, "a", "ab", "abc", "x y z x y z", "", "é1 b", None] * 3, pa.string())
+    whole = [nbsvm.features(t) for t in arrowtext.slices(texts)]
+    monkeypatch.setattr(nbsvm, "MARKED_ROWS", 2)
+    for (row, feature), t in zip(whole, arrowtext.slices(texts), strict=True):
+        assert all(np.array_equal(x, y) for x, y in zip((row, feature), nbsvm.features(t), strict=True))
