@@ -267,10 +267,17 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(kept) if kept.count() <= SMALL_ROWS else kept
 
 
+def _once(sets: DataFrame) -> DataFrame:
+    """``sets`` (node, s), written, with one row for each node. Only where rows repeat a doc_id does a node come twice, so only then are sets moved for it."""
+    kept = stage(sets)
+    rows, nodes = kept.agg(F.count("*"), F.countDistinct("node")).first()
+    return kept if rows == nodes else stage(kept.groupBy("node").agg(F.first("s").alias("s")))
+
+
 def verified(pairs: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """The pairs whose sets' exact Jaccard similarity is ``percent`` or more. ``sets``: nodes (node) to (node, s)."""
+    """The pairs whose sets' exact Jaccard similarity is ``percent`` or more. ``sets``: nodes (node) to (node, s); it may repeat rows."""
     pairs = stage(pairs)
-    have = stage(sets(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
+    have = _once(sets(stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())))
     both = F.size(F.array_intersect("s_a", "s_b"))
     return (
         pairs.join(have.select(F.col("node").alias("a"), F.col("s").alias("s_a")), "a")

@@ -8,6 +8,8 @@ shingles of all documents: it decides only how many candidates there are, never
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
@@ -19,8 +21,11 @@ from millrace.llm.linking import linked, marked_overlap, small, verified, withou
 from millrace.sources import stage
 
 PERCENT = 75
-SKETCH_BITS = 20
+#: 4 million cells: the more there are, the later common shingles hide the rare ones of their cells.
+SKETCH_BITS = 22
 BLOCKS = 16
+#: Shingles that a task counts at a time.
+COUNTED = 1 << 22
 #: Hash cells of the suffix filter; each set marks the cells that its shingles fall into.
 CELLS = 2048
 
@@ -33,16 +38,24 @@ def _sets(texts: at.Texts):
 def _profile(batches):
     """A row for each document (block NULL), and this task's share of the sketch in blocks (doc_id NULL)."""
     sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+    waiting: list[np.ndarray] = []
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
     names = ["doc_id", "source", "n_shingles", "key", "marks", "block", "counts"]
 
     def out(arrays):
         return pa.RecordBatch.from_arrays([pa.array(x, k) if not isinstance(x, pa.Array) else x for x, k in zip(arrays, kinds, strict=True)], names)
 
+    def count():
+        if waiting:
+            np.add(sketch, np.bincount(np.concatenate(waiting), minlength=1 << SKETCH_BITS), out=sketch, casting="unsafe")
+            waiting.clear()
+
     for batch in batches:
         for texts in at.slices(batch.column("text"), lower=True):
             off, rows, found = _sets(texts)
-            sketch += np.bincount(found >> np.uint64(64 - SKETCH_BITS), minlength=1 << SKETCH_BITS).astype(np.uint32)
+            waiting.append((found >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+            if sum(map(len, waiting)) > COUNTED:
+                count()
             marks = np.zeros(texts.rows * CELLS, bool)
             marks[rows * CELLS + (found & np.uint64(CELLS - 1)).astype(np.int64)] = True
             marks = np.packbits(marks).view(np.int64)
@@ -50,30 +63,43 @@ def _profile(batches):
             none = [None] * texts.rows
             ids = [batch.column(c).slice(texts.low, texts.rows).cast(pa.int64()) for c in ("doc_id", "source")]
             yield out([*ids, np.diff(off).astype(np.int64), at.signed(key), at.lists(np.arange(texts.rows + 1) * (CELLS // 64), marks), none, none])
+    count()
     none = [None] * BLOCKS
-    yield out([none, none, none, none, none, np.arange(BLOCKS, dtype=np.int32), [x.tobytes() for x in np.split(sketch, BLOCKS)]])
+    yield out([none, none, none, none, none, np.arange(BLOCKS, dtype=np.int32), [zlib.compress(x.tobytes(), 1) for x in np.split(sketch, BLOCKS)]])
 
 
-def _added(batches):
-    """One row for each block of a partition: the sum of its counts, row by row in constant memory."""
-    total = {}
+def _sums(batches) -> dict[int, np.ndarray]:
+    """The sum of each block's counts, row by row in constant memory."""
+    total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
             # a task's counts have four bytes each, sums have eight
-            wide = np.frombuffer(counts.as_buffer(), np.uint64 if block >= BLOCKS else np.uint32).astype(np.uint64)
-            total[block % BLOCKS] = total.get(block % BLOCKS, 0) + wide
-    blocks = sorted(total)
-    arrays = [pa.array([b + BLOCKS for b in blocks], pa.int32()), pa.array([total[b].tobytes() for b in blocks], pa.binary())]
-    yield pa.RecordBatch.from_arrays(arrays, ["block", "counts"])
+            wide = np.frombuffer(zlib.decompress(counts.as_buffer()), np.uint64 if block >= BLOCKS else np.uint32)
+            total.setdefault(block % BLOCKS, np.zeros(len(wide), np.uint64))
+            total[block % BLOCKS] += wide
+    return total
+
+
+def _blocks(of: dict[int, bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(of), pa.int32()), pa.array(list(of.values()), pa.binary())], ["block", "counts"])
+
+
+def _added(batches):
+    """One row for each block of a partition: the sum of its counts."""
+    yield _blocks({b + BLOCKS: zlib.compress(x.tobytes(), 1) for b, x in _sums(batches).items()})
+
+
+def _ranked(batches):
+    """One row for each block: the logarithms of its counts, a byte each."""
+    yield _blocks({b: np.log2(x.astype(np.float64) + 1).astype(np.uint8).tobytes() for b, x in _sums(batches).items()})
 
 
 def profiles(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, source, n_shingles, key, marks) of every row, and each sketch cell's logarithmic rarity."""
     both = stage(docs.select("doc_id", "text", at.source().alias("source")).mapInArrow(_profile, "doc_id bigint, source bigint, n_shingles bigint, key bigint, marks array<bigint>, block int, counts binary"))
     parts = both.where("block is not null").select("block", "counts").mapInArrow(_added, "block int, counts binary")
-    blocks = parts.repartition(BLOCKS, "block").mapInArrow(_added, "block int, counts binary").collect()  # 8 MB at any input
-    counts = np.concatenate([np.frombuffer(x.counts, np.uint64) for x in sorted(blocks)]) if blocks else np.zeros(1 << SKETCH_BITS, np.uint64)
-    rank = np.log2(counts.astype(np.float64) + 1).astype(np.uint8)
+    blocks = parts.repartition(BLOCKS, "block").mapInArrow(_ranked, "block int, counts binary").collect()  # 4 MB at any input
+    rank = np.concatenate([np.frombuffer(x.counts, np.uint8) for x in sorted(blocks)]) if blocks else np.zeros(1 << SKETCH_BITS, np.uint8)
     return both.where("block is null").drop("block", "counts"), rank
 
 
@@ -161,7 +187,7 @@ def similarity_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             sources = known.join(wanted, "node", "left_semi").select("source")
             some = docs.select(at.source().alias("source"), "text").join(small(sources), "source", "left_semi").select("text")
             full = some.mapInArrow(at.per_slice("text", _full_sets, lower=True), "node bigint, s array<bigint>")
-            return full.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("s").alias("s"))
+            return full.join(wanted, "node", "left_semi")
 
         return verified(likely, sets, percent)
 

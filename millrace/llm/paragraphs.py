@@ -174,7 +174,7 @@ def removals(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS
         by_source = stage(by_source)
         listed = by_source.agg(F.sum(F.size("wanted"))).first()[0] or 0
         some = text.join(F.broadcast(by_source) if listed <= SMALL_ROWS else by_source, "source")
-        return some.mapInArrow(_sets(), "node bigint, s array<bigint>").groupBy("node").agg(F.first("s").alias("s"))
+        return some.mapInArrow(_sets(), "node bigint, s array<bigint>")
 
     def marks(nodes: DataFrame) -> DataFrame:
         return sets(nodes).mapInArrow(_marks, "node bigint, marks array<bigint>")
