@@ -7,6 +7,7 @@ word bytes, so no code point is ever cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
+SLICE_ROWS = 4096
 WIDTH = 5
 
 _random = np.random.Generator(np.random.PCG64(20240601))
@@ -107,7 +109,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(column: pa.Array, lower: bool = False) -> Iterator[Texts]:
-    """The rows of a string column in order, about a megabyte at a time; NULL is empty."""
+    """The rows of a string column in order, about a megabyte and at most ``SLICE_ROWS`` at a time; NULL is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if not len(column):
         return
@@ -117,7 +119,7 @@ def slices(column: pa.Array, lower: bool = False) -> Iterator[Texts]:
     low = 0
     while low < len(column):
         high = max(low + 1, int(np.searchsorted(off, off[low] + SLICE_BYTES, "right")) - 1)
-        high = min(high, len(column))
+        high = min(high, len(column), low + SLICE_ROWS)
         yield Texts(raw[off[low] : off[high]], off[low : high + 1] - off[low], low, lower)
         low = high
 
@@ -189,6 +191,26 @@ def source() -> Column:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text"))
 
 
+def give_back() -> None:
+    """Returns to the system what Arrow's and the C library's allocators keep for later."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
+def tidied(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``: at the end of a task its Python worker, which stays for the next one, gives back what nothing uses."""
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidy
+
+
 def per_slice(column: str, make: Callable[[Texts, pa.RecordBatch], pa.RecordBatch], lower: bool = False):
     """A function for ``mapInArrow``: ``make`` gets each slice of ``column`` and the batch rows it covers."""
 
@@ -197,4 +219,4 @@ def per_slice(column: str, make: Callable[[Texts, pa.RecordBatch], pa.RecordBatc
             for texts in slices(batch.column(column), lower):
                 yield make(texts, batch.slice(texts.low, texts.rows))
 
-    return run
+    return tidied(run)

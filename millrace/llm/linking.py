@@ -4,8 +4,9 @@ A key shared by few sets gives all their pairs. A key shared by more gives no pa
 among them: in a few rounds each set is paired with some hubs, the sets that share most,
 which joins a group of near copies into one component; afterwards only sets that share
 such a key and still lie in different components are paired, and never the largest
-component's sets among themselves. Every pair that could join two components is
-verified, so components are those of all links.
+component's sets among themselves. Where keys say little about similarity, these last pairs are
+found by members instead: each set's rarest ones, so many that two sets that link have one in
+common. Every pair that could join two components is verified, so components are those of all links.
 """
 
 from __future__ import annotations
@@ -16,7 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
+from millrace.llm.arrowtext import tidied
 from millrace.sources import stage
 
 #: A key of at most so many sets gives all pairs: at most half as many pairs for each row.
@@ -34,7 +37,7 @@ def _batch(kind, token, a, b, n, pos) -> pa.RecordBatch:
 def _meet(percent: int, prefix: Callable | None = None, order: Callable | None = None):
     """Rows sorted by (token, node) in; out: pairs of short runs (kind 0), the
     rows of long runs (kind 1), how many tokens a node shares with any other (kind 2, n),
-    and with ``prefix`` the place in ``order`` of each node's last token (kind 3, token)."""
+    with ``prefix`` the place in ``order`` of each node's last token (kind 3, token), else nodes that come twice with a token (kind 4)."""
 
     def possible(na, nb, pa_, pb):
         least, most = np.minimum(na, nb), np.maximum(na, nb)
@@ -77,6 +80,10 @@ def _meet(percent: int, prefix: Callable | None = None, order: Callable | None =
                 new[0] = False
             if len(t):
                 last = (t[-1], v[-1])
+            if not prefix and not new.all():
+                twice = np.unique(v[~new])
+                none = np.zeros(len(twice), np.int64)
+                yield _batch(4, none, twice, twice, none, none)
             t, v, n, p = t[new], v[new], n[new], p[new]
             if prefix:
                 end = p == prefix(n) - 1
@@ -134,6 +141,16 @@ def marked_overlap(na: Column, nb: Column, a: Column, b: Column) -> Column:
     return F.least(na - alone(a, b), nb - alone(b, a))
 
 
+def meet(rows: DataFrame, percent: int, prefix: Callable | None = None, order: Callable | None = None) -> DataFrame:
+    """What :func:`_meet` says of ``rows`` (token, node, n, pos), written."""
+    return stage(rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(tidied(_meet(percent, prefix, order)), _SCHEMA))
+
+
+def not_alone(met: DataFrame) -> DataFrame:
+    """(node) of :func:`meet` without ``prefix``: those that share a token with another node, or come more than once."""
+    return met.where("kind in (2, 4)").select(F.col("a").alias("node")).distinct()
+
+
 def linked(
     rows: DataFrame,
     percent: int,
@@ -141,8 +158,6 @@ def linked(
     prefix: Callable | None = None,
     order: Callable[[], Callable[[np.ndarray], np.ndarray]] | None = None,
     marks: Callable[[DataFrame], DataFrame] | None = None,
-    weights: Callable[[DataFrame], DataFrame] | None = None,
-    chances: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) and the components (node, component) of the nodes that have any.
 
@@ -151,21 +166,39 @@ def linked(
     share a token and their sizes and places allow ``percent``. ``prefix`` gives from n (array or column) the
     number of tokens each node has in ``rows``, where tokens are members of the set and the first
     of it in one order of all tokens; ``order`` makes, once for each task, a function from tokens to
-    their places in that order. ``verify`` gets distinct pairs (a < b) with columns own_a, own_b, last_a and
-    last_b (0 without ``prefix``), as in :func:`without_own`, and returns those that link. ``marks`` gives
-    (node, marks) for nodes, for :func:`marked_overlap`; ``weights`` gives (node, weight): the
+    their places in that order. ``verify`` gets distinct pairs (a < b), with ``prefix`` with columns own_a, own_b, last_a and
+    last_b as in :func:`without_own`, and returns those that link. ``marks`` gives
+    (node, marks) for nodes, for :func:`marked_overlap`. A component is named by its smallest node.
+    """
+    return linked_of(meet(rows, percent, prefix, order), percent, verify, prefix, marks)
+
+
+def linked_of(
+    met: DataFrame,
+    percent: int,
+    verify: Callable[[DataFrame], DataFrame],
+    prefix: Callable | None = None,
+    marks: Callable[[DataFrame], DataFrame] | None = None,
+    weights: Callable[[DataFrame], DataFrame] | None = None,
+    members: Callable[[DataFrame], DataFrame] | None = None,
+    chances: int = 1,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`linked` of what :func:`meet` gives.
+
+    ``weights`` gives (node, weight) for nodes: the
     heaviest nodes become hubs, by default those with the largest shared part; so do ``chances``
-    random ones of each token. A component is named by its smallest node.
+    random ones of each token. ``members`` gives (node, s) for nodes, s all members of the set; it may repeat rows. With it, the nodes that
+    hubs have left in different components are compared where rare members say that they may link, as in
+    :func:`rare_members`, not wherever they share a token.
     """
-    met = stage(rows.repartition("token").sortWithinPartitions("token", "node").mapInArrow(_meet(percent, prefix, order), _SCHEMA))
-    of_node = met.where("kind in (2, 3)").groupBy(F.col("a").alias("node"))
-    shared = F.sum(F.when(F.col("kind") == 2, F.col("n"))).cast("int")
-    last, size = (F.max(F.when(F.col("kind") == 3, F.col(c))) for c in ("token", "n"))
-    own = prefix(size) - shared if prefix else F.lit(0)
-    owns = stage(of_node.agg(shared.alias("shared"), own.cast("int").alias("own"), (last if prefix else F.lit(0)).alias("last")).where("shared > 0").drop("shared"))
+    if prefix:
+        of_node = met.where("kind in (2, 3)").groupBy(F.col("a").alias("node"))
+        shared = F.sum(F.when(F.col("kind") == 2, F.col("n"))).cast("int")
+        last, size = (F.max(F.when(F.col("kind") == 3, F.col(c))) for c in ("token", "n"))
+        owns = stage(of_node.agg(shared.alias("shared"), (prefix(size) - shared).cast("int").alias("own"), last.alias("last")).where("shared > 0").drop("shared"))
 
     def with_own(pairs: DataFrame) -> DataFrame:
-        for x in "ab":
+        for x in "ab" if prefix else "":
             pairs = pairs.join(owns.select(F.col("node").alias(x), F.col("own").alias(f"own_{x}"), F.col("last").alias(f"last_{x}")), x)
         return pairs
 
@@ -174,10 +207,12 @@ def linked(
     if long.isEmpty():
         links = stage(verify(with_own(few.distinct())))
         return links, components(links)
-    long = long.join(owns, "node").withColumn("weight", -F.col("own") / F.col("n"))
+    long = long.join(owns, "node") if prefix else long.withColumns({"own": F.lit(0), "last": F.lit(0)})
     if weights:
         long = stage(long)
-        long = long.drop("weight").join(weights(long.select("node").distinct()), "node")
+        long = long.join(weights(long.select("node").distinct()), "node")
+    else:
+        long = long.withColumn("weight", -F.col("own") / F.col("n"))
     long = stage(long.withColumn("component", F.col("node")))
     links = stage(verify(with_own(few.union(_to_hubs(long, percent, 0, chances, bool(prefix))).distinct())))
     found = components(links)
@@ -189,11 +224,31 @@ def linked(
         found = components(links)
     long = _unsettled(long, found)
     if not long.isEmpty():
-        links = stage(links.union(verify(with_own(_across(long, percent, marks, bool(prefix))))).distinct())
+        if members:
+            nodes = stage(long.select("node", "component").distinct())
+            sets = _once(members(nodes.select("node")))
+            rare = stage(rare_members(sets, percent).join(nodes, "node").withColumns({"own": F.lit(0), "last": F.lit(0)}))
+            more = verified(_across(rare, percent, None), lambda wanted: sets.join(wanted, "node", "left_semi"), percent)
+        else:
+            more = verify(with_own(_across(long, percent, marks, bool(prefix))))
+        links = stage(links.union(more).distinct())
         found = components(links)
     return links, found
 
 
+def rare_members(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, node, n, pos): the first members of each set (node, s) by how many sets hold them, rarest first.
+
+    So many are kept that two sets of similarity ``percent`` have one in common; members of one set alone
+    take their places, but no rows.
+    """
+    each = sets.select("node", F.size("s").alias("n"), F.explode("s").alias("token"))
+    held = each.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    mine = W.partitionBy("node")  # at most a set's members
+    placed = each.join(held, "token").withColumn("pos", F.col("n") - F.count("*").over(mine) + F.row_number().over(mine.orderBy("held", "token")) - 1)
+    return placed.where(F.col("pos") <= F.col("n") - F.floor((percent * F.col("n") + 99) / 100)).select("token", "node", "n", F.col("pos").cast("int").alias("pos"))
+
+
 def _unsettled(long: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of tokens whose nodes lie in more than one component, with their component."""
     placed = long.drop("component").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

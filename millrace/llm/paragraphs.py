@@ -5,7 +5,7 @@ a word whose hash is the smallest of ``REACH`` words on either side. So a passag
 inside a longer line, or wrapped at other places, and white space counts for nothing. Its set is that of its
 five-word shingles; equal sets are one node. Three bands of one minimum hash find a pair of
 similarity 0.75 with a chance of 1 - 0.25^3 = 0.984; what collides is compared
-exactly. Of each component the first paragraph stays where it is. In other documents
+exactly, in long runs of a band where rare shingles allow a link. Of each component the first paragraph stays where it is. In other documents
 connected paragraphs of ``RUN_WORDS`` words or more that repeat are taken out; shorter repeats stay.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from millrace.llm import arrowtext as at
-from millrace.llm.linking import SMALL_ROWS, linked, small, verified
+from millrace.llm.linking import SMALL_ROWS, linked_of, meet, not_alone, small, verified
 from millrace.sources import stage
 
 BANDS, ROWS = 3, 1
@@ -28,7 +28,6 @@ REACH = 7
 #: Borders depend on 7 words around them. By simulation, of passages of 60 words 0.86 hold 20 words and more in whole
 #: paragraphs whatever is around them, of 70 words 0.97; of 51 words 0.57, more where a line or text begins with them.
 RUN_WORDS = 20
-CELLS = 1024
 
 
 def borders(h: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -79,11 +78,14 @@ def _bands():
         p = _Paragraphs(texts)
         key, n, least = at.set_keys(p.off, p.found)[0], np.diff(p.off), _minima(p.off, p.found)
         tokens = [at.mix(sum(least[ROWS * b + r] * at.PLACE[40 + r] for r in range(ROWS)) + at.PLACE[42 + b]) for b in range(BANDS)]
-        # A set that a slice holds twice meets itself in vain.
-        once = np.unique(key, return_index=True)[1]
-        many = lambda x: np.tile(x[once], BANDS)
-        zero = np.zeros(len(once) * BANDS, np.int32)
-        return pa.RecordBatch.from_arrays([at.signed(np.concatenate([t[once] for t in tokens])), at.signed(many(key)), pa.array(many(n), pa.int32()), pa.array(zero)], ["token", "node", "n", "pos"])
+        # A set that a slice holds more than once comes twice, with one band.
+        _, once, count = np.unique(key, return_index=True, return_counts=True)
+        which = [np.concatenate([once, once[count > 1]]), *[once] * (BANDS - 1)]
+        rows = np.concatenate(which)
+        return pa.RecordBatch.from_arrays(
+            [at.signed(np.concatenate([t[i] for t, i in zip(tokens, which, strict=True)])), at.signed(key[rows]), pa.array(n[rows], pa.int32()), pa.array(np.zeros(len(rows), np.int32))],
+            ["token", "node", "n", "pos"],
+        )
 
     return at.per_slice("text", make, lower=True)
 
@@ -140,17 +142,6 @@ def _runs(numbers: list[int], size: int) -> list[tuple[int, int]]:
     return out
 
 
-def _marks(batches):
-    for batch in batches:
-        s = batch.column("s")
-        off, values = s.offsets.to_numpy().astype(np.int64), s.values.to_numpy().view(np.uint64)
-        marks = np.zeros(len(s) * CELLS, bool)
-        row = np.repeat(np.arange(len(s)), np.diff(off))
-        marks[row * CELLS + (values[off[0] : off[-1]] & np.uint64(CELLS - 1)).astype(np.int64)] = True
-        lists = at.lists(np.arange(len(s) + 1) * (CELLS // 64), np.packbits(marks).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("node"), lists], ["node", "marks"])
-
-
 def removals(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS) -> DataFrame:
     """doc_id, source, paragraph, words, kept_doc, kept_paragraph: every paragraph to take out, and the one that stays for it.
 
@@ -165,7 +156,10 @@ def removals(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS
     of the same text. ``source`` tells documents apart. Ties have one order. Other columns are not read.
     """
     text = docs.select("doc_id", "text", at.source().alias("source"))
-    places = stage(text.mapInArrow(_places(), "doc_id bigint, source bigint, paragraph int, words int, node bigint"))
+    met = meet(text.select("text").mapInArrow(_bands(), "token bigint, node bigint, n int, pos int"), percent)
+    # most paragraphs are alone with their bands, so they neither stay for another nor go
+    places = text.mapInArrow(_places(), "doc_id bigint, source bigint, paragraph int, words int, node bigint")
+    places = stage(places.join(small(not_alone(met)), "node", "left_semi"))
     at_place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("source"), F.col("paragraph"))
 
     def sets(wanted: DataFrame) -> DataFrame:
@@ -176,14 +170,10 @@ def removals(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS
         some = text.join(F.broadcast(by_source) if listed <= SMALL_ROWS else by_source, "source")
         return some.mapInArrow(_sets(), "node bigint, s array<bigint>")
 
-    def marks(nodes: DataFrame) -> DataFrame:
-        return sets(nodes).mapInArrow(_marks, "node bigint, marks array<bigint>")
-
     def weights(nodes: DataFrame) -> DataFrame:
         return places.join(nodes, "node", "left_semi").groupBy("node").agg(F.count("*").cast("double").alias("weight"))
 
-    rows = text.select("text").mapInArrow(_bands(), "token bigint, node bigint, n int, pos int")
-    _, found = linked(rows, percent, lambda pairs: verified(pairs.select("a", "b"), sets, percent), marks=marks, weights=weights, chances=10)
+    _, found = linked_of(met, percent, lambda pairs: verified(pairs, sets, percent), weights=weights, members=sets, chances=10)
     found = stage(found)
     per_node = places.groupBy("node").agg(F.count("*").alias("n"), F.min(at_place).alias("first"))
     joined = per_node.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -214,7 +204,7 @@ def _left(docs: DataFrame, gone: DataFrame) -> DataFrame:
     some = some.join(per_doc, F.col("doc_id").eqNullSafe(F.col("_doc")) & (some["_source"] == per_doc["_source"]), "left")
     some = some.select(F.struct("row", F.coalesce("removed", none).alias("removed")).alias("row"), "text", F.transform("removed", lambda r: r["paragraph"]).alias("gone"))
     schema = f"row {some.schema['row'].dataType.simpleString()}, text string"
-    return whole.unionByName(some.mapInArrow(_cut, schema).select("row.row", "text", "row.removed"))
+    return whole.unionByName(some.mapInArrow(at.tidied(_cut), schema).select("row.row", "text", "row.removed"))
 
 
 def without_repeats(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS) -> DataFrame:

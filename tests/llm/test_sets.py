@@ -194,6 +194,20 @@ def test_dedup_edges(spark, docs_of):
     assert paragraphs.without_repeats(odd).columns == odd.columns and paragraphs.without_repeats(docs_of([])).count() == 0
 
 
+def test_many_short_rows_do_not_fill_a_worker():
+    import tracemalloc
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(60_000)), "source": list(range(60_000)), "text": [f"word {k}" for k in range(60_000)]})
+    rows, ended = 0, []
+    tracemalloc.start()
+    for out in ngram_join._profile([batch]):
+        rows += out.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 60_000 + ngram_join.BLOCKS and peak < 110e6  # 60,000 rows of marks at once are 123 MB
+    assert list(at.tidied(lambda batches: (ended.append(b) or b for b in batches))([1, 2])) == ended == [1, 2]
+
+
 def test_long_and_short_slices_give_the_same_hashes(monkeypatch):
     texts = [words(k, 400) for k in range(6)] + ["", "é" * 70, "a b"]
     column = pa.array(texts)
@@ -286,3 +300,42 @@ def test_pairs_across_components_are_all_found_and_early_tokens_suppress_no_pair
     got = [(p.a, p.b) for p in linking._across(long, 75, None).collect()]
     want = {(a, b) for a in own for b in own if a < b and own[a][1] != own[b][1] and set(own[a][0]) & set(own[b][0])}
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_rare_members_give_all_links_and_few_other_pairs(spark, mode):
+    r = random.Random(4)
+    common = list(range(1, 9))
+    bags = {v: frozenset([*r.sample(common, 5), *r.sample(range(100, 10**6), r.randint(4, 9))]) for v in range(300)}
+    for v in range(300, 340):  # near copies of some
+        some = sorted(bags[v - 300])
+        bags[v] = frozenset([*some[:-1], 10**7 + v])
+    sets = spark.createDataFrame([(v, sorted(s)) for v, s in bags.items()], "node bigint, s array<bigint>")
+    rows = linking.rare_members(sets, 75).collect()
+    assert all(x.token in bags[x.node] and x.n == len(bags[x.node]) for x in rows)
+    by_token = collections.defaultdict(set)
+    for x in rows:
+        by_token[x.token].add(x.node)
+    met = {(a, b) for nodes in by_token.values() for a in nodes for b in nodes if a < b}
+    links = {(a, b) for a in bags for b in bags if a < b and 100 * len(bags[a] & bags[b]) >= 75 * len(bags[a] | bags[b])}
+    assert links <= met and len(links) > 20 and len(met) < 1000  # 50,000 pairs share a common member
+
+    verified = []
+    rows = [(t, v, len(s), 0) for v, s in bags.items() for t in s if t in common]  # keys that say little: long runs only
+
+    def verify(pairs):
+        pairs = linking.stage(pairs)
+        verified.append(pairs.count())
+        return linking.verified(pairs, lambda wanted: sets.join(wanted, "node", "left_semi"), 75)
+
+    met = linking.meet(spark.createDataFrame(rows, "token bigint, node bigint, n int, pos int"), 75)
+    assert {x.node for x in linking.not_alone(met).collect()} == set(bags)
+    _, found = linking.linked_of(met, 75, verify, members=lambda nodes: sets.join(nodes, "node", "left_semi"))
+    got = {x.node: x.component for x in found.collect()}
+    want = {k: x for k, x in classes(bags).items() if any(k in p for p in links)}
+    assert got == want and sum(verified) < 3 * linking.ROUNDS * len(bags)
+
+
+def test_a_paragraph_that_one_slice_holds_twice_is_not_alone(spark, docs_of):
+    rows = [(1, words(60, 40)), (2, words(60, 40)), (3, words(61, 40))]
+    assert len(next(paragraphs._bands()([pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})])).column("node").unique()) > 3
+    assert {x.doc_id for x in paragraphs.removals(docs_of(rows).coalesce(1)).collect()} == {2}
