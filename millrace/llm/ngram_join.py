@@ -96,7 +96,7 @@ def _ranked(batches):
 
 def profiles(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, source, n_shingles, key, marks) of every row, and each sketch cell's logarithmic rarity."""
-    both = stage(docs.select("doc_id", "text", at.source().alias("source")).mapInArrow(_profile, "doc_id bigint, source bigint, n_shingles bigint, key bigint, marks array<bigint>, block int, counts binary"))
+    both = stage(docs.select("doc_id", "text", at.source().alias("source")).mapInArrow(at.tidied(_profile), "doc_id bigint, source bigint, n_shingles bigint, key bigint, marks array<bigint>, block int, counts binary"))
     parts = both.where("block is not null").select("block", "counts").mapInArrow(_added, "block int, counts binary")
     blocks = parts.repartition(BLOCKS, "block").mapInArrow(_ranked, "block int, counts binary").collect()  # 4 MB at any input
     rank = np.concatenate([np.frombuffer(x.counts, np.uint8) for x in sorted(blocks)]) if blocks else np.zeros(1 << SKETCH_BITS, np.uint8)
@@ -132,12 +132,12 @@ def _rare_first(shared: Broadcast):
 
     def make():
         low = 64 - SKETCH_BITS
-        place = np.empty(1 << SKETCH_BITS, np.uint64)  # of each sketch cell; a cell has one rank, so tokens of a cell are neighbours
-        place[np.argsort(shared.value, kind="stable")] = np.arange(1 << SKETCH_BITS, dtype=np.uint64)
+        place = np.empty(1 << SKETCH_BITS, np.uint32)  # of each sketch cell; a cell has one rank, so tokens of a cell are neighbours
+        place[np.argsort(shared.value, kind="stable")] = np.arange(1 << SKETCH_BITS, dtype=np.uint32)
 
         def places(tokens: np.ndarray) -> np.ndarray:
             t = tokens.view(np.uint64)
-            p = place[(t >> np.uint64(low)).astype(np.int64)] << np.uint64(low) | t & np.uint64((1 << low) - 1)
+            p = place[(t >> np.uint64(low)).astype(np.int64)].astype(np.uint64) << np.uint64(low) | t & np.uint64((1 << low) - 1)
             return (p ^ np.uint64(1 << 63)).view(np.int64)
 
         return places

@@ -23,10 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import bpe
+from millrace.llm.arrowtext import tidied
 from millrace.sources import stage
 
 #: Code points of a chunk; longer texts are cut.
 CHUNK = 1 << 16
+#: Parts whose ids a worker keeps, twice at most: some 20 MB.
+KEPT_PARTS = 60_000
 #: A state's number: characters of the piece before the border, then after it.
 _SIDE = 1024
 START = 0
@@ -49,7 +52,7 @@ _memory: dict[str, bpe.Memory] = {}
 
 
 def _known(path: str) -> tuple[bpe.Pieces, bpe.Memory]:
-    return bpe.pieces(path), _memory.setdefault(path, bpe.Memory(_ids, 250_000))
+    return bpe.pieces(path), _memory.setdefault(path, bpe.Memory(_ids, KEPT_PARTS))
 
 
 def _whole(path: str):
@@ -254,7 +257,7 @@ def _giants(docs: DataFrame, path: str, size: int) -> DataFrame:
     matrices = chunks.mapInArrow(_matrices(path), "row bigint, chunk bigint, begin array<int>, end array<int>")
     # a text has at most 2 GB, so its matrices are some ten thousand short lists
     states = matrices.groupBy("row").applyInPandas(_borders, "row bigint, chunk bigint, x int, y int")
-    paths = chunks.join(states, ["row", "chunk"]).mapInArrow(_paths(path), "row bigint, chunk bigint, ids array<int>")
+    paths = chunks.join(states, ["row", "chunk"]).mapInArrow(tidied(_paths(path)), "row bigint, chunk bigint, ids array<int>")
     whole = paths.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("c")).select("row", F.flatten("c.ids").alias("ids"))
     both = long.join(whole, "row").select("doc_id", "ids", "text")
     return decoded(both, path).select("doc_id", "ids", (F.col("decoded") == F.translate("text", bpe.SPACE, " ")).alias("round_trip"))
@@ -271,7 +274,7 @@ def encoded(docs: DataFrame, path: str | None = None, size: int = CHUNK) -> Data
     """
     path = path or bpe.default_path()
     short = docs.select("doc_id", "text").where(F.col("text").isNull() | (F.length("text") <= size))
-    return short.mapInArrow(_whole(path), "doc_id bigint, ids array<int>, round_trip boolean").unionByName(_giants(docs, path, size))
+    return short.mapInArrow(tidied(_whole(path)), "doc_id bigint, ids array<int>, round_trip boolean").unionByName(_giants(docs, path, size))
 
 
 def decoded(rows: DataFrame, path: str | None = None) -> DataFrame:
