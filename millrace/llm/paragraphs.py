@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from millrace.llm import arrowtext as at
-from millrace.llm.linking import SMALL_ROWS, linked_of, meet, not_alone, small, verified
+from millrace.llm import sieve
+from millrace.llm.linking import linked_of, meet, not_alone, small, verified
 from millrace.sources import stage
 
 BANDS, ROWS = 3, 1
@@ -90,19 +92,38 @@ def _bands():
     return at.per_slice("text", make, lower=True)
 
 
-def _sets():
+def _place_keys(source: np.ndarray, node: np.ndarray) -> np.ndarray:
+    return at.mix(node.view(np.uint64) + at.mix(source.view(np.uint64) ^ at.PLACE[6]))
+
+
+def _text_keys(source: np.ndarray) -> np.ndarray:
+    return at.mix(source.view(np.uint64) ^ at.PLACE[7])
+
+
+def _wanted(batches):
+    """What :func:`_sets` looks up of rows (node, source): a key for each row, and one for its text."""
+    for batch in batches:
+        source, node = (batch.column(c).to_numpy() for c in ("source", "node"))
+        yield pa.RecordBatch.from_arrays([at.signed(np.concatenate([_place_keys(source, node), _text_keys(np.unique(source))]))], ["key"])
+
+
+def _sets(shared: Broadcast):
+    """The sets of the texts and paragraphs that the filter ``shared`` of :func:`_wanted` passes."""
+
     def make(texts: at.Texts, batch: pa.RecordBatch) -> pa.RecordBatch:
         p = _Paragraphs(texts)
-        key = at.set_keys(p.off, p.found)[0].view(np.int64)
-        wanted = np.asarray(batch.column("wanted").flatten().to_numpy(zero_copy_only=False), np.int64)
-        _, once = np.unique(key, return_index=True)
-        hit = once[np.isin(key[once], wanted)]
+        node = at.set_keys(p.off, p.found)[0].view(np.int64)
+        source = batch.column("source").to_numpy()[p.row]
+        keys, once = np.unique(_place_keys(source, node), return_index=True)
+        hit = once[sieve.passing(shared.value, keys)]
         spans = [p.found[p.off[i] : p.off[i + 1]] for i in hit]
         sizes = np.concatenate([[0], np.cumsum([len(s) for s in spans])]).astype(np.int64)
         values = np.concatenate(spans) if spans else np.empty(0, np.uint64)
-        return pa.RecordBatch.from_arrays([pa.array(key[hit]), at.lists(sizes, values.view(np.int64))], ["node", "s"])
+        return pa.RecordBatch.from_arrays([pa.array(source[hit]), pa.array(node[hit]), at.lists(sizes, values.view(np.int64))], ["source", "node", "s"])
 
-    return at.per_slice("text", make, lower=True)
+    per_slice = at.per_slice("text", make, lower=True)
+    some = lambda batch: batch.filter(pa.array(sieve.passing(shared.value, _text_keys(batch.column("source").to_numpy()))))
+    return lambda batches: per_slice(map(some, batches))
 
 
 def _cut(batches):
@@ -163,12 +184,11 @@ def removals(docs: DataFrame, percent: int = PERCENT, run_words: int = RUN_WORDS
     at_place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("source"), F.col("paragraph"))
 
     def sets(wanted: DataFrame) -> DataFrame:
-        where = places.join(wanted, "node", "left_semi").groupBy("node").agg(F.min_by("source", at_place).alias("source"))
-        by_source = where.groupBy("source").agg(F.collect_list("node").alias("wanted"))  # at most a document's paragraphs
-        by_source = stage(by_source)
-        listed = by_source.agg(F.sum(F.size("wanted"))).first()[0] or 0
-        some = text.join(F.broadcast(by_source) if listed <= SMALL_ROWS else by_source, "source")
-        return some.mapInArrow(_sets(), "node bigint, s array<bigint>")
+        # texts stay where they are: only sets that the filter passes are moved
+        where = stage(places.join(wanted, "node", "left_semi").groupBy("node").agg(F.min_by("source", at_place).alias("source")))
+        shared = docs.sparkSession.sparkContext.broadcast(sieve.made(where.mapInArrow(_wanted, "key bigint"), where.count()))
+        some = text.select("text", "source").mapInArrow(_sets(shared), "source bigint, node bigint, s array<bigint>")
+        return some.join(where, ["source", "node"], "left_semi").select("node", "s")
 
     def weights(nodes: DataFrame) -> DataFrame:
         return places.join(nodes, "node", "left_semi").groupBy("node").agg(F.count("*").cast("double").alias("weight"))

@@ -9,7 +9,7 @@ import pytest
 from conftest_llm import EDGES, words
 
 from millrace.llm import arrowtext as at
-from millrace.llm import decontaminate, linking, ngram_join, paragraphs
+from millrace.llm import decontaminate, linking, ngram_join, paragraphs, sieve
 
 LOWER = bytes(range(256)).lower()
 
@@ -339,3 +339,39 @@ def test_a_paragraph_that_one_slice_holds_twice_is_not_alone(spark, docs_of):
     rows = [(1, words(60, 40)), (2, words(60, 40)), (3, words(61, 40))]
     assert len(next(paragraphs._bands()([pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})])).column("node").unique()) > 3
     assert {x.doc_id for x in paragraphs.removals(docs_of(rows).coalesce(1)).collect()} == {2}
+
+
+def nodes_of(plan):
+    children = plan.children()
+    return [plan, *[x for i in range(children.size()) for x in nodes_of(children.apply(i))]]
+
+
+def test_sets_are_read_without_moving_texts(spark, docs_of, monkeypatch):
+    r = random.Random(9)
+    pool = near_copies(13, 40, 40, 2) + [words(k, 40) for k in range(400, 420)]
+    docs = docs_of([(i, " ".join(r.choice(pool) for _ in range(3))) for i in range(60)])
+    joined, real = [], linking.stage
+
+    def seen(df):
+        nodes = nodes_of(df._jdf.queryExecution().optimizedPlan())
+        if any(x.nodeName() == "MapInArrow" for x in nodes):
+            joined.extend(x.output().mkString(",") for x in nodes if x.nodeName() == "Join")
+        return real(df)
+
+    monkeypatch.setattr(linking, "stage", seen)
+    got = {(x.doc_id, x.paragraph) for x in paragraphs.removals(docs).collect()}
+    assert len(got) > 20 and joined and not [x for x in joined if "text#" in x]
+    monkeypatch.setattr(sieve, "passing", lambda bits, keys: np.ones(len(keys), bool))  # a filter too full to say anything
+    assert {(x.doc_id, x.paragraph) for x in paragraphs.removals(docs).collect()} == got
+
+
+@pytest.mark.parametrize("blocks", [1, 4, 64])
+def test_a_filter_passes_its_own_keys_and_few_others(spark, monkeypatch, blocks):
+    monkeypatch.setattr(sieve, "MOST_BLOCKS", blocks)
+    keys = at.mix(np.arange(60_000, dtype=np.uint64))
+    mine = spark.createDataFrame([(x,) for x in keys[:30_000].view(np.int64).tolist()], "key bigint").repartition(5)
+    bits = sieve.made(mine, 30_000)
+    assert bits.shape == (min(blocks, 16), 4096)
+    assert sieve.passing(bits, keys[:30_000]).all()
+    assert sieve.passing(bits, keys[30_000:]).mean() < (0.01 if blocks == 64 else 0.7 if blocks == 4 else 1.1)
+    assert not sieve.passing(sieve.made(mine.where("false"), 0), keys).any()
