@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from collections import defaultdict
 
 import pytest
@@ -147,3 +148,71 @@ def test_sharing_one_feature_is_refused(spark):
 def test_one_pair_and_no_pair(spark):
     assert op.cosine(frame(spark, {(1, 1): 1.0}), 0.5).collect() == []
     assert op.cosine(frame(spark, {}), 0.5).collect() == []
+
+
+ROUNDS = [{"INDEX": 40}, {"INDEX": 40, "MANY": 6}, {"INDEX": 25, "MANY": 2, "LEAST_WORK": 0, "CHUNK": 50, "ROWS": 3, "BUCKETS": 64}, {"SPAN": 1, "INDEX": 60}]
+
+
+@pytest.mark.parametrize("setting", ROUNDS, ids=str)
+@pytest.mark.parametrize("measure,least", [("count", 2), ("jaccard", 0.3), ("cosine", 0.35)])
+def test_pairs_of_rounds_and_of_long_entities_are_exact(spark, monkeypatch, setting, measure, least):
+    for name, value in setting.items():
+        monkeypatch.setattr(op, name, value)
+    ix = make(77)
+    job = {"count": op.cooccur, "jaccard": op.jaccard, "cosine": op.cosine}[measure]
+    for axis in ("item", "user"):
+        rows = [r for r in job(frame(spark, ix), least, entity=axis).collect() if not r["copy"]]
+        rep = rep_of(ix, axis, measure == "cosine")
+        want = {(a, b): s[measure] for a, b, s in scores(ix, axis) if s[measure] >= least and rep[a] == a and rep[b] == b}
+        assert len(rows) == len(want)
+        assert {(r["a"], r["b"]): r["score"] for r in rows} == pytest.approx(want)
+
+
+@pytest.mark.parametrize("setting", ROUNDS, ids=str)
+@pytest.mark.parametrize("sign", [1.0, -1.0])
+def test_neighbours_of_rounds_and_of_long_entities_are_complete(spark, monkeypatch, setting, sign):
+    for name, value in setting.items():
+        monkeypatch.setattr(op, name, value)
+    test_neighbours_are_complete_and_see_through_copies(spark, setting, 3, sign)
+
+
+def shuffled(spark):
+    """Bytes written for shuffles so far."""
+    executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+
+@pytest.fixture(scope="module")
+def dense(spark):
+    """400 users with 200 of 1,000 items each: about 16 million products of weights between items, 6.4 million between users."""
+    rng = random.Random(1)
+    rows = [(u, i, float(rng.randint(1, 50))) for u in range(400) for i in rng.sample(range(1000), 200)]
+    return op.stage(spark.createDataFrame(rows, "user bigint, item bigint, w double"))
+
+
+@pytest.mark.parametrize("name", ["cooccur", "jaccard", "cosine", "user_cosine", "neighbours"])
+def test_products_are_not_shuffled(spark, monkeypatch, dense, name):
+    """A product of two weights is formed where its pair is added up: shuffles grow with the interactions, not with the products."""
+    jobs = {
+        "cooccur": lambda: op.cooccur(dense, 40), "jaccard": lambda: op.jaccard(dense, 0.3), "cosine": lambda: op.cosine(dense, 0.4),
+        "user_cosine": lambda: op.cosine(dense, 0.4, "user"), "neighbours": lambda: op.neighbours(dense, 5),
+    }
+    monkeypatch.setattr(op, "WORK", 200_000)
+    before = shuffled(spark)
+    jobs[name]().write.format("noop").mode("overwrite").save()
+    assert shuffled(spark) - before < 5_000_000
+
+
+def test_staging_leaves_no_shuffle_files(spark):
+    from pyspark.sql import functions as F
+
+    manager = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {b.toString() for b in _seq(manager().getAllBlocks()) if b.toString().startswith("shuffle_")}
+    _seq = lambda s: [s.apply(i) for i in range(s.size())]
+    before = files()
+    rows = op.stage(spark.range(100_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.sum("id").alias("s")).repartition(3, "s"))
+    for _ in range(50):  # files go in the background
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and rows.count() == 5000
