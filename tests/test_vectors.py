@@ -135,7 +135,7 @@ def test_class_report(spark):
     assert rows[2]["precision"] is None and rows[2]["recall"] == 0.0 and rows[2]["f1"] == 0.0
 
 
-@pytest.mark.parametrize("numbers", [4_000_000, 100])
+@pytest.mark.parametrize("numbers", [4_000_000, 400])
 def test_rounds_find_what_blocks_find(spark, monkeypatch, numbers):
     train, test = clustered(180, 21, 9), clustered(70, 22)
     a, b = frames(spark, train, test)
